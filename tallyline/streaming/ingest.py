@@ -1,0 +1,73 @@
+"""The daily feed as a stream of landed files.
+
+Results change after kick-off, and every run reads the last fifteen days again, so the same
+match arrives many times. Identical repeats are dropped inside that horizon; anything that
+differs goes to the keyed table, where the later version replaces the earlier one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyline.schemas import MATCHES
+from tallyline.sinks.keyed_table import KeyedTable
+from tallyline.sources import documents
+
+HORIZON = "15 days"
+MAX_FILES_PER_TRIGGER = 10_000
+
+LINES = T.StructType([T.StructField("value", T.StringType())])
+
+
+def landing_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """New files of the landing folder; rows remember when their file was written."""
+    lines = spark.readStream.schema(LINES).option("maxFilesPerTrigger", max_files).text(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("landed_at"),
+                        F.col("_metadata.file_name").alias("landed_file"))
+
+
+def ingest_matches(docs: DataFrame, table: KeyedTable, checkpoint: str):
+    """Start the upsert of a stream of match documents; the caller awaits the query.
+
+    ``foreachBatch`` may replay a batch after a failure; its id names the folder it writes,
+    so a replay leaves the table as it was.
+    """
+    rows = documents.matches(docs, "landed_at", "landed_file")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id, ("landed_at", "landed_file", "utc_date", "raw_payload"))
+
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def drop_repeats(rows: DataFrame, event_time: str, key: str, payload: str) -> DataFrame:
+    """Without identical repeats that arrive within the horizon; corrections pass.
+
+    State holds one hash per version for fifteen days, not the payloads themselves.
+    """
+    hashed = rows.withColumn("payload_hash", F.sha2(F.col(payload), 256))
+    return hashed.withWatermark(event_time, HORIZON).dropDuplicatesWithinWatermark([key, "payload_hash"])
+
+
+def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Write everything that is available to Parquet and stop."""
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def matches_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, MATCHES)
