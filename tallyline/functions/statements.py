@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyline.functions.text import strip
+
 # Words that make a statement unacceptable, with the text shown in the reason.
 FORBIDDEN = (
     r"\bdrop\b",
@@ -24,8 +26,8 @@ _LITERALS = r"'(?:[^']|'')*'"
 
 def strip_fences(text: Column) -> Column:
     """Drop a Markdown code fence around a statement."""
-    opened = F.regexp_replace(F.trim(text), r"(?s)\A```[^\n]*\n?", "")
-    return F.trim(F.regexp_replace(opened, r"(?s)```\z", ""))
+    opened = F.regexp_replace(strip(text), r"\A```[^\n]*\n?", "")
+    return strip(F.regexp_replace(opened, r"```\z", ""))
 
 
 def statement_type(statement: Column) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.ranking import same_key
+from tallyline.operators.ranking import join_on
 from tallyline.workspace import pinned
 
 FRAME = 5
@@ -35,8 +35,8 @@ def with_form(
     long = sizes.filter(F.col("_rows") > rows_per_window).select(*keys)
     if long.isEmpty():
         return _windowed(sides, keys)
-    short_rows = sides.join(long, same_key(sides, long, keys), "left_anti")
-    long_rows = sides.join(long, same_key(sides, long, keys), "left_semi")
+    short_rows = join_on(sides, long, keys, "left_anti")
+    long_rows = join_on(sides, long, keys, "left_semi")
     return _windowed(short_rows, keys).unionByName(_in_blocks(long_rows, keys, blocks))
 
 
@@ -69,9 +69,7 @@ def _in_blocks(sides: DataFrame, keys: Sequence[str], blocks: int | None) -> Dat
         .select(*block, F.col("_tail.points_earned").alias("_tail"))
     )
     lengths = rows.groupBy(*block).agg(F.count("*").alias("_length"))
-    summary = lengths.join(tails, same_key(lengths, tails, block)).select(
-        *[lengths[c] for c in block], "_length", "_tail"
-    )
+    summary = join_on(lengths, tails, block)
 
     # Every block has a row, so four earlier blocks always hold the four earlier rows.
     by_block = Window.partitionBy(*keys).orderBy("_block")
@@ -90,7 +88,7 @@ def _in_blocks(sides: DataFrame, keys: Sequence[str], blocks: int | None) -> Dat
             "_own": F.sum("points_earned").over(oldest_first.rowsBetween(1 - FRAME, 0)),
         }
     )
-    joined = local.join(carried, same_key(local, carried, block))
+    joined = join_on(local, carried, block)
     missing = F.greatest(F.lit(0), F.least(F.lit(FRAME) - F.col("_nth"), F.size("_carry")))
     from_carry = F.aggregate(
         F.when(missing > 0, F.slice("_carry", F.size("_carry") - missing + 1, missing)).otherwise(
@@ -100,7 +98,7 @@ def _in_blocks(sides: DataFrame, keys: Sequence[str], blocks: int | None) -> Dat
         lambda total, points: total + points,
     )
     return joined.select(
-        *[local[c] for c in sides.columns],
+        *sides.columns,
         (F.col("_own") + from_carry).alias(FORM),
         (F.col("_total") - F.col("_before") - F.col("_nth") + 1).cast("bigint").alias(RECENCY),
     )

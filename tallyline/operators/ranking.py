@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """NULL-safe key equality; still an equi-join for Spark."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match; the keys appear once, from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def rank_within(
@@ -30,13 +32,10 @@ def rank_within(
     ranked = lines.select(
         *line, (F.sum("_tied").over(up_to_here) - F.col("_tied") + 1).cast("int").alias(name)
     )
-    joined = frame.join(ranked, same_key(frame, ranked, line), "inner")
-    return joined.select(ranked[name], *[frame[c] for c in frame.columns])
+    return join_on(frame, ranked, line).select(name, *frame.columns)
 
 
 def with_group_values(frame: DataFrame, groups: Sequence[str], *values: Column) -> DataFrame:
     """Aggregates of a group beside each of its rows: grouped first, then joined back."""
     totals = frame.groupBy(*groups).agg(*values)
-    extra = [c for c in totals.columns if c not in groups]
-    joined = frame.join(totals, same_key(frame, totals, groups), "inner")
-    return joined.select(*[frame[c] for c in frame.columns], *[totals[c] for c in extra])
+    return join_on(frame, totals, groups)

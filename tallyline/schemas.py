@@ -48,8 +48,20 @@ PLAYER_ENTRY = (
 # -- raw tables ------------------------------------------------------------------------
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns as 'name type' pairs; StructType.fromDDL would need a running session."""
+    pairs = [column.split() for column in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW_COMPETITIONS = _struct(

@@ -25,19 +25,20 @@ class KeyedTable:
         self.path = path
         self.spec = spec
 
-    def upsert(self, batch: DataFrame, batch_id: int, order: Sequence[str]) -> int:
-        """Write one batch; returns how many rows it had, repeated keys included."""
+    def upsert(self, batch: DataFrame, batch_id: int, order: Sequence[str]) -> tuple[int, int]:
+        """Write one batch; returns how many rows it had, and how many different keys."""
         replaced = list(self.spec.replaced)
         kept = [c for c in self.spec.schema.names if c not in replaced and c not in self.spec.keys]
         columns = [*self.spec.keys, *replaced, *kept]
-        seen = Observation()
+        seen, stored = Observation(), Observation()
         rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
         sequenced = rows.select(*columns, F.struct(*order).alias(SEQ))
         one = latest_by_key(sequenced, self.spec.keys, [F.col(SEQ)], (*replaced, SEQ))
         typed = one.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema])
         # The batch id is part of the path, not data: a replay replaces exactly this folder.
-        typed.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={int(batch_id)}")
-        return seen.get["rows"]
+        counted = typed.observe(stored, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={int(batch_id)}")
+        return seen.get["rows"], stored.get["rows"]
 
     def history(self) -> DataFrame:
         """All written versions, with the batch that wrote them."""

@@ -132,7 +132,7 @@ def players(docs: DataFrame) -> DataFrame:
         rows.filter("e.id is not null"),
         F.col("e.id"), F.col("e.name"), F.col("e.firstName").alias("first_name"),
         F.col("e.lastName").alias("last_name"),
-        F.try_to_date("e.dateOfBirth", "yyyy-MM-dd").alias("date_of_birth"),
+        F.try_to_date("e.dateOfBirth", "yyyy-M-d").alias("date_of_birth"),
         F.col("e.nationality"), F.col("e.position"), F.col("e.shirtNumber").alias("shirt_number"),
         F.col("team_id"),
     )
