@@ -82,7 +82,8 @@ class Inputs:
     @cached_property
     def embedded_chunks(self) -> DataFrame:
         """Stored vectors with the text of the chunk they stand for."""
-        texts = reports.chunk_reports(self.stored)
+        embedded = self.vectors.select(F.col("report_id").alias("id"))
+        texts = reports.chunk_reports(self.stored.join(embedded, "id", "left_semi"))
         return self.vectors.join(texts, ["report_id", "chunk_index"], "left")
 
     def query_vectors(self, *ids: int) -> list[Query]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from suite.inputs import Inputs
 from tallyline import schemas as S
 from tallyline.functions.season import parse_season, season_label, season_of_date
-from tallyline.functions.statements import statement_problem, statement_type, strip_fences
+from tallyline.functions.statements import judge_statements, strip_fences
 from tallyline.functions.text import text_chunks
 from tallyline.operators import filters as on
 from tallyline.operators.latest import upsert
@@ -118,9 +118,8 @@ def src_partial_failure(i: Inputs) -> DataFrame:
         .otherwise(F.col("value"))
     )
     feed = docs.select(damaged.alias("value"))
-    good = documents.matches(feed).select(F.lit("ok").alias("level"))
-    bad = documents.quarantine(feed, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY).select("level")
-    return good.unionByName(bad).groupBy("level").agg(F.count("*").alias("records"))
+    read = documents.classified(feed, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY)
+    return read.groupBy("level").agg(F.count("*").alias("records"))
 
 
 # -- sinks -----------------------------------------------------------------------------
@@ -290,8 +289,15 @@ def join_vector_topk(i: Inputs) -> DataFrame:
 
 # -- aggregations ----------------------------------------------------------------------
 
-register("agg_league_table", lambda i: tools.league_tables(i.matches).drop("position"))
-register("agg_season_summary", lambda i: tools.season_lines(i.matches, "competition_code", "season_id"))
+
+
+@query
+def agg_league_table(i: Inputs) -> DataFrame:
+    groups = ("competition_code", "season_id")
+    return models.standings_lines(sides_unpivot(i.matches, keep=groups), (*groups, "team_name"))
+
+
+register("agg_season_summary", lambda i: tools.season_lines(i.matches, ("competition_code", "season_id")))
 register("agg_team_splits", lambda i: tools.team_season_stats(i.matches, TEAM_ID, LEAGUE).splits)
 register("agg_db_stats", lambda i: tools.db_stats(i.matches))
 
@@ -452,10 +458,7 @@ register(
 )
 register(
     "sql_guard",
-    lambda i: i.statements().select(
-        "event_id", statement_type(F.col("statement")).alias("statement_type"),
-        statement_problem(F.col("statement")).alias("problem"),
-    ),
+    lambda i: judge_statements(i.statements(), "statement").select("event_id", "statement_type", "problem"),
 )
 
 
@@ -568,7 +571,7 @@ register("top_bottlers", lambda i: adhoc.top_bottlers(i.bottlers, 10))
 register("record_vs_top_n", lambda i: adhoc.record_vs_top_n(i.matches, 6))
 register("league_goals_ranking", lambda i: adhoc.league_goals_ranking(i.matches))
 register("dropped_lead_matches", lambda i: adhoc.dropped_lead_matches(i.matches))
-register("compare_teams", lambda i: adhoc.compare_teams(i.matches, 2, TEAM_ID))
+register("compare_teams", lambda i: tools.compare_teams(i.matches, 2, TEAM_ID))
 register("points_gap", lambda i: adhoc.points_gap(i.league_table))
 register(
     "anomaly_summary",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.once import evaluated_once
 from tallyline.functions.text import strip
 
 # Words that make a statement unacceptable, with the text shown in the reason.
@@ -18,10 +21,11 @@ FORBIDDEN = (
     r"\bcreate\b",
     r"\bpg_",
 )
-VERBS = "select|insert|update|delete|merge|replace|upsert|create|alter|drop"
+VERBS = ("select", "insert", "update", "delete", "merge", "replace", "upsert", "create", "alter", "drop")
 
 _COMMENTS = r"(?s)--[^\n]*|/\*.*?\*/"
 _LITERALS = r"'(?:[^']|'')*'"
+_TAIL = r"[\s;]+\z"
 
 
 def strip_fences(text: Column) -> Column:
@@ -30,38 +34,45 @@ def strip_fences(text: Column) -> Column:
     return strip(F.regexp_replace(opened, r"```\z", ""))
 
 
-def statement_type(statement: Column) -> Column:
-    """First verb in upper case; for WITH, the verb that follows the named queries."""
-    body = F.lower(F.regexp_replace(statement, _COMMENTS, " "))
-    first = F.regexp_extract(body, r"\A[\s(]*([a-z]+)", 1)
-    after_with = F.regexp_extract(body, r"\)\s*(select|insert|update|delete|merge)\b", 1)
-    verb = F.when(first == "with", after_with).otherwise(first)
-    return F.when(verb.rlike(rf"\A(?:{VERBS})\z"), F.upper(verb)).otherwise("UNKNOWN")
-
+def judge_statements(frame: DataFrame, column: str, tables: Iterable[str] | None = None) -> DataFrame:
+    """Add ``statement_type`` and ``problem``: NULL if acceptable, else the first reason against.
 
-def statement_problem(statement: Column, tables: tuple[str, ...] | None = None) -> Column:
-    """NULL for an acceptable statement, else the first reason against it."""
-    text = F.coalesce(statement, F.lit(""))
+    The type is the first verb, or for WITH the verb after the named queries. ``tables``
+    limits which marts may be read.
+    """
+    text = F.coalesce(F.col(column), F.lit(""))
     bare = F.lower(F.regexp_replace(text, _COMMENTS, " "))
-    kind = statement_type(text)
-    body = F.regexp_replace(F.regexp_replace(bare, _LITERALS, "''"), r"[\s;]+\z", "")
+    cleaned = evaluated_once(frame, _bare=bare)
+
+    first = F.regexp_extract("_bare", r"\A[\s(]*([a-z]+)", 1)
+    after_with = F.regexp_extract("_bare", r"\)\s*(select|insert|update|delete|merge)\b", 1)
+    body = F.regexp_replace(F.regexp_replace("_bare", _LITERALS, "''"), _TAIL, "")
+    opened = evaluated_once(cleaned, _verb=F.when(first == "with", after_with).otherwise(first), _body=body)
+
+    verb, body, bare = F.col("_verb"), F.col("_body"), F.col("_bare")
+    kind = F.when(verb.isin(*VERBS), F.upper(verb)).otherwise("UNKNOWN")
+    only_select = F.concat(F.lit("Only SELECT statements are allowed (got "), kind, F.lit(")"))
     problem = (
         F.when(~text.rlike(r"(?U)\S"), "Empty query")
-        .when(
-            kind != "SELECT",
-            F.concat(F.lit("Only SELECT statements are allowed (got "), kind, F.lit(")")),
-        )
+        .when(kind != "SELECT", only_select)
         .when(body.contains(";"), "Only one statement is allowed")
-    )
-    for pattern in FORBIDDEN:
-        problem = problem.when(bare.rlike(pattern), f"Forbidden keyword detected: {pattern}")
-    problem = problem.when(
-        ~bare.contains("marts."), "Query must reference at least one marts. table"
+        .when(bare.rlike("|".join(FORBIDDEN)), _first_forbidden(bare))
+        .when(~bare.contains("marts."), "Query must reference at least one marts. table")
     )
     if tables is not None:
-        named = F.regexp_extract_all(body, F.lit(r"\b(?:from|join)\s+([\w`./]+[.`][\w`./]*)"), F.lit(1))
+        sources = F.lit(r"\b(?:from|join)\s+([\w`./]+[.`][\w`./]*)")
         allowed = F.array(*[F.lit(f"marts.{t}") for t in tables])
-        problem = problem.when(
-            F.size(F.array_except(named, allowed)) > 0, "Query may only read the known marts"
-        )
-    return problem.otherwise(F.lit(None).cast("string"))
+        unknown = F.size(F.array_except(F.regexp_extract_all(body, sources, F.lit(1)), allowed)) > 0
+        problem = problem.when(unknown, "Query may only read the known marts")
+    judged = opened.withColumns({"statement_type": kind, "problem": problem})
+    return judged.drop("_bare", "_verb", "_body")
+
+
+def _first_forbidden(text: Column) -> Column:
+    def reason(pattern: str) -> str:
+        return f"Forbidden keyword detected: {pattern}"
+
+    named = F.when(text.rlike(FORBIDDEN[0]), reason(FORBIDDEN[0]))
+    for pattern in FORBIDDEN[1:]:
+        named = named.when(text.rlike(pattern), reason(pattern))
+    return named

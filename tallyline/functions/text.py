@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 CHUNK_SIZE = 300
 
-# Java's Unicode \s leaves out the four information separators that count as blank here.
-_BLANK = r"[\s\x1c-\x1f]"
-_OUTER_BLANKS = rf"(?U)\A{_BLANK}++|(?<!{_BLANK}){_BLANK}++\z"
-_SENTENCE_GAP = rf"(?U)(?<=[.!?]){_BLANK}++"
+# The characters that count as blank around and between sentences.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_SENTENCE_GAP = f"([.!?])[{BLANKS}]++"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _OUTER_BLANKS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def text_chunks(text: Column, size: int = CHUNK_SIZE) -> Column:
@@ -25,7 +28,7 @@ def text_chunks(text: Column, size: int = CHUNK_SIZE) -> Column:
     characters that ends at a gap, else the shortest longer run. That is one regular
     expression, linear in the text, with no growing array to copy.
     """
-    joined = F.regexp_replace(strip(text), _SENTENCE_GAP, " ")
+    joined = F.regexp_replace(strip(text), _SENTENCE_GAP, "$1 ")
     chunk = rf"(?s)(.{{1,{size}}}|.{{{size + 1},}}?)(?:(?<=[.!?]) |\z)"
     return F.regexp_extract_all(joined, F.lit(chunk), F.lit(1))
 

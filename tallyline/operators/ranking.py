@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.workspace import pinned
+
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match; the keys appear once, from the left."""
@@ -24,7 +26,11 @@ def rank_within(
     Rows with equal measures share a rank, so it is enough to rank the distinct score lines.
     They are counted with partial aggregation first; only that histogram meets the window,
     and its size depends on the spread of the scores, not on how many rows a group has.
+
+    ``frame`` is an aggregate and is used twice, so it is pinned: the facts below it are read
+    once.
     """
+    frame = pinned(frame)
     line = [*groups, *measures]
     lines = frame.groupBy(*line).agg(F.count("*").alias("_tied"))
     best_first = Window.partitionBy(*groups).orderBy(*[F.desc(m) for m in measures])

@@ -10,7 +10,7 @@ from tallyline.operators import filters as on
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
 from tallyline.plans.models import standings_lines
-from tallyline.plans.tools import league_tables, season_lines, team_matches, team_splits
+from tallyline.plans.tools import league_tables, season_lines
 
 SEASON = ("competition_code", "season_id")
 
@@ -116,7 +116,7 @@ def record_vs_top_n(matches: DataFrame, n: int = 6) -> DataFrame:
 
 
 def league_goals_ranking(matches: DataFrame) -> DataFrame:
-    lines = season_lines(matches, "competition_code")
+    lines = season_lines(matches, ("competition_code",))
     return lines.select("competition_code", "total_matches", "avg_goals_per_game").orderBy(
         F.desc("avg_goals_per_game"), "competition_code"
     )
@@ -133,27 +133,6 @@ def dropped_lead_matches(matches: DataFrame) -> DataFrame:
     )
 
 
-COMPARED = ("played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points")
-
-
-def compare_teams(
-    matches: DataFrame, team_a: int | str, team_b: int | str, competition_code: str | None = None,
-    season: int | None = None,
-) -> DataFrame:
-    """One row per measure with both teams' values."""
-
-    def measures(team: int | str, name: str) -> DataFrame:
-        overall = team_splits(team_matches(matches, team, competition_code, season)).filter(
-            F.col("split") == "aggregate"
-        )
-        pairs = F.array(
-            *[F.struct(F.lit(m).alias("measure"), F.col(m).alias(name)) for m in COMPARED]
-        )
-        return overall.select(F.inline(pairs))
-
-    return measures(team_a, "team_a").join(measures(team_b, "team_b"), "measure")
-
-
 def points_gap(table: DataFrame) -> DataFrame:
     """Points between the first and the second team of every season."""
     two = top_per_group(

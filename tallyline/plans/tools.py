@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.rounding import count_where, percentage, ratio
 from tallyline.functions.season import parse_season, season_label
-from tallyline.functions.statements import statement_problem
+from tallyline.functions.statements import judge_statements
 from tallyline.operators import filters as on
 from tallyline.operators.form import FORM, FRAME
 from tallyline.operators.ranking import rank_within
@@ -87,17 +87,15 @@ def _is_team(side: str, team: str | int) -> Column:
     return on.name_like(f"{side}_team_name", team)
 
 
-def team_matches(
-    matches: DataFrame, team: str | int, competition_code: str | None = None, season: int | None = None
-) -> DataFrame:
-    """Matches from one team's point of view. When a pattern fits both sides, home counts."""
+def _seen_by(team: str | int) -> tuple[Column, Column]:
+    """Whether a match is the team's, and the match from its point of view.
+
+    When a pattern fits both sides, home counts.
+    """
     at_home, away = _is_team("home", team), _is_team("away", team)
     result = F.col("result")
-    mine = matches.filter(
-        (at_home | away) & on.equals("competition_code", competition_code) & on.season_range(season)
-    )
     won = (at_home & (result == "home")) | (away & (result == "away"))
-    return mine.select(
+    view = F.struct(
         "match_id", "match_date", "competition_code",
         F.when(at_home, F.col("away_team_name")).otherwise(F.col("home_team_name")).alias("opponent"),
         F.when(at_home, "home").otherwise("away").alias("venue"),
@@ -107,6 +105,20 @@ def team_matches(
         "result",
         F.when(won, "W").when(result == "draw", "D").otherwise("L").alias("team_result"),
     )
+    return at_home | away, view
+
+
+def _wanted(competition_code: str | None, season: int | None) -> Column:
+    return on.equals("competition_code", competition_code) & on.season_range(season)
+
+
+def team_matches(
+    matches: DataFrame, team: str | int, competition_code: str | None = None, season: int | None = None
+) -> DataFrame:
+    """Matches from one team's point of view."""
+    involved, view = _seen_by(team)
+    mine = matches.filter(involved & _wanted(competition_code, season))
+    return mine.select(F.inline(F.array(view)))
 
 
 class TeamSeason(NamedTuple):
@@ -115,21 +127,33 @@ class TeamSeason(NamedTuple):
 
 
 SPLITS = ("aggregate", "home", "away")
+CELL = ("venue", "team_result")
+
+
+def split_cells(played: DataFrame, *groups: str) -> DataFrame:
+    """Matches and goals per venue and result: at most six rows, from which every split follows."""
+    return played.groupBy(*groups, *CELL).agg(
+        F.count("*").alias("n"), F.sum("goals_scored").alias("gf"), F.sum("goals_conceded").alias("ga")
+    )
 
 
 def team_splits(played: DataFrame) -> DataFrame:
-    """Overall, home and away totals in one pass; zeros when there are no matches."""
+    """Overall, home and away totals; zeros when there are no matches."""
     totals = []
     for split in SPLITS:
         here = F.lit(True) if split == "aggregate" else F.col("venue") == split
+
+        def added(value: str, only: Column = here) -> Column:
+            return F.coalesce(F.sum(F.when(only, F.col(value))), F.lit(0))
+
         outcome = F.col("team_result")
         totals += [
-            count_where(here).alias(f"{split}_played"),
-            count_where(here & (outcome == "W")).alias(f"{split}_won"),
-            count_where(here & (outcome == "D")).alias(f"{split}_drawn"),
-            count_where(here & (outcome == "L")).alias(f"{split}_lost"),
-            F.coalesce(F.sum(F.when(here, F.col("goals_scored"))), F.lit(0)).alias(f"{split}_gf"),
-            F.coalesce(F.sum(F.when(here, F.col("goals_conceded"))), F.lit(0)).alias(f"{split}_ga"),
+            added("n").alias(f"{split}_played"),
+            added("n", here & (outcome == "W")).alias(f"{split}_won"),
+            added("n", here & (outcome == "D")).alias(f"{split}_drawn"),
+            added("n", here & (outcome == "L")).alias(f"{split}_lost"),
+            added("gf").alias(f"{split}_gf"),
+            added("ga").alias(f"{split}_ga"),
         ]
 
     def line(split: str) -> Column:
@@ -154,7 +178,43 @@ def team_splits(played: DataFrame) -> DataFrame:
             per_game(c("ga")).alias("conceded_per_game"),
         )
 
-    return played.agg(*totals).select(F.inline(F.array(*[line(s) for s in SPLITS])))
+    lines = F.array(*[line(s) for s in SPLITS])
+    return split_cells(played).agg(*totals).select(F.inline(lines))
+
+
+COMPARED = ("played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points")
+
+
+def compare_teams(
+    matches: DataFrame, team_a: int | str, team_b: int | str, competition_code: str | None = None,
+    season: int | None = None,
+) -> DataFrame:
+    """One row per measure with both teams' values, from one pass over the matches."""
+    (has_a, view_a), (has_b, view_b) = _seen_by(team_a), _seen_by(team_b)
+    views = F.array_compact(
+        F.array(
+            F.when(has_a, F.struct(F.lit("a").alias("team"), view_a.alias("view"))),
+            F.when(has_b, F.struct(F.lit("b").alias("team"), view_b.alias("view"))),
+        )
+    )
+    mine = matches.filter((has_a | has_b) & _wanted(competition_code, season))
+    cells = split_cells(mine.select(F.inline(views)).select("team", "view.*"), "team")
+
+    def values(team: str) -> list[Column]:
+        here, outcome = F.col("team") == team, F.col("team_result")
+
+        def added(value: str, only: Column = here) -> Column:
+            return F.coalesce(F.sum(F.when(only, F.col(value))), F.lit(0))
+
+        won, drawn, lost = (added("n", here & (outcome == r)) for r in ("W", "D", "L"))
+        gf, ga = added("gf"), added("ga")
+        return [added("n"), won, drawn, lost, gf, ga, gf - ga, won * 3 + drawn]
+
+    rows = [
+        F.struct(F.lit(m).alias("measure"), a.alias("team_a"), b.alias("team_b"))
+        for m, a, b in zip(COMPARED, values("a"), values("b"))
+    ]
+    return cells.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def team_season_stats(
@@ -230,7 +290,8 @@ def recent_matches(matches: DataFrame, competition_code: str, limit: int = 5) ->
 # -- competitions ----------------------------------------------------------------------
 
 
-def season_lines(matches: DataFrame, *groups: str) -> DataFrame:
+def season_lines(matches: DataFrame, groups: Sequence[str], *extra: Column) -> DataFrame:
+    """Totals of every group; ``extra`` aggregates come last."""
     result = F.col("result")
     summed = matches.groupBy(*groups).agg(
         F.count("*").alias("total_matches"),
@@ -241,33 +302,34 @@ def season_lines(matches: DataFrame, *groups: str) -> DataFrame:
         count_where(result == "away").alias("away_wins"),
         F.max("total_goals").alias("highest_scoring_match"),
         count_where(F.col("is_high_scoring")).alias("high_scoring_matches"),
+        *extra,
     )
+    more = summed.columns[len(groups) + 8 :]
     return summed.select(
         *groups, "total_matches", "total_goals",
         ratio(F.col("total_goals"), F.col("_scored"), 2).alias("avg_goals_per_game"),
-        "home_wins", "draws", "away_wins", "highest_scoring_match", "high_scoring_matches",
+        "home_wins", "draws", "away_wins", "highest_scoring_match", "high_scoring_matches", *more,
     )
 
 
 def season_summary(matches: DataFrame, competition_code: str, season: int | None = None) -> DataFrame:
     """One line for the competition, none when it has no matches."""
     mine = matches.filter(on.equals("competition_code", competition_code) & on.season_range(season))
-    return season_lines(mine, "competition_code")
+    return season_lines(mine, ("competition_code",))
 
 
 def season_highlights(matches: DataFrame) -> DataFrame:
     """Most common result and biggest win of every competition and season."""
     groups = ("competition_code", "season_id")
-    counts = season_lines(matches, *groups)
+    margin = F.struct(
+        F.abs("goal_diff").alias("margin"), F.col("total_goals"), F.col("match_date"), F.col("match_id")
+    )
+    lines = season_lines(matches, groups, F.max(margin).alias("big"))
     most = F.greatest("home_wins", "draws", "away_wins")
     common = (
         F.when(F.col("home_wins") == most, "home").when(F.col("away_wins") == most, "away").otherwise("draw")
     )
-    margin = F.struct(
-        F.abs("goal_diff").alias("margin"), F.col("total_goals"), F.col("match_date"), F.col("match_id")
-    )
-    biggest = matches.groupBy(*groups).agg(F.max(margin).alias("big"))
-    return counts.join(biggest, list(groups)).select(
+    return lines.select(
         *groups, common.alias("most_common_result"),
         F.col("big.margin").alias("biggest_margin"), F.col("big.match_id").alias("biggest_win_match_id"),
     )
@@ -305,8 +367,8 @@ class Answer(NamedTuple):
 
 def guarded_sql(spark: SparkSession, statement: str, tables: Iterable[str] = MART_TABLES) -> Answer:
     """Run one read-only statement on the published marts; a refusal comes back as a value."""
-    checked = spark.range(1).select(statement_problem(F.lit(statement), tuple(tables)).alias("problem"))
-    problem = checked.first()["problem"]
+    asked = spark.range(1).select(F.lit(statement).alias("statement"))
+    problem = judge_statements(asked, "statement", tables).first()["problem"]
     if problem is not None:
         return Answer(False, None, problem)
     try:

@@ -10,32 +10,49 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
+from tallyline.functions.once import evaluated_once
 
-_LENIENT = {"mode": "PERMISSIVE"}
+OK, BAD_DOCUMENT, BAD_ENTRY, NO_ENTRY = "ok", "document", "entry", "empty"
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _with_corrupt(schema: str) -> str:
-    return schema[:-1] + ", _corrupt: string>"
-
-
-def _parse(text: Column, schema: str) -> Column:
-    """Typed object; unreadable text fills only the ``_corrupt`` field."""
-    return F.from_json(text, _with_corrupt(schema), {**_LENIENT, "columnNameOfCorruptRecord": "_corrupt"})
+def _parsed(frame: DataFrame, text: str, schema: str, name: str) -> DataFrame:
+    """``frame`` with the object in column ``text``; unreadable text only fills ``_corrupt``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    with_corrupt = schema[:-1] + ", _corrupt: string>"
+    return evaluated_once(frame, **{name: F.from_json(F.col(text), with_corrupt, options)})
+
+
+def classified(
+    docs: DataFrame, envelope: str, array: str, entry: str, *parents: Column, key: str = "e.id"
+) -> DataFrame:
+    """Every entry of every document in one pass, with a ``level`` that says if it is usable.
+
+    A bad document or entry costs only itself; the rest of the feed goes on.
+    """
+    opened = _parsed(docs, "value", envelope, "doc")
+    entries = opened.select("value", "doc", *parents, F.explode_outer(array).alias("raw_payload"))
+    read = _parsed(entries, "raw_payload", entry, "e")
+    level = (
+        F.when(F.col("doc._corrupt").isNotNull(), BAD_DOCUMENT)
+        .when(F.col("raw_payload").isNull(), NO_ENTRY)
+        .when(F.col(key).isNull(), BAD_ENTRY)
+        .otherwise(OK)
+    )
+    return read.withColumn("level", level).drop("doc")
 
 
-def open_envelopes(docs: DataFrame, schema: str) -> DataFrame:
-    return docs.select(*[c for c in docs.columns if c != "value"], "value", _parse(F.col("value"), schema).alias("doc"))
+def quarantine(docs: DataFrame, envelope: str, array: str, entry: str) -> DataFrame:
+    """Documents that are not JSON of the envelope, and entries without a readable id."""
+    bad = classified(docs, envelope, array, entry).filter(F.col("level").isin(BAD_DOCUMENT, BAD_ENTRY))
+    return bad.select("level", F.coalesce("raw_payload", "value").alias("record"))
 
 
-def _entries(opened: DataFrame, array: str, schema: str, *parents: Column) -> DataFrame:
-    exploded = opened.filter(F.col("doc._corrupt").isNull()).select(
-        *parents, F.explode(array).alias("raw_payload")
-    )
-    return exploded.withColumn("e", _parse(F.col("raw_payload"), schema))
+def _usable(docs: DataFrame, envelope: str, array: str, entry: str, *parents: Column) -> DataFrame:
+    return classified(docs, envelope, array, entry, *parents).filter(F.col("level") == OK)
 
 
 def _stamped(frame: DataFrame, *columns: Column) -> DataFrame:
@@ -43,45 +60,29 @@ def _stamped(frame: DataFrame, *columns: Column) -> DataFrame:
     return frame.select(*columns, "raw_payload", now.alias("ingested_at"))
 
 
-def quarantine(docs: DataFrame, envelope: str, array: str, entry: str) -> DataFrame:
-    """Documents that are not JSON of the envelope, and entries without a readable id."""
-    opened = open_envelopes(docs, envelope)
-    bad_docs = opened.filter(F.col("doc._corrupt").isNotNull()).select(
-        F.lit("document").alias("level"), F.col("value").alias("record")
-    )
-    bad_entries = _entries(opened, array, entry).filter(F.col("e.id").isNull()).select(
-        F.lit("entry").alias("level"), F.col("raw_payload").alias("record")
-    )
-    return bad_docs.unionByName(bad_entries)
-
-
 def competitions(docs: DataFrame) -> DataFrame:
-    rows = _entries(open_envelopes(docs, S.COMPETITIONS_ENVELOPE), "doc.competitions", S.COMPETITION_ENTRY)
+    rows = _usable(docs, S.COMPETITIONS_ENVELOPE, "doc.competitions", S.COMPETITION_ENTRY)
     return _stamped(
-        rows.filter("e.id is not null"),
+        rows,
         F.col("e.id"), F.col("e.name"), F.col("e.code"), F.col("e.type"),
         F.col("e.area.name").alias("area_name"), F.col("e.plan"),
     )
 
 
 def teams(docs: DataFrame) -> DataFrame:
-    rows = _entries(
-        open_envelopes(docs, S.TEAMS_ENVELOPE), "doc.teams", S.TEAM_ENTRY,
-        F.col("doc.competition.id").alias("competition_id"),
-    )
+    parent = F.col("doc.competition.id").alias("competition_id")
+    rows = _usable(docs, S.TEAMS_ENVELOPE, "doc.teams", S.TEAM_ENTRY, parent)
     return _stamped(
-        rows.filter("e.id is not null"),
+        rows,
         F.col("e.id"), F.col("e.name"), F.col("e.shortName").alias("short_name"), F.col("e.tla"),
         F.col("competition_id"), F.col("e.area.name").alias("area_name"),
     )
 
 
 def matches(docs: DataFrame, *carry: str) -> DataFrame:
-    rows = _entries(
-        open_envelopes(docs, S.MATCHES_ENVELOPE), "doc.matches", S.MATCH_ENTRY, *[F.col(c) for c in carry]
-    )
+    rows = _usable(docs, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY, *[F.col(c) for c in carry])
     return _stamped(
-        rows.filter("e.id is not null"),
+        rows,
         *[F.col(c) for c in carry],
         F.col("e.id"),
         F.col("e.competition.id").alias("competition_id"),
@@ -100,7 +101,7 @@ def matches(docs: DataFrame, *carry: str) -> DataFrame:
 
 def standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:
     """Both levels flattened; ``table_no`` and ``row_no`` keep the document's order."""
-    opened = open_envelopes(docs, S.STANDINGS_ENVELOPE).filter(F.col("doc._corrupt").isNull())
+    opened = _parsed(docs, "value", S.STANDINGS_ENVELOPE, "doc")
     tables = opened.select(
         F.col("doc.competition.id").alias("competition_id"),
         F.col("doc.season.id").alias("season_id"),
@@ -108,11 +109,12 @@ def standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:
     )
     if only_type is not None:
         tables = tables.filter(F.col("t.type") == only_type)
-    rows = tables.select(
+    lines = tables.select(
         "competition_id", "season_id", "table_no",
         F.col("t.stage").alias("stage"), F.col("t.type").alias("type"),
         F.posexplode("t.table").alias("row_no", "raw_payload"),
-    ).withColumn("e", _parse(F.col("raw_payload"), S.STANDING_ENTRY))
+    )
+    rows = _parsed(lines, "raw_payload", S.STANDING_ENTRY, "e").filter(F.col("e.team.id").isNotNull())
     return _stamped(
         rows,
         F.col("competition_id"), F.col("season_id"), F.col("stage"), F.col("type"),
@@ -125,11 +127,9 @@ def standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:
 
 
 def players(docs: DataFrame) -> DataFrame:
-    rows = _entries(
-        open_envelopes(docs, S.SQUAD_ENVELOPE), "doc.squad", S.PLAYER_ENTRY, F.col("doc.id").alias("team_id")
-    )
+    rows = _usable(docs, S.SQUAD_ENVELOPE, "doc.squad", S.PLAYER_ENTRY, F.col("doc.id").alias("team_id"))
     return _stamped(
-        rows.filter("e.id is not null"),
+        rows,
         F.col("e.id"), F.col("e.name"), F.col("e.firstName").alias("first_name"),
         F.col("e.lastName").alias("last_name"),
         F.try_to_date("e.dateOfBirth", "yyyy-M-d").alias("date_of_birth"),
