@@ -7,9 +7,10 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str, cores: int | None = None) -> SparkSession:
+def local_session(name: str, cores: int | None = None, **settings: str) -> SparkSession:
+    """``settings`` are Spark settings with ``__`` for the dots."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
@@ -17,7 +18,9 @@ def local_session(name: str, cores: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

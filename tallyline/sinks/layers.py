@@ -26,7 +26,7 @@ def as_table(
     path = f"{root.rstrip('/')}/{layer}/{name}"
     rows = frame.hint("rebalance", *partition_by) if partition_by else frame
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
 def publish(spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str = MARTS) -> None:
