@@ -627,6 +627,14 @@ oracle(
     "SELECT report_id, chunk_index, query_id, similarity FROM scores WHERE query_id = 0 AND similarity >= 0.1"
     " ORDER BY similarity DESC, report_id, chunk_index LIMIT 10", "scores",
 )
+oracle(
+    "fn_cosine",
+    """SELECT report_id, round(c, 6) AS similarity, round(1 - round(c, 6), 6) AS distance FROM (
+      SELECT a.vec_id AS report_id, list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])
+        / (sqrt(list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]))
+         * sqrt(list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))) AS c
+      FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)""",
+)
 oracle("agg_league_table", "SELECT * EXCLUDE (position) FROM tables", "tables")
 oracle("league_tables", "SELECT * FROM tables", "tables")
 oracle("win_position_rank", "SELECT competition_code, season_id, team_name, position FROM tables", "tables")

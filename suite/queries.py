@@ -13,6 +13,7 @@ from tallyline import schemas as S
 from tallyline.functions.season import parse_season, season_label, season_of_date
 from tallyline.functions.statements import judge_statements, strip_fences
 from tallyline.functions.text import text_chunks
+from tallyline.functions.vectors import cosine_distance, cosine_similarity
 from tallyline.operators import filters as on
 from tallyline.operators.latest import upsert
 from tallyline.operators.ranking import rank_within
@@ -371,6 +372,17 @@ def topk_similarity(i: Inputs) -> DataFrame:
     return top(hits, 10, F.desc("similarity"), F.asc("report_id"), F.asc("chunk_index"))
 
 
+@query
+def fn_cosine(i: Inputs) -> DataFrame:
+    """Each stored vector against the one stored after it."""
+    left = i.vectors.select("report_id", "embedding")
+    right = i.vectors.select((F.col("report_id") - 1).alias("report_id"), F.col("embedding").alias("following"))
+    pair = (F.col("embedding"), F.col("following"))
+    return left.join(right, "report_id").select(
+        "report_id", cosine_similarity(*pair).alias("similarity"), cosine_distance(*pair).alias("distance")
+    )
+
+
 # -- set operations --------------------------------------------------------------------
 
 register("sides_unpivot", lambda i: sides_unpivot(i.matches, keep=("match_id", "match_date", "competition_id", "season_id")))

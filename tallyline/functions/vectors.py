@@ -1,10 +1,7 @@
-"""Cosine similarity on array columns, inside the JVM."""
+"""Cosine of two array columns, inside the JVM."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,16 +13,11 @@ def _dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, term: total + term)
 
 
-def norm(vector: Column) -> Column:
-    return F.sqrt(_dot(vector, vector))
+def cosine_similarity(left: Column, right: Column) -> Column:
+    """NULL when either vector has length zero."""
+    lengths = F.sqrt(_dot(left, left)) * F.sqrt(_dot(right, right))
+    return F.round(_dot(left, right) / F.nullif(lengths, F.lit(0.0)), SIMILARITY_PLACES)
 
 
-def cosine_to(vector: Column, query: Sequence[float]) -> Column:
-    """Similarity of a column to one known vector; NULL when either has length zero."""
-    query = [float(x) for x in query]
-    length = math.sqrt(math.fsum(x * x for x in query))
-    if length == 0.0:
-        return F.lit(None).cast("double")
-    literal = F.array(*[F.lit(x) for x in query])
-    scaled = _dot(vector, literal) / (F.nullif(norm(vector), F.lit(0.0)) * F.lit(length))
-    return F.round(scaled, SIMILARITY_PLACES)
+def cosine_distance(left: Column, right: Column) -> Column:
+    return F.round(1 - cosine_similarity(left, right), SIMILARITY_PLACES)

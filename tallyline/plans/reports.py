@@ -76,9 +76,16 @@ def report_search(
     limit: int = LIMIT,
     min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
-    """Best chunks for each query vector with the facts of their match."""
-    found = top_chunks(chunks, reports, queries, limit, min_similarity)
-    return found.select(
+    """Best chunks for each query vector with the facts of their match.
+
+    The search reads only keys and vectors; the texts of the few chunks found are joined last.
+    """
+    facts = reports.select(
+        "id", "home_team", "away_team", "match_date", "competition_code", "matchday"
+    )
+    found = top_chunks(chunks, facts, queries, limit, min_similarity)
+    texts = chunks.select("report_id", "chunk_index", "chunk_text")
+    return found.join(texts, ["report_id", "chunk_index"], "left").select(
         "query_id", "report_id", "chunk_index", "chunk_text", "home_team", "away_team",
         "match_date", "competition_code", "matchday", "similarity",
     )

@@ -180,3 +180,12 @@ def test_vector_search_bounds_its_queries(spark):
         similar_chunks(chunks, [(i, [1.0]) for i in range(MAX_QUERIES + 1)])
     with pytest.raises(ValueError):
         similar_chunks(chunks, [])
+
+
+def test_vector_search_edges(spark):
+    rows = [(1, 0, [3.0, 4.0]), (2, 0, [0.0, 0.0]), (3, 0, None), (4, 0, [-3.0, -4.0])]
+    chunks = spark.createDataFrame(rows, "report_id long, chunk_index int, embedding array<float>")
+    got = similar_chunks(chunks, [(0, [6.0, 8.0]), (9, [0.0, 0.0])], -1.0).collect()
+    assert sorted((r.query_id, r.report_id, r.similarity) for r in got) == [(0, 1, 1.0), (0, 4, -1.0)]
+    with pytest.raises(Exception, match="must have 3 elements"):
+        similar_chunks(chunks, [(0, [1.0, 2.0, 3.0])]).collect()
