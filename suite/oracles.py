@@ -805,6 +805,26 @@ oracle(
     "SELECT competition_code, COUNT(*) AS total_draws FROM mart WHERE home_goals = away_goals GROUP BY 1", "mart",
 )
 oracle("league_anomaly_features", "SELECT * FROM features", "features")
+def rounded(value: str) -> str:
+    return decimals(f"(CAST(round({value}*1000000) AS BIGINT) + 5000) // 10000")
+
+
+oracle(
+    "anomaly_prompt",
+    f"""SELECT team_name, competition_code, season_id, 'Team: ' || team_name
+      || chr(10) || 'Competition: ' || competition_name || chr(10) || 'Games played: ' || played_games
+      || chr(10) || chr(10) || 'Team stats:' || chr(10) || '- Points per game: ' || {rounded('points_per_game')}
+      || chr(10) || '- Win percentage: ' || printf('%d.%d', CAST(round(win_percentage*10) AS BIGINT) // 10,
+        CAST(round(win_percentage*10) AS BIGINT) % 10) || '%'
+      || chr(10) || '- Goals per game: ' || {rounded('goals_per_game')}
+      || chr(10) || '- Conceded per game: ' || {rounded('conceded_per_game')}
+      || chr(10) || '- Goal difference: ' || goal_difference
+      || chr(10) || chr(10) || 'League averages:' || chr(10) || '- Avg points per game: ' || {rounded('league_avg_ppg')}
+      || chr(10) || '- Avg goals per game: ' || {rounded('league_avg_goals')}
+      || chr(10) || '- Avg conceded per game: ' || {rounded('league_avg_conceded')}
+      || chr(10) || '- Std deviation PPG: ' || COALESCE({rounded('stddev_ppg')}, 'None') AS prompt FROM features""",
+    "features",
+)
 oracle("league_anomaly_flags", "SELECT * FROM flags", "flags")
 oracle(
     "anomaly_summary",

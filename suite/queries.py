@@ -555,6 +555,7 @@ def guarded_sql(i: Inputs) -> DataFrame:
 
 register("league_anomaly_features", lambda i: anomalies.league_features(i.league_table))
 register("league_anomaly_flags", lambda i: anomalies.league_flags(anomalies.league_features(i.league_table)))
+register("anomaly_prompt", lambda i: anomalies.prompts(anomalies.league_features(i.league_table)))
 register("narrative_backlog", lambda i: reports.narrative_backlog(i.matches, i.stored, ["R0", "R1", "R2", "R3"]))
 register("embedding_backlog", lambda i: reports.embedding_backlog(i.stored, i.vectors))
 register("backlog_cost", lambda i: reports.backlog_cost(reports.narrative_backlog(i.matches, i.stored)))
@@ -598,34 +599,29 @@ def dq_unique(i: Inputs) -> DataFrame:
     """Order lines have no unique pair key; matches do."""
     lines = i.raw.table("lineitem")
     return (
-        quality.check_unique("lineitem", lines, "l_orderkey", "l_linenumber")
-        .unionByName(quality.check_unique("stg_matches", i.stg_matches, "match_id"))
+        quality.check_model("lineitem", lines, unique=("l_orderkey", "l_linenumber"))
+        .unionByName(quality.check_model("stg_matches", i.stg_matches, unique=("match_id",)))
     )
 
 
 @query
 def dq_not_null(i: Inputs) -> DataFrame:
     """Facts of reports are missing where the match is unknown."""
-    return quality.check_rows("match_reports", i.reports, quality.not_null("id", "match_id", "home_team", "match_date"))
+    return quality.check_model("match_reports", i.reports, quality.not_null("id", "match_id", "home_team", "match_date"))
 
 
 @query
 def dq_accepted_values(i: Inputs) -> DataFrame:
-    return quality.check_rows(
+    return quality.check_model(
         "raw_matches", i.raw_matches, quality.accepted_values("status", ["FINISHED", "SCHEDULED"])
     )
 
 
 @query
 def dq_ranges(i: Inputs) -> DataFrame:
-    return quality.check_rows(
-        "mart_bottler_index", i.bottlers, quality.between("drop_rate_pct", 0, 60)
-    ).unionByName(
-        quality.check_rows(
-            "mart_match_results", i.matches,
-            [*quality.at_least("home_goals", 1), *quality.date_in_season("match_date", "season_id")],
-        )
-    )
+    rates = quality.check_model("mart_bottler_index", i.bottlers, quality.between("drop_rate_pct", 0, 60))
+    rules = quality.at_least("home_goals", 1) + quality.date_in_season("match_date", "season_id")
+    return rates.unionByName(quality.check_model("mart_match_results", i.matches, rules))
 
 
 @query

@@ -111,6 +111,30 @@ def league_flags(features: DataFrame) -> DataFrame:
     )
 
 
+def prompts(features: DataFrame, preface: str = "") -> DataFrame:
+    """A team's ratios beside its league's as text, for a reviewer outside this job."""
+
+    def line(label: str, name: str, places: int | None = None) -> list[Column]:
+        value = F.col(name) if places is None else F.round(F.col(name).cast("decimal(18,6)"), places)
+        return [F.lit(label), F.coalesce(value.cast("string"), F.lit("None"))]
+
+    text = F.concat(
+        *line(f"{preface}Team: ", "team_name"),
+        *line("\nCompetition: ", "competition_name"),
+        *line("\nGames played: ", "played_games"),
+        *line("\n\nTeam stats:\n- Points per game: ", "points_per_game", 2),
+        *line("\n- Win percentage: ", "win_percentage", 1),
+        *line("%\n- Goals per game: ", "goals_per_game", 2),
+        *line("\n- Conceded per game: ", "conceded_per_game", 2),
+        *line("\n- Goal difference: ", "goal_difference"),
+        *line("\n\nLeague averages:\n- Avg points per game: ", "league_avg_ppg", 2),
+        *line("\n- Avg goals per game: ", "league_avg_goals", 2),
+        *line("\n- Avg conceded per game: ", "league_avg_conceded", 2),
+        *line("\n- Std deviation PPG: ", "stddev_ppg", 2),
+    )
+    return features.select("team_name", *GROUPS, text.alias("prompt"))
+
+
 def anomaly_summary(flags: DataFrame) -> DataFrame:
     return flags.groupBy("competition_code").agg(
         F.count("*").alias("teams_analysed"), count_where(F.col("is_anomalous")).alias("teams_flagged")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.rounding import count_where
-from tallyline.functions.season import in_season, season_of_date
+from tallyline.functions.season import season_of_date
 
 
 @dataclass(frozen=True)
@@ -43,64 +43,53 @@ def date_in_season(day: str, season_id: str) -> list[RowRule]:
     return [RowRule("range", day, season_of_date(F.col(day)) != start)]
 
 
-def check_rows(model: str, frame: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """All row rules of a model in one pass."""
-    counts = frame.agg(*[count_where(r.broken).alias(f"_{i}") for i, r in enumerate(rules)])
-    lines = [
-        F.struct(
-            F.lit(r.rule).alias("rule"), F.lit(model).alias("model"),
-            F.lit(r.column).alias("column_name"), F.col(f"_{i}").alias("n_bad"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return _verdict(counts.select(F.inline(F.array(*lines))))
-
-
-def check_unique(model: str, frame: DataFrame, *key: str) -> DataFrame:
-    """Keys that occur more than once; rows without a key are not_null's business."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    repeated = frame.filter(present).groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1")
-    counted = repeated.agg(F.count("*").alias("n_bad"))
-    return _verdict(
-        counted.select(
-            F.lit("unique").alias("rule"), F.lit(model).alias("model"),
-            F.lit(",".join(key)).alias("column_name"), "n_bad",
-        )
+def check_model(model: str, frame: DataFrame, rules: Sequence[RowRule] = (), unique: Sequence[str] = ()) -> DataFrame:
+    """Every rule of a model in one pass over it.
+
+    With a ``unique`` key the rows are first counted per key, rule breaks included, so the
+    uniqueness check and the row rules share the scan and its one shuffle. Rows without a
+    complete key do not count as repeated; that is not_null's business.
+    """
+    breaks = [count_where(r.broken).alias(f"_{n}") for n, r in enumerate(rules)]
+    lines = [_line(r.rule, model, r.column, F.col(f"_{n}")) for n, r in enumerate(rules)]
+    if not unique:
+        counts = frame.agg(*breaks)
+    else:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique])
+        per_key = frame.groupBy(*unique).agg(F.count("*").alias("_rows"), *breaks)
+        sums = [F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"_{n}") for n in range(len(rules))]
+        counts = per_key.agg(count_where(complete & (F.col("_rows") > 1)).alias("_repeated"), *sums)
+        lines.insert(0, _line("unique", model, ",".join(unique), F.col("_repeated")))
+    found = counts.select(F.inline(F.array(*lines)))
+    return found.withColumn("ok", F.col("n_bad") == 0)
+
+
+def _line(rule: str, model: str, column: str, n_bad: Column) -> Column:
+    return F.struct(
+        F.lit(rule).alias("rule"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+        n_bad.alias("n_bad"),
     )
 
 
-def _verdict(counted: DataFrame) -> DataFrame:
-    return counted.withColumn("ok", F.col("n_bad") == 0)
+# The declared checks: per model its unique key and its row rules.
+CHECKS: dict[str, tuple[tuple[str, ...], Callable[[], list[RowRule]]]] = {
+    "stg_competitions": (("competition_id",), lambda: not_null("competition_id", "competition_code")),
+    "stg_teams": (("team_id",), lambda: not_null("team_id")),
+    "stg_matches": (("match_id",), lambda: not_null("match_id") + accepted_values("status", ["FINISHED"])),
+    "stg_standings": ((), lambda: not_null("team_id", "points")),
+    "int_match_results": (("match_id",), lambda: not_null("match_id")),
+    "int_team_form": ((), lambda: not_null("team_id")),
+    "mart_match_results": (
+        ("match_id",),
+        lambda: not_null("match_id") + at_least("home_goals", 0) + at_least("away_goals", 0)
+        + date_in_season("match_date", "season_id"),
+    ),
+    "mart_league_table": (("competition_id", "season_id", "team_name"), lambda: not_null("team_name", "points")),
+    "mart_bottler_index": ((), lambda: not_null("team_name", "drop_rate_pct") + between("drop_rate_pct", 0, 100)),
+}
 
 
 def run_all(models: dict[str, DataFrame]) -> DataFrame:
-    """The checks of every model that is given, as one result."""
-    checks: list[DataFrame] = []
-
-    def rows(model: str, *groups: list[RowRule]) -> None:
-        if model in models:
-            checks.append(check_rows(model, models[model], [r for g in groups for r in g]))
-
-    def unique(model: str, *key: str) -> None:
-        if model in models:
-            checks.append(check_unique(model, models[model], *key))
-
-    unique("stg_competitions", "competition_id")
-    unique("stg_teams", "team_id")
-    unique("stg_matches", "match_id")
-    unique("int_match_results", "match_id")
-    unique("mart_match_results", "match_id")
-    unique("mart_league_table", "competition_id", "season_id", "team_name")
-    rows("stg_competitions", not_null("competition_id", "competition_code"))
-    rows("stg_teams", not_null("team_id"))
-    rows("stg_matches", not_null("match_id"), accepted_values("status", ["FINISHED"]))
-    rows("stg_standings", not_null("team_id", "points"))
-    rows("int_match_results", not_null("match_id"))
-    rows("int_team_form", not_null("team_id"))
-    rows(
-        "mart_match_results", not_null("match_id"), at_least("home_goals", 0), at_least("away_goals", 0),
-        date_in_season("match_date", "season_id"),
-    )
-    rows("mart_league_table", not_null("team_name", "points"))
-    rows("mart_bottler_index", not_null("team_name", "drop_rate_pct"), between("drop_rate_pct", 0, 100))
-    return reduce(DataFrame.unionByName, checks)
+    """The declared checks of every model that is given, as one result."""
+    reports = [check_model(m, models[m], rules(), key) for m, (key, rules) in CHECKS.items() if m in models]
+    return reduce(DataFrame.unionByName, reports)

@@ -31,7 +31,7 @@ def as_table(
 
 def publish(spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str = MARTS) -> None:
     """Write frames and register them as ``<layer>.<name>`` for SQL statements."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
     for name, frame in frames.items():
         as_table(frame, root, layer, name)
         columns = ", ".join(f"`{c}`" for c in frame.columns)

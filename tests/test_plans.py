@@ -286,16 +286,22 @@ def test_context_block_keeps_the_order(spark):
 
 def test_quality_rules(spark, matches):
     frame = spark.createDataFrame([(1, "a", 5), (1, None, -1), (None, "b", 101)], "id int, s string, x int")
-    found = quality.check_rows(
-        "m", frame, [*quality.not_null("id", "s"), *quality.accepted_values("s", ["a"]), *quality.between("x", 0, 100),
-                     *quality.at_least("x", 0)]
-    ).collect()
-    assert [(r.rule, r.column_name, r.n_bad, r.ok) for r in found] == [
+    rules = [*quality.not_null("id", "s"), *quality.accepted_values("s", ["a"]), *quality.between("x", 0, 100),
+             *quality.at_least("x", 0)]
+    want = [
         ("not_null", "id", 1, False), ("not_null", "s", 1, False), ("accepted_values", "s", 1, False),
         ("range", "x", 2, False), ("range", "x", 1, False),
     ]
-    unique = quality.check_unique("m", frame, "id").first()
-    assert (unique.n_bad, unique.ok) == (1, False)
+
+    def lines(found):
+        return [(r.rule, r.column_name, r.n_bad, r.ok) for r in found.collect()]
+
+    assert lines(quality.check_model("m", frame, rules)) == want
+    assert lines(quality.check_model("m", frame, rules, ["id"])) == [("unique", "id", 1, False), *want]
+    assert lines(quality.check_model("m", frame, unique=["id", "x"])) == [("unique", "id,x", 0, True)]
+    assert lines(quality.check_model("m", frame.limit(0), rules, ["id"])) == [("unique", "id", 0, True)] + [
+        (rule, column, 0, True) for rule, column, _, _ in want
+    ]
     report = quality.run_all({"mart_match_results": matches})
     assert report.count() == 5 and report.filter("not ok").count() == 0
 
