@@ -570,6 +570,16 @@ oracle("mart_league_table", "SELECT * FROM league", "league")
 oracle("mart_bottler_index", "SELECT * FROM bottlers", "bottlers")
 oracle("team_form_all", "SELECT * FROM form", "form")
 
+oracle(
+    "build_models",
+    """SELECT 'int_match_results' AS model, COUNT(*) AS rows, COUNT(DISTINCT match_id) AS keys FROM mart
+    UNION ALL SELECT 'int_team_form', COUNT(*), COUNT(DISTINCT team_id) FROM legs
+    UNION ALL SELECT 'mart_match_results', COUNT(*), COUNT(DISTINCT match_id) FROM mart
+    UNION ALL SELECT 'mart_league_table', COUNT(*), COUNT(DISTINCT team_name) FROM league
+    UNION ALL SELECT 'mart_bottler_index', COUNT(*), COUNT(DISTINCT team_id) FROM bottlers""",
+    "mart", "legs", "league", "bottlers",
+)
+
 LINE = "match_id, match_date, competition_code, home_team_name, away_team_name, total_goals"
 oracle("flt_status", "SELECT id, status FROM raw_matches WHERE status = 'FINISHED'", "raw_matches")
 oracle(

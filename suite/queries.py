@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from tallyline.operators.ranking import rank_within
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
 from tallyline.operators.vector_search import similar_chunks, top_chunks
-from tallyline.plans import adhoc, anomalies, evaluation, models, quality, reports, tools
+from tallyline.plans import adhoc, anomalies, build, evaluation, models, quality, reports, tools
+from tallyline.plans.build import RawTables
 from tallyline.sinks.keyed_table import KeyedTable
 from tallyline.sinks.layers import publish
 from tallyline.sinks.run_log import RunLog
@@ -237,6 +239,22 @@ register("mart_league_table", lambda i: i.league_table)
 register("mart_bottler_index", lambda i: i.bottlers)
 register("team_form_all", lambda i: i.team_form)
 
+
+@query
+def build_models(i: Inputs) -> DataFrame:
+    """Every layer written and read back: rows and distinct match or team keys per model."""
+    raw = RawTables(i.raw.competitions(), i.raw.teams(), i.raw_matches, i.raw_standings)
+    built = build.build_models(raw, fresh_dir(i.spark, "layers"))
+    counts = [
+        built[name].agg(F.lit(name).alias("model"), F.count("*").alias("rows"), F.countDistinct(key).alias("keys"))
+        for name, key in (
+            ("int_match_results", "match_id"), ("int_team_form", "team_id"), ("mart_match_results", "match_id"),
+            ("mart_league_table", "team_name"), ("mart_bottler_index", "team_id"),
+        )
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # -- filters ---------------------------------------------------------------------------
 
 LINE = ("match_id", "match_date", "competition_code", "home_team_name", "away_team_name", "total_goals")

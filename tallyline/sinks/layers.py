@@ -16,15 +16,23 @@ def as_view(frame: DataFrame, layer: str, name: str) -> str:
 
 
 def as_table(
-    frame: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()
+    frame: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Overwrite one table of a layer and read it back.
 
     With ``partition_by`` the rows are first gathered by those columns, so that a partition
     gets few files; rebalancing splits a partition value that is too large for one task.
+    ``sort_by`` orders the rows of each file, so that a range filter skips row groups.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}"
     rows = frame.hint("rebalance", *partition_by) if partition_by else frame
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)
 

@@ -8,8 +8,6 @@ only when its own size estimate or the runtime statistics allow it.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +15,7 @@ from tallyline.functions.rounding import count_where
 from tallyline.functions.season import season_of_date
 
 HALF_TIME_LINE = 3
+LOADED_AT = "2001-09-01 00:00:00"  # the dimension tables carry no load time of their own
 
 
 class ContestTables:
@@ -37,7 +36,7 @@ class ContestTables:
             F.lit("LEAGUE").alias("type"),
             F.col("r_name").alias("area_name"),
             F.lit("TIER_ONE").alias("plan"),
-            F.lit(dt.datetime(2001, 9, 1)).cast("timestamp_ntz").alias("ingested_at"),
+            F.lit(LOADED_AT).cast("timestamp_ntz").alias("ingested_at"),
         )
 
     def teams(self) -> DataFrame:
@@ -49,7 +48,7 @@ class ContestTables:
             F.upper(F.right("n_name", F.lit(3))).alias("tla"),
             F.col("n_regionkey").cast("bigint").alias("competition_id"),
             F.col("r_name").alias("area_name"),
-            F.lit(dt.datetime(2001, 9, 1)).cast("timestamp_ntz").alias("ingested_at"),
+            F.lit(LOADED_AT).cast("timestamp_ntz").alias("ingested_at"),
         )
 
     def matches(self) -> DataFrame:

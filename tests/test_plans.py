@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.plans import adhoc, anomalies, evaluation, models, quality, reports, tools
+from tallyline.plans import adhoc, anomalies, build, evaluation, models, quality, reports, tools
 from tallyline.sinks.layers import as_table, as_view, publish
 from tests.data import MATCH_DICTS, legs
 
@@ -219,6 +219,23 @@ def test_layers(spark, matches, tmp_path):
     assert spark.table(as_view(matches, "staging", "matches")).count() == matches.count()
 
 
+def test_build_and_check(spark, competitions, tmp_path):
+    source = raw(spark, (1, "FINISHED", (3, 6), (1, 3), 1), (2, "FINISHED", (1, 1), (1, 0), 1), (3, "TIMED", (None, None), (None, None), 1))
+    teams = spark.createDataFrame(
+        [(1, "Spurs", "S", "SPU", 1, "E", None)],
+        "id long, name string, short_name string, tla string, competition_id long, area_name string, ingested_at timestamp_ntz",
+    )
+    standings = models.standings_from_matches(models.stg_matches(source))
+    built = build.build_models(build.RawTables(competitions, teams, source, standings), str(tmp_path))
+    assert spark.table("staging_stg_matches").count() == 2
+    assert {r.match_id for r in built["mart_match_results"].collect()} == {1, 2}
+    assert built["int_team_form"].count() == 4
+    again = build.build_models(build.RawTables(competitions, teams, source, standings), str(tmp_path / "next"))
+    assert again["mart_league_table"].collect() == built["mart_league_table"].collect()
+    checks = build.check_models(built).collect()
+    assert len(checks) == 24 and all(c.ok for c in checks)
+
+
 # -- outliers --------------------------------------------------------------------------
 
 
