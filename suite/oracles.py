@@ -990,13 +990,17 @@ oracle(
     checks(("accepted_values", "raw_matches", "status", bad("raw_matches", "status NOT IN ('FINISHED', 'SCHEDULED')"))),
     "raw_matches",
 )
-OFF_SEASON = f"{season_of('match_date')} <> season_id % 10000"
+def spread(key: str) -> str:
+    return f"SELECT COUNT(*) FROM (SELECT {key} FROM mart GROUP BY {key} HAVING COUNT(DISTINCT {season_of('match_date')}) > 1)"
+
+
 oracle(
     "dq_ranges",
     checks(
         ("range", "mart_bottler_index", "drop_rate_pct", bad("bottlers", "drop_rate_pct NOT BETWEEN 0 AND 60")),
         ("range", "mart_match_results", "home_goals", bad("mart", "home_goals < 1")),
-        ("range", "mart_match_results", "match_date", bad("mart", OFF_SEASON)),
+        ("one_season", "mart_match_results", "match_date", spread("season_id")),
+        ("one_season", "matches_by_team", "match_date", spread("home_team_id")),
     ),
     "bottlers",
 )
@@ -1022,7 +1026,7 @@ oracle(
         ("not_null", "mart_match_results", "match_id", bad("mart", "match_id IS NULL")),
         ("range", "mart_match_results", "home_goals", bad("mart", "home_goals < 0")),
         ("range", "mart_match_results", "away_goals", bad("mart", "away_goals < 0")),
-        ("range", "mart_match_results", "match_date", bad("mart", OFF_SEASON)),
+        ("one_season", "mart_match_results", "match_date", spread("season_id")),
         ("not_null", "mart_league_table", "team_name", bad("league", "team_name IS NULL")),
         ("not_null", "mart_league_table", "points", bad("league", "points IS NULL")),
         ("not_null", "mart_bottler_index", "team_name", bad("bottlers", "team_name IS NULL")),

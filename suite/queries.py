@@ -638,8 +638,13 @@ def dq_accepted_values(i: Inputs) -> DataFrame:
 @query
 def dq_ranges(i: Inputs) -> DataFrame:
     rates = quality.check_model("mart_bottler_index", i.bottlers, quality.between("drop_rate_pct", 0, 60))
-    rules = quality.at_least("home_goals", 1) + quality.date_in_season("match_date", "season_id")
-    return rates.unionByName(quality.check_model("mart_match_results", i.matches, rules))
+    goals = quality.check_model("mart_match_results", i.matches, quality.at_least("home_goals", 1))
+    teams = i.matches.withColumn("season_id", F.col("home_team_id"))
+    return (
+        rates.unionByName(goals)
+        .unionByName(quality.check_one_season("mart_match_results", i.matches))
+        .unionByName(quality.check_one_season("matches_by_team", teams))
+    )
 
 
 @query

@@ -41,12 +41,14 @@ def with_form(
 
 
 def _windowed(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both columns from one sort: the recency is the history's length less the rows before."""
     oldest_first = Window.partitionBy(*keys).orderBy(*ORDER)
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in ORDER])
+    whole = oldest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = F.count("*").over(whole) - F.row_number().over(oldest_first)
     return sides.withColumns(
         {
             FORM: F.sum("points_earned").over(oldest_first.rowsBetween(1 - FRAME, 0)),
-            RECENCY: F.row_number().over(newest_first).cast("bigint"),
+            RECENCY: later.cast("bigint") + 1,
         }
     )
 
