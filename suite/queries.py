@@ -17,7 +17,6 @@ from tallyline.functions.text import text_chunks
 from tallyline.functions.vectors import cosine_distance, cosine_similarity
 from tallyline.operators import filters as on
 from tallyline.operators.latest import upsert
-from tallyline.operators.ranking import rank_within
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
 from tallyline.operators.vector_search import similar_chunks, top_chunks
@@ -84,6 +83,12 @@ def src_players(i: Inputs) -> DataFrame:
     return documents.players(i.squad_docs()).drop(*VOLATILE)
 
 
+register(
+    "scan_window",
+    lambda i: scan_window(i.raw_matches, Window.full(TODAY)).select("id", "utc_date", "status"),
+)
+
+
 @query
 def scan_windows(i: Inputs) -> DataFrame:
     """Matches that each kind of run would read, as of TODAY."""
@@ -106,11 +111,6 @@ def scan_windows(i: Inputs) -> DataFrame:
     return tagged.groupBy("run").agg(F.count("*").alias("matches"), F.sum("id").alias("id_sum"))
 
 
-QUERIES["scan_window"] = lambda spark, sf_dir: scan_window(
-    Inputs(spark, sf_dir).raw_matches, Window.full(TODAY)
-).select("id", "utc_date", "status")
-
-
 @query
 def src_partial_failure(i: Inputs) -> DataFrame:
     """Truncated documents and unreadable ids are kept apart; the rest is ingested."""
@@ -403,9 +403,16 @@ def fn_cosine(i: Inputs) -> DataFrame:
 
 # -- set operations --------------------------------------------------------------------
 
-register("sides_unpivot", lambda i: sides_unpivot(i.matches, keep=("match_id", "match_date", "competition_id", "season_id")))
-register("sides_unpivot_names", lambda i: sides_unpivot(i.matches, keep=("match_id", "result")).select("match_id", "team_name", "result"))
-register("distinct_union", lambda i: reports.distinct_union(reports.embedding_backlog(i.stored, i.vectors), i.stored))
+MATCH_KEYS = ("match_id", "match_date", "competition_id", "season_id")
+register("sides_unpivot", lambda i: sides_unpivot(i.matches, keep=MATCH_KEYS))
+register(
+    "sides_unpivot_names",
+    lambda i: sides_unpivot(i.matches, keep=("match_id", "result")).select("match_id", "team_name", "result"),
+)
+register(
+    "distinct_union",
+    lambda i: reports.distinct_union(reports.embedding_backlog(i.stored, i.vectors), i.stored),
+)
 
 # -- streaming -------------------------------------------------------------------------
 
@@ -470,16 +477,14 @@ register(
 )
 
 
-@query
-def season_cuts(i: Inputs) -> DataFrame:
-    day = F.col("match_date")
-    return i.matches.select(
-        "match_id", season_of_date(day).alias("july_season"), season_of_date(day, 8).alias("august_season")
-    )
-
-
-QUERIES["season_of_date"] = QUERIES.pop("season_cuts")
-
+register(
+    "season_of_date",
+    lambda i: i.matches.select(
+        "match_id",
+        season_of_date(F.col("match_date")).alias("july_season"),
+        season_of_date(F.col("match_date"), 8).alias("august_season"),
+    ),
+)
 register(
     "text_chunks",
     lambda i: i.raw.table("conversations").select(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.operators.ranking import join_on
+
 
 def latest_by_key(
     rows: DataFrame,
@@ -34,6 +36,25 @@ def latest_by_key(
     )
 
 
+def merged(
+    target: DataFrame, newest: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """``target`` with the rows of ``newest`` in place of its own; each has a key at most once.
+
+    The target only loses the rows that are replaced. While ``newest`` is small enough for
+    Spark to broadcast, the target is not shuffled.
+    """
+    columns = target.columns
+    untouched = join_on(target, newest.select(*keys), keys, "left_anti")
+    kept = [] if update_cols is None else [c for c in columns if c not in keys and c not in update_cols]
+    if kept:
+        before = target.select(*keys, F.struct(*kept).alias("_before"))
+        newest = join_on(newest, before, keys, "left").withColumns(
+            {c: F.when(F.col("_before").isNotNull(), F.col(f"_before.{c}")).otherwise(F.col(c)) for c in kept}
+        )
+    return untouched.unionByName(newest.select(*columns))
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -43,10 +64,7 @@ def upsert(
 ) -> DataFrame:
     """``target`` after ``batch``; of several batch rows with one key the last by ``order`` wins."""
     columns = target.columns
-    types = {f.name: f.dataType for f in batch.schema}
-    before = F.struct(F.lit(0).alias("turn"), *[F.lit(None).cast(types[c]).alias(c) for c in order])
-    after = F.struct(F.lit(1).alias("turn"), *order)
-    rows = target.withColumn("_arrival", before).unionByName(
-        batch.select(*columns, after.alias("_arrival"))
-    )
-    return latest_by_key(rows, keys, [F.col("_arrival")], update_cols).select(*columns)
+    rows = batch.select(*columns, F.struct(*order).alias("_arrival"))
+    replaced = None if update_cols is None else [*update_cols, "_arrival"]
+    newest = latest_by_key(rows, keys, [F.col("_arrival")], replaced).drop("_arrival")
+    return merged(target, newest, keys, update_cols)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.rounding import count_where, percentage, ratio
-from tallyline.operators import filters as on
+from tallyline.operators.ranking import rank_within
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
-from tallyline.plans.models import standings_lines
-from tallyline.plans.tools import league_tables, season_lines
+from tallyline.plans.models import BEST_FIRST, combined, table_lines, tallies
+from tallyline.plans.tools import season_lines
+from tallyline.workspace import pinned
 
 SEASON = ("competition_code", "season_id")
 
@@ -44,8 +45,8 @@ def high_drop_rate(bottlers: DataFrame, above: float = 50.0) -> DataFrame:
 
 def away_record(matches: DataFrame) -> DataFrame:
     away = sides_unpivot(matches, keep=SEASON).filter(F.col("venue") == "away")
-    lines = standings_lines(away, (*SEASON, "team_name"))
-    return lines.select(*SEASON, "team_name", "played_games", "won", "draw", "lost", "points").orderBy(
+    record = tallies(away, (*SEASON, "team_name"))
+    return record.select(*SEASON, "team_name", "played_games", "won", "draw", "lost", "points").orderBy(
         F.desc("points"), F.desc("won"), *SEASON, "team_name"
     )
 
@@ -105,14 +106,18 @@ def top_bottlers(bottlers: DataFrame, n: int = 5) -> DataFrame:
 
 
 def record_vs_top_n(matches: DataFrame, n: int = 6) -> DataFrame:
-    """Every team's record against opponents ranked n or better in that season's table."""
-    best = league_tables(matches).filter(F.col("position") <= n).select(
-        *SEASON, F.col("team_name").alias("opponent_name")
-    )
-    sides = sides_unpivot(matches, keep=SEASON)
-    against = sides.join(best, [*SEASON, "opponent_name"], "left_semi")
-    lines = standings_lines(against, (*SEASON, "team_name"))
-    return lines.select(*SEASON, "team_name", "played_games", "won", "draw", "lost", "points")
+    """Every team's record against opponents ranked n or better in that season's table.
+
+    The matches are tallied once per pair of teams; the table and the records both follow
+    from those tallies.
+    """
+    per_pair = (*SEASON, "team_name", "opponent_name")
+    per_team = (*SEASON, "team_name")
+    pairs = pinned(tallies(sides_unpivot(matches, keep=SEASON), per_pair))
+    table = rank_within(table_lines(combined(pairs, per_team)), SEASON, BEST_FIRST)
+    best = table.filter(F.col("position") <= n).select(*SEASON, F.col("team_name").alias("opponent_name"))
+    against = combined(pairs.join(best, [*SEASON, "opponent_name"], "left_semi"), per_team)
+    return against.select(*per_team, "played_games", "won", "draw", "lost", "points")
 
 
 def league_goals_ranking(matches: DataFrame) -> DataFrame:

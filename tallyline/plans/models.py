@@ -120,13 +120,13 @@ def mart_match_results(results: DataFrame) -> DataFrame:
     return results.select(*MATCH_COLUMNS)
 
 
-def standings_lines(sides: DataFrame, groups: Sequence[str], *extra: Column) -> DataFrame:
-    """Table line of every group: games, results, goals, points and the four ratios.
+TALLIES = ("played_games", "won", "draw", "lost", "goals_for", "goals_against", "points")
+
 
-    ``extra`` aggregates are computed in the same pass and come first.
-    """
+def tallies(sides: DataFrame, groups: Sequence[str], *extra: Column) -> DataFrame:
+    """Games, results, goals and points of every group; ``extra`` aggregates come in between."""
     result = F.col("team_result")
-    lines = sides.groupBy(*groups).agg(
+    return sides.groupBy(*groups).agg(
         *extra,
         F.count("*").alias("played_games"),
         count_where(result == "win").alias("won"),
@@ -136,9 +136,18 @@ def standings_lines(sides: DataFrame, groups: Sequence[str], *extra: Column) ->
         F.sum("goals_conceded").alias("goals_against"),
         F.sum("points_earned").alias("points"),
     )
+
+
+def combined(parts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Tallies of finer groups added up."""
+    return parts.groupBy(*groups).agg(*[F.sum(t).alias(t) for t in TALLIES])
+
+
+def table_lines(tallied: DataFrame) -> DataFrame:
+    """Tallies with goal difference and the four ratios, in the order of a league table."""
     played = F.col("played_games")
-    leading = lines.columns[: len(groups) + len(extra)]
-    return lines.select(
+    leading = [c for c in tallied.columns if c not in TALLIES]
+    return tallied.select(
         *leading, "played_games", "won", "draw", "lost", "goals_for", "goals_against",
         (F.col("goals_for") - F.col("goals_against")).alias("goal_difference"),
         "points",
@@ -149,6 +158,10 @@ def standings_lines(sides: DataFrame, groups: Sequence[str], *extra: Column) ->
     )
 
 
+def standings_lines(sides: DataFrame, groups: Sequence[str], *extra: Column) -> DataFrame:
+    return table_lines(tallies(sides, groups, *extra))
+
+
 BEST_FIRST = ("points", "goal_difference", "goals_for")
 
 

@@ -1,19 +1,22 @@
 """Insert-or-replace by key on plain Parquet.
 
-Every batch is written to a partition of its own, so a write costs what the batch costs,
-never touches older files and can be replayed: the same batch id overwrites the same
-folder. Readers see one row per key, the last one written. ``compacted`` folds the log.
+Every batch is written to a folder of its own, with each key once. A write costs what the
+batch costs, never touches older files and can be replayed: the same batch id overwrites the
+same folder. Readers see the last version of each key. Batch 0 is the base, either the first
+batch or the result of ``compacted``; only the batches after it are grouped by key, and the
+base merely loses the rows they replace.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.latest import latest_by_key
+from tallyline.operators.latest import latest_by_key, merged
 from tallyline.schemas import TableSpec
 
 BATCH, SEQ = "batch_id", "batch_seq"
@@ -40,16 +43,35 @@ class KeyedTable:
         counted.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={int(batch_id)}")
         return seen.get["rows"], stored.get["rows"]
 
+    def _read(self, batches: str) -> DataFrame | None:
+        """The batches whose id fits a file pattern; None when there are none.
+
+        Reading just these folders lets Spark know their size before it plans a join.
+        """
+        schema = T.StructType([*self.spec.schema.fields, T.StructField(BATCH, T.LongType())])
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        try:
+            return reader.parquet(f"{self.path}/{BATCH}={batches}")
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def history(self) -> DataFrame:
         """All written versions, with the batch that wrote them."""
-        schema = T.StructType([*self.spec.schema.fields, T.StructField(BATCH, T.LongType())])
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        return self._read("*")
 
     def current(self) -> DataFrame:
-        merged = latest_by_key(
-            self.history(), self.spec.keys, [F.col(BATCH)], (*self.spec.replaced, BATCH)
-        )
-        return merged.select(*self.spec.schema.names)
+        names = self.spec.schema.names
+        base, later = self._read("0"), self._read("[1-9]*")
+        if base is None and later is None:
+            return self.spark.createDataFrame([], self.spec.schema)
+        if later is None:
+            return base.select(*names)
+        newest = latest_by_key(later, self.spec.keys, [F.col(BATCH)], (*self.spec.replaced, BATCH))
+        if base is None:
+            return newest.select(*names)
+        return merged(base.select(*names), newest.select(*names), self.spec.keys, self.spec.replaced)
 
     def pruned(self, parent: str, child: str) -> DataFrame:
         """Current rows without children that the parent's newest batch no longer wrote."""

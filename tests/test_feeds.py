@@ -163,6 +163,30 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert folded.current().count() == 3
 
 
+def test_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), S.CHUNKS)
+    many = spark.range(50_000).selectExpr(
+        "id as report_id", "0 as chunk_index", "uuid() as chunk_text", "array(cast(id as float)) as embedding",
+        "cast(null as timestamp_ntz) as created_at",
+    )
+    table.upsert(many, 0, ["chunk_text"])
+    table.upsert(many.limit(5), 1, ["chunk_text"])
+    current = table.current()
+    assert current.count() == 50_000
+    current.collect()
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+
+
+def test_update_columns_over_a_base(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), S.REPORTS)
+    table.upsert(report_rows(spark, (1, 1, "a"), (2, 1, "b")), 0, ["generated_at"])
+    table.upsert(report_rows(spark, (2, 2, "c"), (3, 2, "e")), 7, ["generated_at"])
+    table.upsert(report_rows(spark, (3, 4, "f")), 12, ["generated_at"])
+    rows = {r.match_id: (r.narrative, r.competition_code, r.generated_at.day) for r in table.current().collect()}
+    assert rows == {1: ("a", "L1", 1), 2: ("c", "L1", 2), 3: ("f", "L2", 4)}
+
+
 def test_stale_chunks_stay_unless_pruned(spark, tmp_path):
     def chunks(*rows):
         return spark.createDataFrame([(r, i, t, [1.0], None) for r, i, t in rows], S.REPORT_CHUNKS)
