@@ -20,14 +20,12 @@ from tallyline.operators.latest import upsert
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
 from tallyline.operators.vector_search import similar_chunks, top_chunks
-from tallyline.plans import adhoc, anomalies, build, evaluation, models, quality, reports, tools
+from tallyline.plans import adhoc, anomalies, build, evaluation, ingest, models, quality, reports, tools
 from tallyline.plans.build import RawTables
-from tallyline.sinks.keyed_table import KeyedTable
 from tallyline.sinks.layers import publish
-from tallyline.sinks.run_log import RunLog
 from tallyline.sources import documents
 from tallyline.sources.landing import Window, scan_window
-from tallyline.streaming import ingest
+from tallyline.streaming import landing as stream
 from tallyline.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,18 +210,11 @@ def upsert_chunks(i: Inputs) -> DataFrame:
 @query
 def ingestion_log(i: Inputs) -> DataFrame:
     """All five feeds through their keyed tables, one log line each."""
-    root = fresh_dir(i.spark, "ingest")
-    log = RunLog(i.spark, f"{root}/ingestion_log")
-    feeds = {
-        "competitions": (S.COMPETITIONS, documents.competitions(i.competition_docs()), ("id",)),
-        "teams": (S.TEAMS, documents.teams(i.team_docs()), ("competition_id",)),
-        "matches": (S.MATCHES, documents.matches(i.match_docs()), ("utc_date",)),
-        "standings": (S.STANDINGS, documents.standings(i.standing_docs()), ("table_no", "row_no")),
-        "players": (S.PLAYERS, documents.players(i.squad_docs()), ("team_id",)),
+    docs = {
+        "competitions": i.competition_docs(), "teams": i.team_docs(), "matches": i.match_docs(),
+        "standings": i.standing_docs(), "players": i.squad_docs(),
     }
-    for entity, (spec, rows, order) in feeds.items():
-        table = KeyedTable(i.spark, f"{root}/{entity}", spec)
-        log.run(f"ingest_{entity}", entity, lambda: table.upsert(rows, 1, order))
+    log = ingest.ingest(docs, fresh_dir(i.spark, "ingest"), 1)
     return log.entries().select("entity_type", "records_ingested", "keys_ingested", "status")
 
 
@@ -425,11 +416,11 @@ def _land(docs: DataFrame, path: str) -> None:
 def stream_ingest_upsert(i: Inputs) -> DataFrame:
     """Two days of landed files: fixtures first, then the same matches with their results."""
     root = fresh_dir(i.spark, "stream")
-    table = ingest.matches_table(i.spark, f"{root}/matches")
+    table = stream.matches_table(i.spark, f"{root}/matches")
     for scored in (False, True):
         _land(i.match_docs(scored), f"{root}/landing")
-        docs = ingest.landing_stream(i.spark, f"{root}/landing")
-        ingest.ingest_matches(docs, table, f"{root}/checkpoint").awaitTermination()
+        docs = stream.landing_stream(i.spark, f"{root}/landing")
+        stream.ingest_matches(docs, table, f"{root}/checkpoint").awaitTermination()
     return table.current().drop(*VOLATILE)
 
 
@@ -439,9 +430,9 @@ def stream_dedup_late(i: Inputs) -> DataFrame:
     root = fresh_dir(i.spark, "dedup")
     for scored in (False, True, True):
         _land(i.match_docs(scored), f"{root}/landing")
-    rows = documents.matches(ingest.landing_stream(i.spark, f"{root}/landing"), "landed_at")
-    unique = ingest.drop_repeats(rows, "landed_at", "id", "raw_payload")
-    ingest.run_to_table(unique.select("id", "status", "payload_hash"), f"{root}/out", f"{root}/checkpoint")
+    rows = documents.matches(stream.landing_stream(i.spark, f"{root}/landing"), "landed_at")
+    unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
+    stream.run_to_table(unique.select("id", "status", "payload_hash"), f"{root}/out", f"{root}/checkpoint")
     return i.spark.read.parquet(f"{root}/out").select("id", "status")
 
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.schemas import MATCHES
-from tallyline.sinks.keyed_table import KeyedTable
+from tallyline import schemas as S
+from tallyline.sinks.keyed_table import BATCH, KeyedTable
 from tallyline.sources import documents
 
 HORIZON = "15 days"
@@ -28,19 +29,25 @@ def landing_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PE
                         F.col("_metadata.file_name").alias("landed_file"))
 
 
-def ingest_matches(docs: DataFrame, table: KeyedTable, checkpoint: str):
+def ingest_matches(
+    docs: DataFrame, table: KeyedTable, checkpoint: str, quarantine: str | None = None
+) -> StreamingQuery:
     """Start the upsert of a stream of match documents; the caller awaits the query.
 
-    ``foreachBatch`` may replay a batch after a failure; its id names the folder it writes,
-    so a replay leaves the table as it was.
+    ``foreachBatch`` may replay a batch after a failure; its id names the folders it writes,
+    so a replay leaves the table as it was. Records that cannot be read go to the
+    ``quarantine`` folder, if one is given.
     """
-    rows = documents.matches(docs, "landed_at", "landed_file")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id, ("landed_at", "landed_file", "utc_date", "raw_payload"))
+        rows = documents.matches(batch, "landed_at", "landed_file")
+        table.upsert(rows, batch_id, ("landed_at", "landed_file", "utc_date", "raw_payload"))
+        if quarantine is not None:
+            bad = documents.quarantine(batch, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}")
 
     return (
-        rows.writeStream.foreachBatch(write)
+        docs.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -70,4 +77,4 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def matches_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, MATCHES)
+    return KeyedTable(spark, path, S.MATCHES)

@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
+from tallyline.plans import ingest
 from tallyline.sinks.keyed_table import KeyedTable
 from tallyline.sinks.run_log import RunLog
 from tallyline.sources import documents
 from tallyline.sources.landing import Window, loader_season, scan_window
 from tallyline.sources.tables import jdbc_options, read_table
-from tallyline.streaming import ingest
+from tallyline.streaming import landing as stream
 from tallyline.workspace import fresh_dir, pinned, shared_root
 
 
@@ -214,6 +215,35 @@ def test_run_log_keeps_failures(spark, tmp_path):
     assert rows == {"teams": (5, 4, "success", None), "matches": (0, 0, "failure", "no feed")}
 
 
+def test_ingestion_run(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "raw")
+    entry = {"team": {"id": 1, "name": "A"}, "position": 1}
+    feeds = {
+        "competitions": {"competitions": [{"id": 9, "name": "N", "code": "C"}]},
+        "teams": {"competition": {"id": 9}, "teams": [{"id": 1, "name": "A"}, {"id": 1, "name": "A2"}]},
+        "matches": {"matches": [match(1), match(2, utcDate="2023-01-01T12:00:00Z")]},
+        "standings": {"competition": {"id": 9}, "season": {"id": 77}, "standings": [{"type": "TOTAL", "table": [entry]}]},
+        "players": {"id": 1, "squad": [{"id": 4, "name": "P"}]},
+    }
+    for entity, doc in feeds.items():
+        land(spark, str(landing / entity), doc)
+    docs = ingest.landed(spark, str(landing))
+    log = ingest.ingest(docs, root, 1, Window.incremental(dt.date(2024, 8, 20)))
+    ingest.ingest(docs, root, 1, Window.incremental(dt.date(2024, 8, 20)))
+    lines = {(r.entity_type, r.records_ingested, r.keys_ingested, r.status) for r in log.entries().collect()}
+    assert lines == {
+        ("competitions", 1, 1, "success"), ("teams", 2, 1, "success"), ("matches", 1, 1, "success"),
+        ("standings", 1, 1, "success"), ("players", 1, 1, "success"),
+    }
+    stored = ingest.tables(spark, root)
+    assert log.entries().count() == 10 and [r.id for r in stored["matches"].current().collect()] == [1]
+    assert stored["teams"].current().first().name == "A2"
+
+
+def test_empty_keyed_table(spark, tmp_path):
+    assert KeyedTable(spark, str(tmp_path / "none"), S.TEAMS).current().count() == 0
+
+
 def test_read_table(spark, tmp_path):
     report_rows(spark, (1, 1, "a")).write.parquet(str(tmp_path / "match_reports"))
     assert read_table(spark, str(tmp_path), S.REPORTS).first().narrative == "a"
@@ -237,7 +267,7 @@ def land(spark, path, *docs):
 
 def test_stream_equals_batch(spark, tmp_path):
     landing = str(tmp_path / "landing")
-    table = ingest.matches_table(spark, str(tmp_path / "table"))
+    table = stream.matches_table(spark, str(tmp_path / "table"))
     days = [
         [{"matches": [match(1, None, "SCHEDULED"), match(2, (0, 0))]}],
         [{"matches": [match(1, (3, 1)), match(3)]}, "broken"],
@@ -245,11 +275,14 @@ def test_stream_equals_batch(spark, tmp_path):
     ]
     for docs in days:
         land(spark, landing, *docs)
-        stream = ingest.landing_stream(spark, landing)
-        ingest.ingest_matches(stream, table, str(tmp_path / "checkpoint")).awaitTermination()
+        docs = stream.landing_stream(spark, landing)
+        query = stream.ingest_matches(docs, table, str(tmp_path / "checkpoint"), str(tmp_path / "bad"))
+        query.awaitTermination()
     got = {r.id: (r.status, r.home_score_full_time, r.away_score_full_time) for r in table.current().collect()}
     assert got == {1: ("FINISHED", 3, 1), 2: ("FINISHED", 0, 1), 3: ("FINISHED", 2, 1)}
     assert table.history().count() == 5
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert [(r.level, r.record, r.batch_id) for r in bad] == [("document", "broken", 1)]
     every = documents.matches(documents.read_landing(spark, landing))
     assert every.select("id").distinct().count() == 3 and every.count() == 5
 
@@ -259,7 +292,7 @@ def test_identical_repeats_are_dropped_and_corrections_pass(spark, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for docs in ([{"matches": [match(1)]}], [{"matches": [match(1), match(2)]}], [{"matches": [match(1, (2, 2))]}]):
         land(spark, landing, *docs)
-        rows = documents.matches(ingest.landing_stream(spark, landing), "landed_at")
-        unique = ingest.drop_repeats(rows, "landed_at", "id", "raw_payload")
-        ingest.run_to_table(unique.select("id", "away_score_full_time"), out, checkpoint)
+        rows = documents.matches(stream.landing_stream(spark, landing), "landed_at")
+        unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
+        stream.run_to_table(unique.select("id", "away_score_full_time"), out, checkpoint)
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(1, 1), (1, 2), (2, 1)]
