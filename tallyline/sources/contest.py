@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyline.functions.rounding import count_where
 from tallyline.functions.season import season_of_date
@@ -17,6 +18,8 @@ from tallyline.functions.season import season_of_date
 HALF_TIME_LINE = 3
 LOADED_AT = "2001-09-01 00:00:00"  # the dimension tables carry no load time of their own
 
+_schemas: dict[str, StructType] = {}
+
 
 class ContestTables:
     """Raw contest tables over one directory of Parquet files."""
@@ -26,7 +29,11 @@ class ContestTables:
         self.directory = directory.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A table by name. Its schema is read from the file footers once per process."""
+        path = f"{self.directory}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def competitions(self) -> DataFrame:
         return self.table("region").select(
@@ -61,24 +68,29 @@ class ContestTables:
             count_where(returned & first_half).cast("int").alias("home_half"),
             count_where(accepted & first_half).cast("int").alias("away_half"),
         )
+        # The facts stay on the left and every dimension is joined by itself: the size of a plain
+        # scan is known, so Spark broadcasts the small ones, where a join of two dimensions
+        # would count as their product.
         nations = self.table("nation")
-        home = self.table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            "c_custkey",
+        home = nations.select(
+            F.col("n_nationkey").alias("home_key"),
             F.col("n_nationkey").cast("bigint").alias("home_team_id"),
             F.col("n_name").alias("home_team_name"),
             F.col("n_regionkey").cast("bigint").alias("competition_id"),
         )
-        away = self.table("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-            "s_suppkey",
+        away = nations.select(
+            F.col("n_nationkey").alias("visitor_key"),
             F.col("n_nationkey").cast("bigint").alias("away_team_id"),
             F.col("n_name").alias("away_team_name"),
         )
         played = (
             self.table("orders")
             .join(scores, F.col("o_orderkey") == F.col("l_orderkey"))
-            .join(home, F.col("o_custkey") == F.col("c_custkey"))
-            .join(away, F.col("away_key") == F.col("s_suppkey"))
-            .filter(F.col("home_team_id") != F.col("away_team_id"))
+            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(self.table("supplier"), F.col("away_key") == F.col("s_suppkey"))
+            .filter(F.col("c_nationkey") != F.col("s_nationkey"))
+            .join(home, F.col("c_nationkey") == F.col("home_key"))
+            .join(away, F.col("s_nationkey") == F.col("visitor_key"))
         )
         start = season_of_date(F.to_date("o_orderdate"))
         opening = F.make_date(start, F.lit(7), F.lit(1))
