@@ -41,3 +41,10 @@ def pinned(frame: DataFrame) -> DataFrame:
     """Evaluate once and cut the lineage, reliably: later uses all see the same rows."""
     shared_root(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Write ``frame`` below the shared folder and read it back: cut lineage that outlives executors."""
+    path = fresh_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
