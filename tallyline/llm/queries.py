@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
+ORACLES["op4_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+        ELSE list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1]) END) AS shingle
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 100 * common >= 80 * (x.n + y.n - common)
+), both_ways AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, both_ways.v FROM reach JOIN both_ways ON reach.other = both_ways.u
+), least AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least l ON l.doc_id = d.doc_id
+"""
