@@ -39,7 +39,7 @@ WITH RECURSIVE words AS (
     FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
-        ELSE list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1]) END) AS shingle
+        ELSE [ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))] END) AS shingle
     FROM words
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
