@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm import bit_planes, chunked_bpe
 from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
+from tallyline.workspace import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +64,18 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least l ON l.doc_id = d.doc_id
 """
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = chunked_bpe.Vocabulary.read(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return chunked_bpe.digests(chunked_bpe.encoded(documents(spark, sf_dir), vocabulary), vocabulary)
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    bit_planes.write(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return bit_planes.summary(spark, path)
