@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bit_planes, chunked_bpe
+from tallyline.llm import bit_planes, chunked_bpe, scaled_sketch, skip_chain
 from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
 from tallyline.workspace import fresh_dir
@@ -79,3 +79,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     bit_planes.write(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
     return bit_planes.summary(spark, path)
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edited_likeness(documents(spark, sf_dir))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return skip_chain.found_in(docs, skip_chain.fitted(docs))
