@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bit_planes, chunked_bpe, scaled_sketch, skip_chain
+from tallyline.llm import bit_planes, chunked_bpe, scaled_sketch, skip_chain, suffix_levels
 from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
 from tallyline.workspace import fresh_dir
@@ -90,3 +90,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return skip_chain.found_in(docs, skip_chain.fitted(docs))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.removal(documents(spark, sf_dir))
