@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import bit_planes, chunked_bpe, scaled_sketch, skip_chain, suffix_levels
+from tallyline.llm import bit_planes, bit_sliced, chunked_bpe, length_buckets, role_repair, scaled_sketch, skip_chain, suffix_levels
 from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
 from tallyline.workspace import fresh_dir
@@ -95,3 +96,75 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_levels.removal(documents(spark, sf_dir))
+
+
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return bit_sliced.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op8_topk_search"] = """
+WITH numbers AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM numbers q JOIN numbers c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+"""
+
+
+@query
+def op9_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.packed(documents(spark, sf_dir))
+
+
+def _packing_sql(longest: int, buckets: int, budget: int) -> str:
+    """Dynamic programming with one common table per bucket; ``came`` is where the bucket below ends."""
+    steps = ["least1 AS (SELECT j, size * n_rows - n_tokens AS cost, 0::BIGINT AS came FROM sums)"]
+    for k in range(2, buckets + 1):
+        steps.append(
+            f"least{k} AS (SELECT b.j, min(a.cost + b.size * (b.n_rows - s.n_rows) - (b.n_tokens - s.n_tokens)) AS cost, "
+            f"arg_min(a.j, (a.cost + b.size * (b.n_rows - s.n_rows) - (b.n_tokens - s.n_tokens)) * 100000 + a.j) AS came "
+            f"FROM sums b JOIN (SELECT j, cost FROM least{k - 1} UNION ALL SELECT 0, 0) a ON a.j < b.j "
+            f"JOIN (SELECT j, n_rows, n_tokens FROM sums UNION ALL SELECT 0, 0, 0) s ON s.j = a.j GROUP BY b.j)"
+        )
+    back = [f"end{buckets} AS (SELECT max(j) AS j FROM sums)"]
+    for k in range(buckets, 1, -1):
+        back.append(f"end{k - 1} AS (SELECT came AS j FROM least{k} JOIN end{k} USING (j))")
+    ends = " UNION ".join(f"SELECT j FROM end{k}" for k in range(1, buckets + 1))
+    return f"""
+WITH sized AS (
+    SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM documents
+), pieces AS (
+    SELECT doc_id, piece, piece * {longest} AS start, least(n - piece * {longest}, {longest}) AS n_tokens
+    FROM (SELECT doc_id, n, unnest(range(0, greatest((n + {longest - 1}) // {longest}, 1))) AS piece FROM sized)
+), counts AS (
+    SELECT n_tokens AS size, count(*) AS c FROM pieces WHERE n_tokens > 0 GROUP BY 1
+), sums AS (
+    SELECT row_number() OVER w AS j, size, (sum(c) OVER w)::BIGINT AS n_rows, (sum(size * c) OVER w)::BIGINT AS n_tokens
+    FROM counts WINDOW w AS (ORDER BY size)
+), {", ".join(steps)}, {", ".join(back)}, chosen AS (
+    SELECT size FROM sums WHERE j IN ({ends})
+), bucketed AS (
+    SELECT p.*, (SELECT min(size) FROM chosen WHERE size >= p.n_tokens AND p.n_tokens > 0) AS bucket_len FROM pieces p
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY doc_id, piece, n_tokens) - 1 AS place,
+        greatest({budget} // bucket_len, 1) AS room FROM bucketed
+)
+SELECT doc_id, piece, start, n_tokens, bucket_len,
+    CASE WHEN bucket_len IS NOT NULL THEN place // room END AS batch,
+    CASE WHEN bucket_len IS NOT NULL THEN place % room END AS slot
+FROM numbered
+"""
+
+
+ORACLES["op9_length_packing"] = _packing_sql(length_buckets.LONGEST, length_buckets.BUCKETS, length_buckets.BUDGET)
