@@ -5,14 +5,15 @@
    bitmap, so two bitmaps differ by XOR in about two bits for each sample in which the documents
    differ. Only these rows, some hundred bytes each, are kept; documents with equal sets become
    one from here on.
-2. In each bucket of a band all documents are paired with the smallest one, which is linear in
-   the bucket. The XOR population count of a pair's sketches drops what cannot be similar; the
-   bound is six standard deviations wide, so a similar pair is never dropped in practice.
+2. Of each bucket of a band one document is the hub, the one with the most company over all its
+   buckets, and every member is paired with it, which is linear in the bucket. The XOR population
+   count of a pair's sketches drops what cannot be similar; the bound is six standard deviations
+   wide, so a similar pair is never dropped in practice.
 3. The remaining pairs are confirmed on the full sets and joined to components.
-4. Buckets that still hold several components may hide a link between two documents that are not
-   linked to the smallest: their members of different components are compared by the same sketch
-   rule, confirmed, and joined too. What one component holds needs no further pair, so a group
-   of thousands of copies never turns into all its pairs.
+4. Hubs whose members still are in several components may hide a link between two documents that
+   are not linked to the hub: members of different components are compared on their full sets, in
+   tiles of bounded size, and a tile returns only links that join components. What one component
+   holds needs no further pair, so a group of thousands of copies never turns into all its pairs.
 
 With 24 bands of 4 samples two documents of similarity 0.8 miss each other in all bands with
 probability 3e-6, of similarity 0.9 with 1e-11; a chain of links survives unless all miss.
@@ -21,15 +22,19 @@ probability 3e-6, of similarity 0.9 with 1e-11; a chain of links survives unless
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.arrowtext import SHINGLE_CODE, U64, mixed, shingle_sets, slices
 from tallyline.llm.components import components
+from tallyline.llm.id_filter import bitmap, listed, spot
 from tallyline.workspace import stored
 
 BANDS, ROWS = 24, 4
@@ -39,6 +44,7 @@ SKETCH = [f"sketch{i}" for i in range(SKETCH_WORDS)]
 _random = np.random.Generator(np.random.PCG64(4))
 _FACTOR = _random.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * U64(2) + U64(1)
 _PIECE = 1 << 14
+TILE_ROWS, TILE_SHINGLES = 1024, 1 << 20
 
 
 def minhashes(shingles: np.ndarray) -> np.ndarray:
@@ -90,7 +96,8 @@ def _signed(width: int):
                         continue
                     digests[i] = shingles.sum(dtype=np.uint64), mixed(shingles ^ SHINGLE_CODE[1]).sum(dtype=np.uint64)
                     samples = minhashes(shingles)
-                    bands[i] = (samples.reshape(BANDS, ROWS) * SHINGLE_CODE[:ROWS]).sum(axis=1, dtype=np.uint64)
+                    keys = (samples.reshape(BANDS, ROWS) * SHINGLE_CODE[:ROWS]).sum(axis=1, dtype=np.uint64)
+                    bands[i] = mixed(keys + np.arange(BANDS, dtype=np.uint64) * SHINGLE_CODE[5])
                     sketches[i] = odd_sketch(samples)
                 places = np.arange(rows + 1, dtype=np.int32) * BANDS
                 columns = [
@@ -110,9 +117,12 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_signed(width), SIGNATURE)
 
 
-def _sets(width: int):
+def _sets(width: int, shared: Broadcast):
+    """Shingle sets of the documents that the bitmap lets pass."""
+
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(listed(shared, batch.column("spot").to_numpy())))
             for row, data, offsets in slices(batch.column("text")):
                 found = [s.view(np.int64) for s in shingle_sets(data, offsets, width)]
                 places = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
@@ -123,20 +133,117 @@ def _sets(width: int):
     return shingles
 
 
-def _different_bits() -> F.Column:
-    return sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in SKETCH[1:]),
-               F.bit_count(F.col(f"a.{SKETCH[0]}").bitwiseXOR(F.col(f"b.{SKETCH[0]}"))))
+def _with_sets(rows: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Add the full shingle sets to ``rows`` (doc_id, ...)."""
+    spots = docs.select("doc_id", "text", spot("doc_id").alias("spot"))
+    sets = spots.mapInArrow(_sets(width, bitmap(rows.select("doc_id"))), "doc_id long, shingles array<long>")
+    return rows.join(sets.dropDuplicates(["doc_id"]), "doc_id")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[list[dict]]:
+    """Consecutive rows with equal keys; sets as arrays."""
+    rows = (
+        dict(zip(batch.schema.names, values, strict=True))
+        for batch in batches
+        for values in zip(*(_values(batch.column(n)) for n in batch.schema.names), strict=True)
+    )
+    for _, group in groupby(rows, key=lambda r: tuple(r[k] for k in key)):
+        yield group
+
+
+def _values(column: pa.Array):
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    flat, at = column.values.to_numpy(), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    u, v = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _different_bits() -> Column:
+    """Population count of the XOR of the sketches of ``a`` and ``b``."""
+    counts = [F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in SKETCH]
+    return reduce(Column.__add__, counts)
+
+
+def _with_hub(percent: int):
+    """Links of the members of a part to its hub, which comes first; one member is held at a time."""
 
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for group in _groups(batches, ("hub", "part")):
+            own = None
+            for row in group:
+                if row["doc_id"] == row["hub"]:
+                    own = row["shingles"]
+                elif own is not None:
+                    common = len(np.intersect1d(own, row["shingles"], assume_unique=True))
+                    if 100 * common >= percent * (len(own) + len(row["shingles"]) - common):
+                        found.append((row["hub"], row["doc_id"]))
+            if len(found) > 10_000:
+                yield _pairs(found)
+                found = []
+        if found:
+            yield _pairs(found)
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets are similar enough."""
-    members = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(texts.mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "sets")
-    both = pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v")
-    common = F.size(F.array_intersect("set_u", "set_v")).cast("long")
-    sized = both.select("u", "v", common.alias("common"), (F.size("set_u") + F.size("set_v") - common).alias("whole"))
-    return sized.filter(100 * F.col("common") >= percent * F.col("whole")).select("u", "v")
+    return confirm
+
+
+def _across(percent: int):
+    """Links that join different components of a tile: those of its upper block with all others.
+
+    An inverted index over the tile's shingles counts what a document has in common with every
+    other one; of the links only those that join two components not yet joined are returned.
+    """
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ("hub", "low", "high")):
+            rows = list(group)
+            sets = [r["shingles"] for r in rows]
+            sizes = np.array([len(s) for s in sets])
+            shingles = np.concatenate(sets)
+            order = np.argsort(shingles, kind="stable")
+            owner = np.repeat(np.arange(len(rows)), sizes)[order]
+            first, code, seen = _index(shingles, order)
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            component = [r["component"] for r in rows]
+            root = {c: c for c in component}
+
+            def top(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            found = []
+            for x in (i for i, r in enumerate(rows) if r["block"] == r["high"]):
+                own = code[at[x] : at[x + 1]]
+                common = np.zeros(len(rows), np.int64)
+                for a, b in zip(first[own].tolist(), (first[own] + seen[own]).tolist(), strict=True):
+                    common[owner[a:b]] += 1
+                near = np.flatnonzero(100 * common >= percent * (sizes + sizes[x] - common))
+                for y in near.tolist():
+                    a, b = top(component[x]), top(component[y])
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        found.append((rows[x]["doc_id"], rows[y]["doc_id"]))
+            if found:
+                yield _pairs(found)
+
+    return confirm
+
+
+def _index(shingles: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Inverted index over the sorted shingles: first place, code of each shingle, and count."""
+    ordered = shingles[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    first = np.flatnonzero(new)
+    code = np.empty(len(shingles), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return first, code, np.diff(np.concatenate([first, [len(shingles)]]))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -145,46 +252,73 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Words are runs of bytes other than space and 0x09-0x0D, A-Z lowered. Documents are linked if
     ``percent`` of their joint shingles of ``width`` words are common; a document of fewer words
     is one shingle. Null and wordless texts are linked with nothing; equal texts always are.
-    ``component_id`` is the smallest doc_id a document reaches. Repeated rows come out repeated;
-    a doc_id with several texts takes the smallest digest among them; a null doc_id takes part in
-    no link and has null as component. Other columns are not looked at.
+    ``component_id`` is the smallest doc_id a document reaches. doc_id identifies a document:
+    repeated rows come out repeated and count once. A null doc_id takes part in no link and has
+    null as component. Other columns are not looked at.
     """
     signed = stored(signatures(docs, width), "signatures")
     one = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = one.groupBy("n_shingles", "digest_a", "digest_b").agg(F.min("doc_id").alias("rep"))
-    copies = one.join(classes, ["n_shingles", "digest_a", "digest_b"]).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    copies = stored(copies.distinct(), "copies")
-    reps = copies.filter("u = v").select(F.col("v").alias("doc_id"))
-    reps = stored(one.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "representatives")
-
-    banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    hubs = banded.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    members = stored(banded.join(hubs.drop("size"), ["band", "key"]), "members")
-    sketch = reps.select("doc_id", "n_shingles", *SKETCH)
-    most = most_bits(percent / 100)
-
-    def similar(a: DataFrame, b: DataFrame, on: F.Column) -> DataFrame:
-        """Pairs that sketches and set sizes allow."""
-        sizes = (100 * F.least("a.n_shingles", "b.n_shingles")) >= percent * F.greatest("a.n_shingles", "b.n_shingles")
-        joined = a.alias("a").join(b.alias("b"), on & sizes & (_different_bits() <= most))
-        return joined.select(F.least("a.doc_id", "b.doc_id").alias("u"), F.greatest("a.doc_id", "b.doc_id").alias("v"))
-
-    to_hub = members.filter("doc_id <> hub").select("doc_id", "hub").distinct()
-    carried = sketch.join(to_hub, "doc_id")
-    tried = stored(similar(carried, sketch, F.col("a.hub") == F.col("b.doc_id")).distinct(), "tried")
-    links = stored(_confirmed(tried, docs, width, percent), "links")
-
-    found = components(links)
-    labelled = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    labelled = labelled.select("band", "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed_ = labelled.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = labelled.join(mixed_.filter("low < high").select("band", "key"), ["band", "key"])
-    open_ = open_.join(sketch, "doc_id")
-    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key"))
-    across = similar(open_, open_, same & (F.col("a.component") < F.col("b.component"))).distinct()
-    more = _confirmed(stored(across.join(tried, ["u", "v"], "left_anti"), "across"), docs, width, percent)
-
+    digest = ["n_shingles", "digest_a", "digest_b"]
+    classes = one.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
+    copies = one.select("doc_id", *digest).join(classes, digest)
+    copies = stored(copies.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")), "copies")
+    reps = one.join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+
+    banded = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(banded.join(sizes, "bucket"), "members")
+    # The hub of a bucket is its member with the most company over all its buckets: in a group of
+    # edited copies that is the text they were copied from, or the one closest to it.
+    company = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
+    ranked = members.join(company, "doc_id").select("bucket", "doc_id", F.struct("company", -F.col("doc_id")).alias("place"))
+    hubs = ranked.groupBy("bucket").agg((-F.max("place")["col2"]).alias("hub"))
+    grouped = stored(members.join(hubs, "bucket").select("hub", "doc_id").distinct(), "groups")
+
+    sketch = stored(reps.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", *SKETCH), "sketches")
+    alike = (100 * F.least("a.n_shingles", "b.n_shingles")) >= percent * F.greatest("a.n_shingles", "b.n_shingles")
+    pairs = grouped.filter("doc_id <> hub").join(sketch, "doc_id").alias("a").join(sketch.alias("b"), F.col("a.hub") == F.col("b.doc_id"))
+    pairs = stored(pairs.filter(alike & (_different_bits() <= most_bits(percent / 100))).select("a.hub", "a.doc_id"), "pairs")
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "hub").select("hub", "doc_id", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"))
+    heads = parts.select("hub", F.col("hub").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    whole = _with_sets(dealt.unionByName(heads), docs, width)
+    ordered = whole.repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("doc_id") != F.col("hub"))
+    links = stored(ordered.select("hub", "part", "doc_id", "shingles").mapInArrow(_with_hub(percent), "u long, v long"), "links")
+
+    more = _between_components(grouped, sketch.select("doc_id", "n_shingles"), components(links), docs, width, percent)
     reached = components(links.unionByName(more).unionByName(copies))
     out = signed.select("doc_id", "n_shingles").join(reached.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+
+
+def _between_components(
+    grouped: DataFrame, sizes: DataFrame, found: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links (u, v) between different components that share a hub.
+
+    The members of a hub are split into its own component and the rest, each into blocks bounded
+    in rows and shingles. A tile is a block of the rest and any block before it, so no task holds
+    more than two blocks, and pairs inside the hub's component are never looked at.
+    """
+    named = grouped.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(sizes, "doc_id")
+    named = named.select("hub", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    own = named.filter("doc_id = hub").select("hub", F.col("component").alias("main"))
+    named = named.join(own, "hub").withColumn("rest", F.col("component") != F.col("main"))
+    counts = named.groupBy("hub").agg(
+        *(F.ceil(F.greatest(F.count_if(side) / TILE_ROWS, F.sum(F.when(side, F.col("n_shingles")).otherwise(0)) / TILE_SHINGLES)).cast("int").alias(name)
+          for name, side in (("mains", ~F.col("rest")), ("rests", F.col("rest"))))
+    ).filter("rests > 0")
+    spread = F.xxhash64("doc_id", F.lit(1))
+    block = F.when(F.col("rest"), F.col("mains") + F.pmod(spread, F.col("rests"))).otherwise(F.pmod(spread, F.col("mains"))).cast("int")
+    placed = named.join(counts, "hub").withColumn("block", block)
+    last = F.col("mains") + F.col("rests") - 1
+    # A block of the rest meets all blocks below it, and itself where it meets the first.
+    upper = F.expr("transform(sequence(greatest(block + 1, mains), mains + rests), h -> named_struct('low', block, 'high', h))")
+    upper = F.filter(upper, lambda t: t["high"] <= last)
+    lower = F.expr("if(rest, transform(sequence(0, block - 1), l -> named_struct('low', l, 'high', block)), array())")
+    tiles = placed.select("hub", "doc_id", "component", "block", F.explode(F.concat(upper, lower)).alias("tile"))
+    tiles = tiles.select("hub", "doc_id", "component", "block", F.col("tile.low").alias("low"), F.col("tile.high").alias("high"))
+    whole = _with_sets(stored(tiles, "tiles"), docs, width)
+    ordered = whole.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "doc_id")
+    return stored(ordered.mapInArrow(_across(percent), "u long, v long"), "across")

@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.arrowtext import BASE, BYTE_CODE, SLICE_BYTES, U64, column_bytes, mixed, powers, running_code
+from tallyline.llm.id_filter import bitmap, listed, spot
 from tallyline.workspace import stored
 
 LENGTH, KEY, SLOT = 100, 24, 8
 WIDTH = LENGTH - KEY + 1
-FILTER_BITS = 1 << 25
 LEAST_LONG = -(2**63)
 OTHER_CODE = BYTE_CODE[::-1].copy()
 
@@ -258,38 +258,17 @@ class SuffixLevels:
         self.levels[rank] = level
 
 
-def _touched(*places: DataFrame):
-    """A bitmap of fixed size over hashes of doc_ids: what it lacks has no span, what it has may have one."""
-    ids = places[0].select("doc_id")
-    for more in places[1:]:
-        ids = ids.unionByName(more.select("doc_id"))
-    spot = _spot("doc_id")
-    words = ids.select(F.floor(spot / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) % 64 as int))").alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return bitmap.view(np.uint64)
-
-
-def _spot(column: str) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-
-
-def _has(bitmap: np.ndarray, spots: np.ndarray) -> np.ndarray:
-    return (bitmap[spots >> 6] >> (spots & 63).astype(np.uint64)) & U64(1) > 0
-
-
 def _carried(shared, whole: bool):
     """(doc_id, tag, n_bytes, sha256, packed text): the text only where the bitmap has the document."""
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3)
         for batch in batches:
-            listed = _has(shared.value, batch.column("spot").to_numpy())
+            passes = listed(shared, batch.column("spot").to_numpy())
             ids = batch.column("doc_id").to_pylist()
             out = []
             for i, text in _rows(batch.column("text")):
-                if listed[i]:
+                if passes[i]:
                     out.append((ids[i], _tag(text), len(text), None, squeeze.compress(text)))
                 elif whole:
                     out.append((ids[i], _tag(text), len(text), hashlib.sha256(text).hexdigest(), None))
@@ -357,10 +336,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _refined(docs: DataFrame, open_: DataFrame, slots: bool) -> tuple[DataFrame, DataFrame]:
-    shared = docs.sparkSession.sparkContext.broadcast(_touched(open_))
+    shared = bitmap(open_)
     by_doc = open_.selectExpr("doc_id", TAG, f"{START} as start", f"{WINDOWS} as n", f"{LEAD} as lead").distinct()
     by_doc = by_doc.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "lead")).alias("open"))
-    texts = docs.withColumn("spot", _spot("doc_id")).mapInArrow(_carried(shared, whole=False), CARRIED)
+    texts = docs.withColumn("spot", spot("doc_id")).mapInArrow(_carried(shared, whole=False), CARRIED)
     entries = texts.dropDuplicates(["doc_id", "tag"]).join(by_doc, ["doc_id", "tag"]).select("doc_id", "tag", "packed", "open")
     scanned = _scan(entries.mapInArrow(_finer(slots), ENTRY))
     return _places(scanned, SPAN), _places(scanned, OPEN)
@@ -445,8 +424,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removal(docs: DataFrame, batches: int = 2) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs`` (doc_id, text, ...)."""
     found = repeats(docs, batches)
-    shared = docs.sparkSession.sparkContext.broadcast(_touched(found))
-    rows = _keyed(docs).withColumn("spot", _spot("doc_id")).mapInArrow(_carried(shared, whole=True), CARRIED)
+    shared = bitmap(found)
+    rows = _keyed(docs).withColumn("spot", spot("doc_id")).mapInArrow(_carried(shared, whole=True), CARRIED)
     out = rows.join(found, ["doc_id", "tag"], "left").mapInArrow(
         _summed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
