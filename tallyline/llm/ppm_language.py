@@ -58,9 +58,10 @@ class Model:
         begin = np.repeat(offsets[:-1], np.diff(offsets))
         place = np.arange(len(data)) - begin
         for back in range(self.order, 0, -1):
-            previous = np.zeros(len(data), dtype=np.int64)
-            previous[back:] = symbol[:-back] if back < len(data) else 0
-            previous[place < back] = 0
+            # Before the start of a row stands the symbol that no known context holds.
+            previous = np.full(len(data), radix - 1, dtype=np.int64)
+            previous[back:] = symbol[:-back]
+            previous[place < back] = radix - 1
             code = code * radix + previous
         return self.cost[self.row_of[code] * radix + symbol]
 
@@ -154,7 +155,7 @@ def built(grams: pd.DataFrame, order: int) -> Model:
                 chain.append(row[tail])
         cost[i] = _bits(counts[chain], alike)
     row_of = _rows_by_code(contexts, row, column_of, columns, order)
-    return Model(languages, order, column_of, row_of, cost.reshape(-1, len(languages)))
+    return Model(languages, order, column_of, row_of, cost.reshape(len(contexts) * columns, len(languages)))
 
 
 def _bits(chain: np.ndarray, alike: np.ndarray) -> np.ndarray:

@@ -61,7 +61,8 @@ def test_more_queries_than_a_part(spark, monkeypatch):
 def test_sums_are_inner_products():
     draw = np.random.default_rng(5)
     values, numbers = draw.integers(0, 300, (100, 6)), draw.integers(-200, 200, (3, 6))
-    planes = np.stack([np.packbits(np.pad(((values.T >> b) & 1), ((0, 0), (0, 28))).astype(np.uint8), axis=1, bitorder="little").view(np.uint64) for b in range(9)], axis=1)
+    bits = [np.pad(((values.T >> b) & 1), ((0, 0), (0, 28))).astype(np.uint8) for b in range(9)]
+    planes = np.stack([np.ascontiguousarray(np.packbits(x, axis=1, bitorder="little")).view(np.uint64) for x in bits], axis=1)
     total = I.sums(planes, numbers)
     got = sum((np.unpackbits(t.view(np.uint8), axis=1, bitorder="little")[:, :100].astype(int) << w) for w, t in enumerate(total))
     expected = np.maximum(numbers, 0) @ values.T + np.maximum(-numbers, 0) @ (511 - values.T)
