@@ -9,7 +9,10 @@ from loopy belief propagation, for all documents of a batch at once; base tokens
 
 The potentials are fitted piecewise from counts over all documents, summed by Spark: log odds of
 a token's signature under the base labels, and log odds of label pairs along chain and skip
-links. What comes to the driver is bounded by the number of signatures kept.
+links. The base is a partial labelling: a repeat of one of its tokens that no pattern covers is
+unknown, not outside, so a skip link with one end in the base and the other not is no evidence;
+``agreement`` is the weight, in links, of the prior that repeats have one label.
+What comes to the driver is bounded by the number of signatures kept.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
 LABELS = OUTSIDE + 1
 MAX_SIGNATURES = 50_000
+AGREEMENT = 10.0
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -60,6 +64,11 @@ def _digits_of(text: str) -> str:
     return _digits.sub("", text)
 
 
+def _at_most_255(digits: str) -> bool:
+    """Of a number of any length without leading zeros."""
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of all pattern matches by kind and start; a failing match is dropped."""
     found = []
@@ -67,7 +76,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         return found
     if "@" in text:
         found += [(0, *m.span()) for m in EMAIL.finditer(text)]
-    found += [(1, *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    found += [(1, *m.span()) for m in IP.finditer(text) if all(_at_most_255(p.lstrip("0")) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = _digits_of(m[0])
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -151,15 +160,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 512):
             graph, _ = graph_of(batch.column("text").slice(at, 512).to_pylist())
             counts.update(("node", s, y) for s, y in zip(graph.signatures, graph.labels, strict=True))
-            for kind in ("chain", "skip"):
-                counts.update((kind, str(graph.labels[a]), graph.labels[b]) for a, b in getattr(graph, kind))
+            for kind, links in (("chain", graph.chain), ("skip", graph.skip)):
+                pairs = ((graph.labels[a], graph.labels[b]) for a, b in links)
+                counts.update((kind, str(a), b) for a, b in pairs if kind == "chain" or (a == OUTSIDE) == (b == OUTSIDE))
         if counts:
             part, value, label = zip(*counts, strict=True)
             columns = [pa.array(part), pa.array(value), pa.array(label, pa.int32()), pa.array(counts.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "value", "label", "n"])
 
 
-def fitted(docs: DataFrame, max_signatures: int = MAX_SIGNATURES) -> Potentials:
+def fitted(docs: DataFrame, max_signatures: int = MAX_SIGNATURES, agreement: float = AGREEMENT) -> Potentials:
     """Potentials from all texts of ``docs``; signatures beyond the most frequent share one."""
     texts = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
     counts = texts.mapInArrow(_counted, "part string, value string, label int, n long")
@@ -167,7 +177,7 @@ def fitted(docs: DataFrame, max_signatures: int = MAX_SIGNATURES) -> Potentials:
     n = sum(F.coalesce(F.col(str(y)), F.lit(0)) for y in range(LABELS))
     rows = counts.withColumn("all", n).orderBy(F.expr("part = 'node'"), F.desc("all"), "value").limit(max_signatures).collect()
     total = np.ones(LABELS)
-    pairs = {"chain": np.full((LABELS, LABELS), 0.5), "skip": np.full((LABELS, LABELS), 0.5)}
+    pairs = {"chain": np.full((LABELS, LABELS), 0.5), "skip": 0.5 + agreement * np.eye(LABELS)}
     seen = {}
     for row in rows:
         by_label = np.array([row[str(y)] or 0 for y in range(LABELS)], dtype=float)

@@ -12,7 +12,7 @@ from tests.llm.corpora import SCHEMA, awkward, clashing, documents, rows_of, sam
 def checked(kind, text):
     digits = re.sub("[^0-9]", "", text)
     if kind == "ip":
-        return all(int(p) <= 255 for p in text.split("."))
+        return all(int(p.lstrip("0") or "0") <= 255 for p in text.split("."))
     if kind == "card":
         total = sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits)))
         return 13 <= len(digits) <= 19 and total % 10 == 0
