@@ -192,7 +192,7 @@ class Inputs:
         return self.raw.table("events").select("event_id", "event_type", text.alias("statement"))
 
     def golden_cases(self) -> DataFrame:
-        """A user turn is a case, the assistant turn after it is the response."""
+        """A user turn is a case, the assistant turn after it is the response, if there is one."""
         turns = self.raw.table("conversations")
         asked = turns.filter(F.col("role") == "user").select(
             "conv_id", (F.col("turn") + 1).alias("turn"),
@@ -202,7 +202,7 @@ class Inputs:
             F.col("text").contains("?").alias("must_include_number"),
             F.when(F.length("text") < 60, "graceful_refusal").alias("expected_behaviour"),
         )
-        return asked.join(self.responses(), ["conv_id", "turn"])
+        return asked.join(self.responses(), ["conv_id", "turn"], "left")
 
     def responses(self) -> DataFrame:
         turns = self.raw.table("conversations")

@@ -359,22 +359,23 @@ part(
 part(
     "pairs",
     """
-    SELECT a.conv_id, a.turn, u.text AS question, a.text AS response, string_split(u.text, ' ')[1] AS expected,
+    SELECT u.conv_id, u.turn + 1 AS turn, u.text AS question, a.text AS response, string_split(u.text, ' ')[1] AS expected,
       string_split(u.text, ' ')[-1] AS forbidden
-    FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-    WHERE u.role = 'user' AND a.role = 'assistant'""",
+    FROM conversations u LEFT JOIN conversations a
+      ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+    WHERE u.role = 'user'""",
 )
 part(
     "golden",
     """
-    SELECT conv_id, turn, list_filter([
+    SELECT conv_id, turn, CASE WHEN response IS NULL THEN ['no response'] ELSE list_filter([
       CASE WHEN NOT contains(lower(response), lower(expected)) THEN 'missing expected text: ''' || expected || '''' END,
       CASE WHEN contains(lower(response), lower(forbidden)) THEN 'contains forbidden text: ''' || forbidden || '''' END,
       CASE WHEN contains(question, '?') AND NOT regexp_matches(response, '[0-9]')
         THEN 'no number found in response' END,
       CASE WHEN length(question) < 60 AND NOT regexp_matches(lower(response),
           'don''t have|cannot|not available|outside|only covers|no data|not in|limited to')
-        THEN 'expected graceful refusal but agent answered directly' END], lambda r: r IS NOT NULL) AS reasons
+        THEN 'expected graceful refusal but agent answered directly' END], lambda r: r IS NOT NULL) END AS reasons
     FROM pairs""",
     "pairs",
 )
@@ -495,19 +496,19 @@ oracle(
 )
 
 
-def standing_at(matchday: int) -> str:
+def standing_at(matchdays: str) -> str:
     return f"""SELECT competition_id, season_id, team_id,
         CAST(RANK() OVER (PARTITION BY competition_id, season_id {BY_POINTS}) AS INTEGER) AS position,
         played_games, points, goal_difference
       FROM (SELECT competition_id, season_id, team_id, {TABLE_LINE}
             FROM legs JOIN (SELECT match_id, matchday FROM mart) USING (match_id)
-            WHERE matchday <= {matchday} GROUP BY 1, 2, 3)"""
+            WHERE matchday {matchdays} GROUP BY 1, 2, 3)"""
 
 
 oracle(
     "upsert_standings",
-    f"""SELECT * FROM ({standing_at(40)}) UNION ALL
-    SELECT e.* FROM ({standing_at(26)}) e ANTI JOIN ({standing_at(40)}) l USING (competition_id, season_id, team_id)""",
+    f"""SELECT * FROM ({standing_at("> 26")}) UNION ALL
+    SELECT e.* FROM ({standing_at("<= 26")}) e ANTI JOIN ({standing_at("> 26")}) l USING (competition_id, season_id, team_id)""",
     "legs",
 )
 oracle(

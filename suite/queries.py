@@ -162,11 +162,11 @@ def upsert_matches(i: Inputs) -> DataFrame:
 
 @query
 def upsert_standings(i: Inputs) -> DataFrame:
-    """The table at mid-season, then the full one."""
+    """The table of the first half-season, then of the second: who only played in the first keeps that row."""
     keys = ["competition_id", "season_id", "team_id"]
     columns = [*keys, "position", "played_games", "points", "goal_difference"]
     early = models.standings_from_matches(i.stg_matches.filter(F.col("matchday") <= 26))
-    late = models.standings_from_matches(i.stg_matches.filter(F.col("matchday") <= 40))
+    late = models.standings_from_matches(i.stg_matches.filter(F.col("matchday") > 26))
     return upsert(early.select(*columns), late.select(*columns, "ingested_at"), keys, ["ingested_at"])
 
 

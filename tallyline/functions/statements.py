@@ -23,8 +23,9 @@ FORBIDDEN = (
 )
 VERBS = ("select", "insert", "update", "delete", "merge", "replace", "upsert", "create", "alter", "drop")
 
-_COMMENTS = r"(?s)--[^\n]*|/\*.*?\*/"
 _LITERALS = r"'(?:[^']|'')*'"
+#: A literal is consumed first and kept, so dashes inside quotes begin no comment.
+_COMMENTS = rf"(?s)({_LITERALS})|--[^\n]*|/\*.*?\*/"
 _TAIL = r"[\s;]+\z"
 
 
@@ -41,7 +42,7 @@ def judge_statements(frame: DataFrame, column: str, tables: Iterable[str] | None
     limits which marts may be read.
     """
     text = F.coalesce(F.col(column), F.lit(""))
-    bare = F.lower(F.regexp_replace(text, _COMMENTS, " "))
+    bare = F.lower(F.regexp_replace(text, _COMMENTS, "$1 "))
     cleaned = evaluated_once(frame, _bare=bare)
 
     first = F.regexp_extract("_bare", r"\A[\s(]*([a-z]+)", 1)

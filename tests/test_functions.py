@@ -161,6 +161,8 @@ STATEMENTS = {
     "with t as (select 1) delete from marts.x": "Only SELECT statements are allowed (got DELETE)",
     "hello": "Only SELECT statements are allowed (got UNKNOWN)",
     f"{MART}; {MART}": "Only one statement is allowed",
+    f"{MART} where team_name = '--'; {MART}": "Only one statement is allowed",
+    f"{MART} where team_name = '/*' -- it's */ ; {MART}": None,
     f"{MART} where team_name = 'drop it'": r"Forbidden keyword detected: \bdrop\b",
     f"{MART} where pg_sleep(1)": r"Forbidden keyword detected: \bpg_",
     f"{MART} where a = 'x;y'": None,

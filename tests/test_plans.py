@@ -374,6 +374,7 @@ def test_golden_cases(spark):
             (["Reds", "45"], ["blues"], True, None, "The Blues"),
             (None, None, None, "graceful_refusal", "That is outside my scope"),
             (None, ["will win"], None, "graceful_refusal", "Reds will win"),
+            (["Reds"], None, True, None, None),
         ],
         GOLDEN,
     )
@@ -384,9 +385,10 @@ def test_golden_cases(spark):
          "no number found in response"],
         [],
         ["contains forbidden text: 'will win'", "expected graceful refusal but agent answered directly"],
+        ["no response"],
     ]
     line = evaluation.summarize(checked).first()
-    assert tuple(line) == (4, 2, 2, 0.5, False)
+    assert tuple(line) == (5, 2, 3, 0.4, False)
     advice = {r.kind: r.failures for r in evaluation.recommend(checked).collect()}
     assert advice == {"missing expected text": 2, "forbidden text": 2, "no number": 1, "graceful refusal": 1}
 
