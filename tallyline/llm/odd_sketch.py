@@ -47,22 +47,28 @@ _PIECE = 1 << 14
 TILE_ROWS, TILE_SHINGLES = 1024, 1 << 20
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    """The samples: for each of the hash functions the smallest value over the set."""
-    least = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
+def minhashes(shingles: np.ndarray, starts: np.ndarray = np.zeros(1, np.int64)) -> np.ndarray:
+    """One row of samples for each set, none empty, that begins at ``starts``: the least value per hash function."""
+    least = np.full((BANDS * ROWS, len(starts)), 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(shingles), _PIECE):
         part = shingles[at : at + _PIECE]
+        low = int(np.searchsorted(starts, at, "right")) - 1
+        high = int(np.searchsorted(starts, at + len(part)))
+        inside = np.maximum(starts[low:high] - at, 0)
         for i, factor in enumerate(_FACTOR):
             product = part * factor
-            least[i] = min(least[i], (product ^ (product >> U64(32))).min())
-    return least
+            product ^= product >> U64(32)
+            np.minimum(least[i, low:high], np.minimum.reduceat(product, inside), out=least[i, low:high])
+    return least.T
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of how many samples fall on each bit, as 64-bit words."""
-    bit = mixed(samples + np.arange(len(samples), dtype=np.uint64) * SHINGLE_CODE[0]) % U64(SKETCH_BITS)
-    parity = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64)
+    """For each row of samples the parity of how many of them fall on each bit, as 64-bit words."""
+    rows, width = samples.shape
+    bit = mixed(samples + np.arange(width, dtype=np.uint64) * SHINGLE_CODE[0]) % U64(SKETCH_BITS)
+    place = bit.astype(np.int64) + np.arange(rows)[:, None] * SKETCH_BITS
+    parity = np.bincount(place.reshape(-1), minlength=rows * SKETCH_BITS) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64).reshape(rows, SKETCH_WORDS)
 
 
 def most_bits(similarity: float) -> int:
@@ -86,19 +92,21 @@ def _signed(width: int):
             ids = batch.column("doc_id")
             for row, data, offsets in slices(batch.column("text")):
                 rows = len(offsets) - 1
-                sizes = np.zeros(rows, np.int64)
+                sets = list(shingle_sets(data, offsets, width))
+                sizes = np.array([len(found) for found in sets], np.int64)
                 digests = np.zeros((rows, 2), np.uint64)
                 bands = np.zeros((rows, BANDS), np.uint64)
                 sketches = np.zeros((rows, SKETCH_WORDS), np.uint64)
-                for i, shingles in enumerate(shingle_sets(data, offsets, width)):
-                    sizes[i] = len(shingles)
-                    if not len(shingles):
-                        continue
-                    digests[i] = shingles.sum(dtype=np.uint64), mixed(shingles ^ SHINGLE_CODE[1]).sum(dtype=np.uint64)
-                    samples = minhashes(shingles)
-                    keys = (samples.reshape(BANDS, ROWS) * SHINGLE_CODE[:ROWS]).sum(axis=1, dtype=np.uint64)
-                    bands[i] = mixed(keys + np.arange(BANDS, dtype=np.uint64) * SHINGLE_CODE[5])
-                    sketches[i] = odd_sketch(samples)
+                full = np.flatnonzero(sizes)
+                if len(full):
+                    shingles = np.concatenate(sets)
+                    starts = np.cumsum(sizes[full]) - sizes[full]
+                    digests[full, 0] = np.add.reduceat(shingles, starts)
+                    digests[full, 1] = np.add.reduceat(mixed(shingles ^ SHINGLE_CODE[1]), starts)
+                    samples = minhashes(shingles, starts)
+                    keys = (samples.reshape(-1, BANDS, ROWS) * SHINGLE_CODE[:ROWS]).sum(axis=2, dtype=np.uint64)
+                    bands[full] = mixed(keys + np.arange(BANDS, dtype=np.uint64) * SHINGLE_CODE[5])
+                    sketches[full] = odd_sketch(samples)
                 places = np.arange(rows + 1, dtype=np.int32) * BANDS
                 columns = [
                     ids.slice(row, rows).cast(pa.int64()),
