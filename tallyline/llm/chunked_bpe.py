@@ -62,6 +62,13 @@ def _listed(lists: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate([*lists, np.empty(0, np.int32)]), pa.int32()))
 
 
+def _id_rows(column: pa.ListArray) -> Iterator[list[int]]:
+    """The ids of each row; one conversion a row instead of one an id. A null row has none."""
+    flat, places = column.values.to_numpy(), column.offsets.to_numpy()
+    for a, b, there in zip(places[:-1], places[1:], column.is_valid().to_pylist(), strict=True):
+        yield flat[a:b].tolist() if there else []
+
+
 def _rows(batch: pa.RecordBatch, size: int = 256) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, size):
         yield batch.slice(at, size)
@@ -170,10 +177,9 @@ def decoded(ids: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*shared.value)
-        table = [coder.decode_single_token_bytes(i) for i in range(coder.n_vocab)]
         for whole in batches:
             for batch in _rows(whole):
-                data = [b"".join([table[i] for i in row or ()]) for row in batch.column("ids").to_pylist()]
+                data = [coder.decode_bytes(row) for row in _id_rows(batch.column("ids"))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
     return ids.select("doc_id", "ids").mapInArrow(decode, "doc_id long, data binary")
@@ -185,15 +191,14 @@ def digests(ids: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*shared.value)
-        table = [coder.decode_single_token_bytes(i) for i in range(coder.n_vocab)]
         spelled = [str(i) for i in range(coder.n_vocab)]
         for whole in batches:
             for batch in _rows(whole):
                 sizes, of_ids, of_bytes = [], [], []
-                for row in batch.column("ids").to_pylist():
+                for row in _id_rows(batch.column("ids")):
                     sizes.append(len(row))
                     of_ids.append(hashlib.sha256(",".join([spelled[i] for i in row]).encode()).hexdigest())
-                    of_bytes.append(hashlib.sha256(b"".join([table[i] for i in row])).hexdigest())
+                    of_bytes.append(hashlib.sha256(coder.decode_bytes(row)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
