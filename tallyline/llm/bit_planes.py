@@ -10,14 +10,18 @@ file appears only when its task has committed and any storage Spark reaches will
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +31,8 @@ from tokenizers import Tokenizer
 
 END_ID = 1
 BLOCK_IDS = 1 << 16
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+JOINED = 1000
 #: Text of these characters is left alone by composition, lower-cases letter by letter, and is
 #: parted by white space; then each word has its ids whatever stands beside it.
 _plain = re.compile("[\t\n\r\x20-\x7e\xa1-Ġı-ɏ]*").fullmatch
@@ -43,24 +48,69 @@ def _tokenizer(content: str) -> Tokenizer:
     return Tokenizer.from_str(content)
 
 
+def _spelled_pieces(content: str) -> tuple[regex.Pattern, str] | None:
+    """Pattern of the pieces and mark of their last ids, of a tokenizer that encodes matches one by one."""
+    spec = json.loads(content)
+    split = next(iter((spec.get("pre_tokenizer") or {}).get("pretokenizers", [])), {})
+    mark = spec["model"].get("end_of_word_suffix")
+    if not mark or (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True):
+        return None
+    return regex.compile(split["pattern"]["Regex"]), mark
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes; remembers the ids of words between texts."""
+    """Ids of texts as little-endian 32-bit bytes; remembers the ids of words between texts.
+
+    A word is a run of other than white space. Of words not remembered, the pieces that were not
+    met either are encoded many in one text, and the ids parted behind those that end a piece.
+    """
 
     def __init__(self, content: str):
         self.tokenizer = _tokenizer(content)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        found = _spelled_pieces(content)
+        self.pattern = found and found[0].findall
+        if found:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(found[1])]] = True
 
     def _listed(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED]
+            (data,) = self._listed([" ".join(some)])
+            stops = (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1) * 4
+            if len(stops) != len(some) or stops[-1] != len(data):
+                yield from self._listed(some)
+            else:
+                yield from (data[a:b] for a, b in pairwise([0, *stops.tolist()]))
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        if not self.pattern:
+            return self._listed(words)
+        # Plain words have no composition to lose, so they may be lower-cased before they are split.
+        split = [self.pattern(w.lower()) for w in words]
+        new = list(set().union(*split).difference(self.pieces))
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces.clear()
+            new = list(set().union(*split))
+        self.pieces.update(zip(new, self._of_pieces(new), strict=True))
+        pieces = self.pieces
+        return [pieces[s[0]] if len(s) == 1 else b"".join([pieces[x] for x in s]) for s in split]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [t.split() if _plain(t) and not any(s in t for s in self.special) else None for t in texts]
-        new = list(set().union(*(w for w in words if w)) - self.known.keys())
+        every = set().union(*(w for w in words if w))
+        new = list(every.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list(set().union(*(w for w in words if w)))
-        self.known.update(zip(new, self._listed(new), strict=True))
+            new = list(every)
+        self.known.update(zip(new, self._of_words(new), strict=True))
         known = self.known
         return [self._listed([t])[0] if w is None else b"".join([known[x] for x in w]) for t, w in zip(texts, words, strict=True)]
 
@@ -86,6 +136,8 @@ def _packed(content, end_id: int, block_ids: int, plane_bits: int, level: int):
     """Blocks of a sorted partition; only the ids of the open block are held."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One thread a task: Spark has given the other cores to other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode, squeeze = Encoder(content.value), zstandard.ZstdCompressor(level)
         part, block, first = TaskContext.get().partitionId(), 0, 0
         open_, held, listed = [], 0, []  # arrays of ids, their number, documents (id, start, size)
