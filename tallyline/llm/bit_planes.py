@@ -115,6 +115,12 @@ class Encoder:
         return [self._listed([t])[0] if w is None else b"".join([known[x] for x in w]) for t, w in zip(texts, words, strict=True)]
 
 
+@lru_cache(maxsize=1)
+def _encoder(content: str) -> Encoder:
+    """What one task remembers serves the next one of its Python worker."""
+    return Encoder(content)
+
+
 def transposed(ids: np.ndarray, plane_bits: int) -> list[bytes]:
     """The planes of a block of 32-bit ids, lowest first."""
     cells = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
@@ -138,7 +144,7 @@ def _packed(content, end_id: int, block_ids: int, plane_bits: int, level: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One thread a task: Spark has given the other cores to other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, squeeze = Encoder(content.value), zstandard.ZstdCompressor(level)
+        encode, squeeze = _encoder(content.value), zstandard.ZstdCompressor(level)
         part, block, first = TaskContext.get().partitionId(), 0, 0
         open_, held, listed = [], 0, []  # arrays of ids, their number, documents (id, start, size)
 
