@@ -22,19 +22,22 @@ No key gathers more rows than there are input batches: within an Arrow batch equ
 reduced to their first, and where a key has several contexts there, its entries are routed by
 key and context and a single marker tells the others of that key. What is copied or common in a
 third of all documents is therefore spread like everything else.
+
+A text is named by its doc_id and 128 bits of its sha256, since ids may be null or repeated: every
+entry, join and reduction goes by all three columns.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,19 +50,22 @@ WIDTH = LENGTH - KEY + 1
 LEAST_LONG = -(2**63)
 OTHER_CODE = BYTE_CODE[::-1].copy()
 
-#: A place packs, from the top: 15 bits of a checksum of the text, 31 of the first window's start,
-#: 7 of the number of windows, 7 of the distance to the chosen place, 1 for a row of a level, 2 of kind.
+#: A place packs, from the top: the first window's start, 7 bits of the number of windows, 7 of the
+#: distance to the chosen place, 1 for a row of a level, 2 of kind.
 PLAIN, MARKER, COVERED, CONTESTED = range(4)
 OLD = 4
 
 
-def _place(tag, start, n, lead, kind):
-    return (np.asarray(tag, np.int64) << 48) | (np.asarray(start, np.int64) << 17) | (np.asarray(n, np.int64) << 10) | (np.asarray(lead, np.int64) << 3) | kind
+def _place(start, n, lead, kind):
+    return (np.asarray(start, np.int64) << 17) | (np.asarray(n, np.int64) << 10) | (np.asarray(lead, np.int64) << 3) | kind
 
 
-ENTRY = "route long, ctx long, doc_id long, place long"
+#: What tells texts apart: the id and the two halves of the tag.
+TEXT = ("doc_id", "tag", "tail")
+ENTRY = "route long, ctx long, doc_id long, tag long, tail long, place long"
+COLUMNS = ("route", "ctx", *TEXT, "place")
 #: The parts of a place in SQL.
-TAG, START = "shiftright(place, 48) as tag", "shiftright(place, 17) & 2147483647"
+START = "shiftright(place, 17)"
 WINDOWS, LEAD = "shiftright(place, 10) & 127", "shiftright(place, 3) & 127"
 
 
@@ -98,36 +104,36 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return first, last - first + 1, place, mixed(keys[place]), _hash(g, first, last + LENGTH)
 
 
-def combined(h: np.ndarray, ctx: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+def combined(h: np.ndarray, ctx: np.ndarray, doc: np.ndarray, tag: np.ndarray, tail: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Entries of one batch, reduced: first of each context, covered ones, and markers of contested keys."""
     order = np.argsort(h, kind="stable")
-    h, ctx, doc, place = h[order], ctx[order], doc[order], place[order]
+    h, ctx, doc, tag, tail, place = (x[order] for x in (h, ctx, doc, tag, tail, place))
     same = np.zeros(len(h) + 1, dtype=bool)
     same[1:-1] = h[1:] == h[:-1]
     shared = np.flatnonzero(same[1:] | same[:-1])
     route, kind, marked = h.copy(), np.zeros(len(h), np.int64), np.empty(0, np.uint64)
     if len(shared):
-        shared = shared[np.lexsort((place[shared], doc[shared], ctx[shared], h[shared]))]
-        a, b, c, p = h[shared], ctx[shared], doc[shared], place[shared]
+        shared = shared[np.lexsort([x[shared] for x in (place, tail, tag, doc, ctx, h)])]
+        a, b, c, t, u, p = (x[shared] for x in (h, ctx, doc, tag, tail, place))
         new_key = np.concatenate([[True], a[1:] != a[:-1]])
         new_ctx = new_key | np.concatenate([[True], b[1:] != b[:-1]])
         group = np.cumsum(new_key) - 1
         several = np.bincount(group, weights=new_ctx) > 1
         head = np.maximum.accumulate(np.where(new_ctx, np.arange(len(a)), 0))
-        again = (c == c[head]) & (p == p[head]) & ~new_ctx  # a repeated row, not a repeated text
+        again = (c == c[head]) & (t == t[head]) & (u == u[head]) & (p == p[head]) & ~new_ctx  # a repeated row, not a repeated text
         first = new_ctx | again
         kind[shared] = np.where(first, np.where(several[group], CONTESTED, PLAIN), COVERED)
-        spread = np.where(first, mixed(a ^ mixed(b)), mixed(p.view(np.uint64) ^ mixed(c.view(np.uint64))))
+        spread = np.where(first, mixed(a ^ mixed(b)), mixed(p.view(np.uint64) ^ mixed(c.view(np.uint64) ^ t.view(np.uint64))))
         route[shared] = np.where(first & ~several[group], a, spread)
         marked = a[new_key][several]
     none = np.zeros(len(marked), np.int64)
     columns = (
         np.concatenate([route, marked]).view(np.int64),
         np.concatenate([np.where(kind == COVERED, U64(0), ctx).view(np.int64), none]),
-        np.concatenate([doc, none]),
+        *(np.concatenate([x, none]) for x in (doc, tag, tail)),
         np.concatenate([place | kind, none + MARKER]),
     )
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["route", "ctx", "doc_id", "place"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=COLUMNS)
 
 
 def _rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -136,8 +142,15 @@ def _rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         yield i, data[offsets[i] : offsets[i + 1]]
 
 
-def _tag(text: np.ndarray) -> int:
-    return zlib.crc32(text) & 0x7FFF
+def _tags(digest: bytes) -> tuple[int, int]:
+    """Both halves of the tag of a text from its sha256."""
+    return struct.unpack(">qq", digest[:16])
+
+
+def _tag_columns(text: Column) -> list[Column]:
+    """The same in SQL."""
+    digest = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    return [F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17)]
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,27 +158,27 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         doc_ids = batch.column("doc_id").to_numpy()
-        found, held = [], []  # held: rows (doc_id, tag, offset in the text, bytes) of the open slice
+        found, held = [], []  # held: rows (doc_id, tag, tail, offset in the text, bytes) of the open slice
 
         def flush() -> None:
             if held:
-                sizes = np.array([len(x[3]) for x in held])
+                sizes = np.array([len(x[4]) for x in held])
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
-                first, n, place, h, ctx = runs(np.concatenate([x[3] for x in held]), offsets)
+                first, n, place, h, ctx = runs(np.concatenate([x[4] for x in held]), offsets)
                 row = np.searchsorted(offsets, first, "right") - 1
-                doc, tag, base = (np.array([x[k] for x in held], np.int64) for k in range(3))
+                doc, tag, tail, base = (np.array([x[k] for x in held], np.int64) for k in range(4))
                 start = first - offsets[row] + base[row]
-                found.append((h, ctx, doc[row], _place(tag[row], start, n, place - first, PLAIN)))
+                found.append((h, ctx, doc[row], tag[row], tail[row], _place(start, n, place - first, PLAIN)))
                 held.clear()
 
         size = 0
         for i, text in _rows(batch.column("text")):
             if len(text) < LENGTH:
                 continue
-            tag = _tag(text)
+            tags = _tags(hashlib.sha256(text).digest())
             for at in range(0, len(text) - LENGTH + 1, SLICE_BYTES):
                 part = text[at : at + SLICE_BYTES + LENGTH - 1]
-                held.append((doc_ids[i], tag, at, part))
+                held.append((doc_ids[i], *tags, at, part))
                 size += len(part)
                 if size >= SLICE_BYTES:
                     flush()
@@ -180,9 +193,9 @@ SCANNED = "what int, " + ENTRY
 
 
 def _scanned(keep: bool):
-    """Merge scan of rows sorted by (route, ctx, doc_id, place): what is covered, contested, and new."""
+    """Merge scan of rows sorted by (route, ctx, text, place): what is covered, contested, and new."""
 
-    def settle(route, ctx, doc, place) -> Iterator[pa.RecordBatch]:
+    def settle(route, ctx, doc, tag, tail, place) -> Iterator[pa.RecordBatch]:
         kind, old = place & 3, place & OLD
         marker = kind == MARKER
         new_route = np.concatenate([[True], route[1:] != route[:-1]])
@@ -190,7 +203,7 @@ def _scanned(keep: bool):
         entry = (kind == PLAIN) | (kind == CONTESTED)
         new_ctx = new_route | np.concatenate([[True], (ctx[1:] != ctx[:-1]) | (entry[1:] != entry[:-1])])
         head = np.maximum.accumulate(np.where(new_ctx, np.arange(len(route)), 0))
-        again = (doc == doc[head]) & ((place >> 3) == (place[head] >> 3))
+        again = (doc == doc[head]) & (tag == tag[head]) & (tail == tail[head]) & ((place >> 3) == (place[head] >> 3))
         first = entry & (new_ctx | again)
         contested = np.bincount(group, weights=entry & new_ctx) > 1
         contested |= np.bincount(group, weights=marker | (kind == CONTESTED)) > 0
@@ -201,13 +214,13 @@ def _scanned(keep: bool):
         for what, rows in outputs:
             rows = np.flatnonzero(rows)
             if len(rows):
-                columns = [pa.array(np.full(len(rows), what, np.int32)), *(pa.array(c[rows]) for c in (route, ctx, doc, place))]
-                yield pa.RecordBatch.from_arrays(columns, names=["what", "route", "ctx", "doc_id", "place"])
+                columns = [pa.array(np.full(len(rows), what, np.int32)), *(pa.array(c[rows]) for c in (route, ctx, doc, tag, tail, place))]
+                yield pa.RecordBatch.from_arrays(columns, names=["what", *COLUMNS])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("route", "ctx", "doc_id", "place")]
+            columns = [batch.column(c).to_numpy() for c in COLUMNS]
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
             done = int(np.searchsorted(columns[0], columns[0][-1]))  # the last route may go on
@@ -221,12 +234,12 @@ def _scanned(keep: bool):
 
 
 def _scan(entries: DataFrame, keep: bool = False) -> DataFrame:
-    ordered = entries.repartition("route").sortWithinPartitions("route", "ctx", "doc_id", "place")
+    ordered = entries.repartition("route").sortWithinPartitions(*COLUMNS)
     return stored(ordered.mapInArrow(_scanned(keep), SCANNED), "suffix-scan")
 
 
 def _places(scanned: DataFrame, what: int) -> DataFrame:
-    return scanned.filter(F.col("what") == what).select("doc_id", "place")
+    return scanned.filter(F.col("what") == what).select(*TEXT, "place")
 
 
 @dataclass
@@ -253,13 +266,13 @@ class SuffixLevels:
         rank = 0
         while rank in self.levels:
             both = self.levels.pop(rank).unionByName(level)
-            level = stored(both.repartition("route").sortWithinPartitions("route", "ctx", "doc_id", "place"), "suffix-level")
+            level = stored(both.repartition("route").sortWithinPartitions(*COLUMNS), "suffix-level")
             rank += 1
         self.levels[rank] = level
 
 
 def _carried(shared, whole: bool):
-    """(doc_id, tag, n_bytes, sha256, packed text): the text only where the bitmap has the document."""
+    """(doc_id, tag, tail, n_bytes, sha256, packed text): the text only where the bitmap has the document."""
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3)
@@ -268,14 +281,17 @@ def _carried(shared, whole: bool):
             ids = batch.column("doc_id").to_pylist()
             out = []
             for i, text in _rows(batch.column("text")):
+                if not (passes[i] or whole):
+                    continue
+                digest = hashlib.sha256(text)
                 if passes[i]:
-                    out.append((ids[i], _tag(text), len(text), None, squeeze.compress(text)))
-                elif whole:
-                    out.append((ids[i], _tag(text), len(text), hashlib.sha256(text).hexdigest(), None))
+                    out.append((ids[i], *_tags(digest.digest()), len(text), None, squeeze.compress(text)))
+                else:
+                    out.append((ids[i], *_tags(digest.digest()), len(text), digest.hexdigest(), None))
             if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+                types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tag", "n_bytes", "sha256", "packed"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*TEXT, "n_bytes", "sha256", "packed"])
 
     return carry
 
@@ -327,8 +343,8 @@ def _unit_rows(text, start, n, lead, base: int, row: dict, slots: bool) -> tuple
         which = np.repeat(np.arange(len(start)), n)
         first = last = start[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
         h, ctx = _hash(g, first, first + LENGTH), _hash(running_code(text, OTHER_CODE), first, first + LENGTH)
-    place = _place(np.full(len(first), row["tag"]), first + base, last - first + 1, np.zeros(len(first), np.int64), PLAIN)
-    return h, ctx, np.full(len(first), row["doc_id"], np.int64), place
+    place = _place(first + base, last - first + 1, np.zeros(len(first), np.int64), PLAIN)
+    return h, ctx, *(np.full(len(first), row[c], np.int64) for c in TEXT), place
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -337,24 +353,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _refined(docs: DataFrame, open_: DataFrame, slots: bool) -> tuple[DataFrame, DataFrame]:
     shared = bitmap(open_)
-    by_doc = open_.selectExpr("doc_id", TAG, f"{START} as start", f"{WINDOWS} as n", f"{LEAD} as lead").distinct()
-    by_doc = by_doc.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "lead")).alias("open"))
+    by_doc = open_.selectExpr(*TEXT, f"{START} as start", f"{WINDOWS} as n", f"{LEAD} as lead").distinct()
+    by_doc = by_doc.groupBy(*TEXT).agg(F.collect_list(F.struct("start", "n", "lead")).alias("open"))
     texts = docs.withColumn("spot", spot("doc_id")).mapInArrow(_carried(shared, whole=False), CARRIED)
-    entries = texts.dropDuplicates(["doc_id", "tag"]).join(by_doc, ["doc_id", "tag"]).select("doc_id", "tag", "packed", "open")
+    entries = texts.dropDuplicates(TEXT).join(by_doc, list(TEXT)).select(*TEXT, "packed", "open")
     scanned = _scan(entries.mapInArrow(_finer(slots), ENTRY))
     return _places(scanned, SPAN), _places(scanned, OPEN)
 
 
-CARRIED = "doc_id long, tag long, n_bytes long, sha256 string, packed binary"
+CARRIED = "doc_id long, tag long, tail long, n_bytes long, sha256 string, packed binary"
 
 
 def repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
-    """(doc_id, tag, spans) of the documents with repeated bytes: spans (start, stop), in any order, overlapping.
+    """(doc_id, tag, tail, spans) of the documents with repeated bytes: spans (start, stop), in any order, overlapping.
 
     ``docs`` (doc_id, text, ...) is taken in ``batches`` ranges of doc_id, as if they arrived one
     after the other. A byte is repeated if a string of LENGTH bytes around it also starts earlier:
-    in a smaller doc_id or further left. ``tag`` tells texts of one doc_id apart, the smaller
-    counts as earlier; fully repeated rows are one document. Null ids come first, null texts are
+    in a smaller doc_id or further left. ``tag`` and ``tail`` tell texts of one doc_id apart, the
+    smaller count as earlier; fully repeated rows are one document. Null ids come first, null texts are
     empty.
     """
     docs = _keyed(docs)
@@ -381,8 +397,8 @@ def repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     found = spans[0]
     for more in spans[1:]:
         found = found.unionByName(more)
-    found = found.selectExpr("doc_id", TAG, f"{START} as start", f"({START}) + ({WINDOWS}) + {LENGTH - 1} as stop")
-    found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    found = found.selectExpr(*TEXT, f"{START} as start", f"{START} + ({WINDOWS}) + {LENGTH - 1} as stop")
+    found = found.groupBy(*TEXT).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return stored(found, "repeats")
 
 
@@ -426,7 +442,7 @@ def removal(docs: DataFrame, batches: int = 2) -> DataFrame:
     found = repeats(docs, batches)
     shared = bitmap(found)
     rows = _keyed(docs).withColumn("spot", spot("doc_id")).mapInArrow(_carried(shared, whole=True), CARRIED)
-    out = rows.join(found, ["doc_id", "tag"], "left").mapInArrow(
+    out = rows.join(found, list(TEXT), "left").mapInArrow(
         _summed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
     return out.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(LEAST_LONG)))
@@ -437,10 +453,12 @@ def without_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
 
     All other columns stay. Null texts stay null.
     """
-    found = repeats(docs, batches).select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
-    tagged = docs.withColumn("_tag_", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).bitwiseAND(0x7FFF))
+    found = repeats(docs, batches).toDF("_doc", "_tag", "_tail", "_spans")
+    tag, tail = _tag_columns(F.col("text"))
+    tagged = docs.withColumns({"_tag_": tag, "_tail_": tail})
     same = (F.coalesce("doc_id", F.lit(LEAST_LONG)) == F.col("_doc")) & (F.col("_tag_") == F.col("_tag"))
-    joined = tagged.join(found, same, "left").drop("_doc", "_tag", "_tag_")
+    same &= F.col("_tail_") == F.col("_tail")
+    joined = tagged.join(found, same, "left").drop("_doc", "_tag", "_tail", "_tag_", "_tail_")
     place = docs.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

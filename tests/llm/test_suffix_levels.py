@@ -1,4 +1,5 @@
 import hashlib
+import struct
 
 import numpy as np
 import pytest
@@ -62,6 +63,22 @@ def test_texts_of_one_id_are_told_apart(spark):
     assert sum(n for _, n in got) == len(text) and len(got) == 2
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_texts_of_one_id(spark, doc_id):
+    shared = [prose(5000 + k, 60) for k in range(3)]
+    own = [(prose(6000 + i, 20 + i % 30), prose(8000 + i, 25)) for i in range(900)]
+    texts = [f"{head} {shared[i % 3][i % 50 :]} {end}" for i, (head, end) in enumerate(own)]
+    texts = sorted(texts, key=lambda t: struct.unpack(">qq", hashlib.sha256(t.encode()).digest()[:16]))
+    expected = sorted(r[1:] for r in brute(list(enumerate(texts))))
+    docs = documents(spark, [(doc_id, t) for t in texts])
+    got = S.removal(docs).collect()
+    assert {r["doc_id"] for r in got} == {doc_id} and sorted(tuple(r)[1:] for r in got) == expected
+    cleaned = [r["text"] for r in S.without_repeats(docs).collect()]
+    kept = "\n".join(cleaned)
+    assert all(head in kept and end in kept for head, end in own)  # whatever text comes first
+    assert sorted(hashlib.sha256(t.encode()).hexdigest() for t in cleaned) == sorted(r[-1] for r in expected)
+
+
 def test_levels_merge_geometrically(spark):
     index = S.SuffixLevels()
     for k in range(5):
