@@ -4,7 +4,10 @@ Patterns find what they can (the base). The field then labels the tokens that co
 entity, those with a digit or an ``@``; every other token is outside by definition. Neighbours
 form a chain, and each occurrence of a token is linked to its next occurrence in the document,
 compared without case and separators, however far away: repeated tokens share a potential, so a
-telephone number that is complete once is also found where its prefix is missing. Labels come
+telephone number that is complete once is also found where its prefix is missing. Numbers are
+written in groups of any size, so runs of neighbouring number tokens are linked too, by their
+joined digits: two runs of at least ``LEAST_DIGITS`` whose digits are equal, or one the end of
+the other, link the tokens that share a digit, however either is grouped. Labels come
 from loopy belief propagation, for all documents of a batch at once; base tokens are clamped.
 
 The potentials are fitted piecewise from counts over all documents, summed by Spark: log odds of
@@ -34,6 +37,8 @@ OUTSIDE = len(KINDS)
 LABELS = OUTSIDE + 1
 MAX_SIGNATURES = 50_000
 AGREEMENT = 10.0
+#: Digits of a run of number tokens that can be linked: the fewest in any span of digits, and the most.
+LEAST_DIGITS, MOST_DIGITS = 7, 19
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -44,6 +49,7 @@ _token = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _beside = re.compile(r"[ ().-]{0,3}").fullmatch
 _digits = re.compile(r"[^0-9]")
 _form = re.compile(r"[^0-9a-z@]")
+_number = re.compile(r"[0-9][0-9().-]*").fullmatch
 _runs = re.compile(r"[0-9]+|[^\W\d_]+")
 #: What a span of each kind cannot do without: its form, with the fewest digits in all.
 _needs = (
@@ -86,6 +92,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+class Numbers:
+    """Runs of neighbouring number tokens of one text, by their joined digits."""
+
+    def __init__(self, first: int) -> None:
+        self.first = first  # of the text's tokens in the graph
+        self.digits: list[str] = []  # of each token, empty if it is no number
+        self.run = ""  # the last MOST_DIGITS digits of the run that ends here
+        self.sizes: list[int] = []  # digits from each token of the run to its end, the nearest last
+        self.whole: dict[str, int] = {}  # digits of a run of whole tokens: where it last ended
+        self.ends: dict[str, int] = {}  # digits that end a run, from anywhere in a token: the same
+
+    def linked(self, digits: str, beside: bool) -> list[tuple[int, int]]:
+        """Add the next token; the links of the longest run ending in it that stood earlier."""
+        me = len(self.digits)
+        self.digits.append(digits)
+        if not (digits and beside):
+            self.run, self.sizes = "", []
+        if not digits:
+            return []
+        self.run = (self.run + digits)[-MOST_DIGITS:]
+        self.sizes = [s + len(digits) for s in (*self.sizes, 0) if s + len(digits) <= MOST_DIGITS]
+        ends = [(n, self.run[-n:]) for n in range(len(self.run), LEAST_DIGITS - 1, -1)]
+        found: list[tuple[int, int]] = []
+        for n, end in ends:
+            earlier = (self.ends if n in self.sizes else self.whole).get(end)
+            if earlier is not None:
+                found = self._pairs(earlier, me, n)
+                if found:
+                    break
+        for n, end in ends:
+            self.ends[end] = me
+            if n in self.sizes:
+                self.whole[end] = me
+        return found
+
+    def _pairs(self, a: int, b: int, n: int) -> list[tuple[int, int]]:
+        """Tokens that share one of the last ``n`` digits of the runs ending in a and b; none if the runs overlap."""
+        pairs, end = [], a
+        left, right = len(self.digits[a]), len(self.digits[b])
+        while True:
+            if b <= end:
+                return []
+            pairs.append((self.first + a, self.first + b))
+            step = min(left, right, n)
+            left, right, n = left - step, right - step, n - step
+            if not n:
+                return pairs
+            if not left:
+                a -= 1
+                left = len(self.digits[a])
+            if not right:
+                b -= 1
+                right = len(self.digits[b])
+
+
 @dataclass
 class Graph:
     """Tokens of a batch of texts and the links between them."""
@@ -99,6 +160,8 @@ class Graph:
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
         last_of: dict[str, int] = {}
+        numbers = Numbers(len(self.doc))
+        links: set[tuple[int, int]] = set()
         covered = sorted((s, e, k) for k, s, e in base)
         at, previous = 0, None
         for m in _token.finditer(text):
@@ -117,14 +180,17 @@ class Graph:
             self.spans.append((start, end))
             self.labels.append(min(inside, default=OUTSIDE))
             self.signatures.append(signature(word))
-            if previous is not None and _beside(text, self.spans[previous][1], start):
+            beside = previous is not None and _beside(text, self.spans[previous][1], start) is not None
+            if beside:
                 self.chain.append((previous, me))
+            links.update(numbers.linked(_digits_of(word) if _number(word) else "", beside))
             form = _form.sub("", word.lower())
             if len(form) > 3:
                 if form in last_of:
-                    self.skip.append((last_of[form], me))
+                    links.add((last_of[form], me))
                 last_of[form] = me
             previous = me
+        self.skip += sorted(links)
 
 
 def signature(word: str) -> str:

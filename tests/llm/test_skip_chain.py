@@ -67,6 +67,36 @@ def test_repeated_number_is_found_without_its_prefix(spark):
     assert all(got[100 + k]["n_added"] == 0 for k in range(40))
 
 
+GROUPED = [
+    ("+34 612 345 678", "612 345 678"), ("+33 6 12 34 56 78", "6 12 34 56 78"), ("+33 6 12 34 56 79", "612 345 679"),
+    ("+1 (743) 555-3824", "743-555-3824"), ("+1 743-555-3825", "(743) 555-3825"), ("+17435553826", "743 555 3826"),
+]
+
+
+def test_repeats_in_short_groups_or_other_marks_are_found(spark):
+    rows = [(k, f"call +1 (555) 867-{1000 + k} today") for k in range(60)]
+    rows += [(100 + k, f"items 12 34 {k} 56 and 12 {300 + k} of 345 678 in 2021, page {k} 612 {345 + k}") for k in range(200)]
+    rows += [(600 + k, f"chapter {k % 9} of {k % 7}, then {k % 8}") for k in range(100)]
+    rows += [(400 + k, f"serial {k} 200 {310 + k} 410 and again {k} 200 {310 + k} 410") for k in range(40)]
+    rows += [(500 + k, f"call {full} or later, " + "far away " * 50 + f"{short} please, not 12 345 {k}") for k, (full, short) in enumerate(GROUPED)]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r for r in C.found_in(docs, C.fitted(docs)).collect()}
+    texts = dict(rows)
+    for k, (_, short) in enumerate(GROUPED):
+        start, end = (int(x) for x in got[500 + k]["spans"].split(":phone")[0].split(",phone:")[1].split(":"))
+        assert got[500 + k]["n_added"] == 1 and texts[500 + k][start:end] == short.lstrip("("), short
+    assert all(got[i]["n_added"] == 0 for i in [*range(100, 300), *range(400, 440), *range(600, 700)])
+
+
+def test_links_of_runs_by_joined_digits():
+    graph, _ = C.graph_of(["+33 6 12 34 56 78 or 612 345 678, 6 12 34 56 78 or 99 12", "12 34 56 12 34 56", "1111111 11111111 1111"])
+    words = [graph.spans[a] + graph.spans[b] for a, b in graph.skip if graph.doc[a] == 0]
+    spelled = {("+33 6 12 34 56 78 or 612 345 678, 6 12 34 56 78 or 99 12"[a:b], "+33 6 12 34 56 78 or 612 345 678, 6 12 34 56 78 or 99 12"[c:d]) for a, b, c, d in words}
+    assert {("6", "612"), ("12", "612"), ("34", "345"), ("56", "345"), ("56", "678"), ("78", "678"), ("612", "6"), ("678", "78")} <= spelled
+    assert not any("99" in pair for pair in spelled)
+    assert all(a < b for a, b in graph.skip) and len(set(graph.skip)) == len(graph.skip)
+
+
 def test_marginals_are_exact_on_trees():
     draw = np.random.default_rng(3)
     graph = C.Graph(doc=[0] * 4, spans=[(0, 1)] * 4, signatures=["a", "b", "a", "c"], labels=[C.OUTSIDE] * 4)
