@@ -34,6 +34,7 @@ from pyspark.sql.window import Window
 from tallyline.llm.arrowtext import slices
 
 UNDETERMINED = "und"
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -75,16 +76,39 @@ class Model:
         return total
 
 
+def _least(sample: int):
+    """The ``sample`` smallest different draws of each language in one task."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            rows = batch.to_pandas()
+            rows = rows if kept is None else pd.concat([kept, rows])
+            kept = rows.drop_duplicates().sort_values("draw").groupby("lang").head(sample)
+        if kept is not None:
+            yield pa.RecordBatch.from_pandas(kept, preserve_index=False)
+
+    return least
+
+
+def candidates(known: DataFrame, sample: int) -> DataFrame:
+    """Different (lang, draw), at most SALTS * ``sample`` a language, with the ``sample`` smallest among them."""
+    drawn = known.select("lang", "draw").mapInArrow(_least(sample), "lang string, draw long").distinct()
+    first = Window.partitionBy("lang", F.pmod("draw", F.lit(SALTS))).orderBy("draw")
+    return drawn.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample).drop("place")
+
+
 def sampled(training: DataFrame, sample: int) -> DataFrame:
     """(text, lang) of ``sample`` different texts a language, those with the smallest hashes.
 
-    Only languages and hashes are ranked; one bound per language, a handful of rows, then
+    Only languages and hashes are ranked: first in each task, then in SALTS parts of a language,
+    so that one task never ranks more than SALTS * ``sample`` of a language at last. One bound per language, a handful of rows, then
     selects the texts in the scan.
     """
     known = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select("text", "lang", F.xxhash64("text").alias("draw"))
     first = Window.partitionBy("lang").orderBy("draw")
-    drawn = known.select("lang", "draw").distinct().withColumn("place", F.row_number().over(first))
+    drawn = candidates(known, sample).withColumn("place", F.row_number().over(first))
     bounds = drawn.filter(F.col("place") <= sample).groupBy("lang").agg(F.max("draw").alias("bound"))
     chosen = known.join(F.broadcast(bounds), "lang").filter("draw <= bound")
     return chosen.dropDuplicates(["lang", "draw"]).select("text", "lang")

@@ -60,6 +60,16 @@ def test_code_lengths_equal_slow_coder(order):
     assert np.allclose(got, expected, atol=1e-3)
 
 
+def test_few_hashes_of_a_hot_language_are_ranked_at_once(spark):
+    rows = spark.range(20_000, numPartitions=3).selectExpr(
+        "concat('text ', id % 15000) as text", "if(id % 15000 % 50 = 0, 'aa', 'en') as lang", "xxhash64(concat('text ', id % 15000)) as draw")
+    every = {lang: sorted({r["draw"] for r in rows.collect() if r["lang"] == lang}) for lang in ("aa", "en")}
+    ranked = M.candidates(rows, 7).collect()
+    assert len(ranked) == len(set(ranked)) and len(ranked) <= 2 * M.SALTS * 7 and len(every["en"]) > 10_000
+    got = M.sampled(rows.select("text", "lang"), 7).selectExpr("lang", "xxhash64(text) as draw").collect()
+    assert sorted(tuple(r) for r in got) == [(lang, d) for lang in ("aa", "en") for d in every[lang][:7]]
+
+
 def test_probabilities_add_up_to_one():
     model = M.built(grams(TEXTS, 2), 2)
     table = model.cost.reshape(-1, model.columns, 2)
