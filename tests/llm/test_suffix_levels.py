@@ -75,7 +75,7 @@ def test_many_texts_of_one_id(spark, doc_id):
     assert {r["doc_id"] for r in got} == {doc_id} and sorted(tuple(r)[1:] for r in got) == expected
     cleaned = [r["text"] for r in S.without_repeats(docs).collect()]
     kept = "\n".join(cleaned)
-    assert all(head in kept and end in kept for head, end in own)  # whatever text comes first
+    assert all(head[:-12] in kept and end[12:] in kept for head, end in own)  # whatever text comes first; seams may agree by chance
     assert sorted(hashlib.sha256(t.encode()).hexdigest() for t in cleaned) == sorted(r[-1] for r in expected)
 
 
