@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bit_planes, bit_sliced, chunked_bpe, length_buckets, role_repair, scaled_sketch, skip_chain, suffix_levels
+from tallyline.llm import (
+    bit_planes, bit_sliced, chebyshev_whitening, chunked_bpe, length_buckets, merkle_manifest, role_repair,
+    scaled_sketch, skip_chain, suffix_levels, wu_manber,
+)
 from tallyline.llm.odd_sketch import near_duplicates
 from tallyline.llm.ppm_language import language_of
 from tallyline.workspace import fresh_dir
@@ -168,3 +171,122 @@ FROM numbered
 
 
 ORACLES["op9_length_packing"] = _packing_sql(length_buckets.LONGEST, length_buckets.BUCKETS, length_buckets.BUDGET)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chebyshev_whitening.whitening(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return wu_manber.digests(wu_manber.found(docs, tests).drop("text"))
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES["op12_decontamination"] = f"""
+WITH docs AS (
+    SELECT doc_id, {_WORDS} AS ws FROM documents
+), tests AS (
+    SELECT item_id, ws, least(len(ws), 10) AS k FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0
+), windows AS (
+    SELECT DISTINCT item_id, k, unnest([array_to_string(ws[i : i + k - 1], ' ') for i in range(1, len(ws) - k + 2)]) AS win
+    FROM tests
+), runs AS (
+    SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS i,
+        unnest([array_to_string(ws[i : i + k - 1], ' ') for i in range(1, len(ws) - k + 2)]) AS win
+    FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(ws) >= k
+), matched AS (
+    SELECT r.doc_id, r.i, r.k, w.item_id FROM runs r JOIN windows w ON w.k = r.k AND w.win = r.win
+), hits AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS word FROM matched) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM matched) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+    coalesce(i.items_sha256, sha256('')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = merkle_manifest.manifest(documents(spark, sf_dir), merkle_manifest.tampered())
+    return merkle_manifest.digests(merkle_manifest.proofs(spark, made))
+
+
+def _merkle_sql(levels: int) -> str:
+    """Levels as one common table each; a tree that has one node left keeps it unchanged on higher levels."""
+
+    def enc(column: str) -> str:
+        return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(enc, ('doc_id', 'source', 'lang', 'n_chars')))} || {enc(text)})"
+
+    def climb(name: str, below: str, tree: str) -> list[str]:
+        """``name``0 to ``name``<levels>, each with its parent's number, place and the nodes of the run."""
+        steps = []
+        for k in range(levels):
+            source = below if k == 0 else f"{name}{k}"
+            steps.append(
+                f"{name}run{k} AS (SELECT {tree}, number // 16 AS parent, list(hash ORDER BY number) AS brood, max(n) AS n "
+                f"FROM {source} GROUP BY ALL)"
+            )
+            steps.append(
+                f"{name}{k + 1} AS (SELECT {tree}, parent AS number, (n + 15) // 16 AS n, "
+                f"CASE WHEN n = 1 THEN brood[1] ELSE sha256(array_to_string(brood, '')) END AS hash FROM {name}run{k})"
+            )
+        return steps
+
+    def path(name: str, tree: str, start: str, number: str) -> str:
+        """Fold along the runs of one tree: each level replaces the digest at its place in the run."""
+        out, folded, proof = [], start, "''" if name == "s" else "proof"
+        for k in range(levels):
+            came = f"{name}path{k}" if k else ("placed" if name == "s" else f"spath{levels}")
+            place = f"(({number} // {16**k}) % 16)::INTEGER"
+            out.append(
+                f"{name}path{k + 1} AS (SELECT p.* EXCLUDE (folded, proof), "
+                f"CASE WHEN r.n = 1 THEN p.folded ELSE sha256(array_to_string(r.brood[:{place}] || [p.folded] || r.brood[{place} + 2:], '')) END AS folded, "
+                f"CASE WHEN r.n = 1 THEN p.proof ELSE p.proof || array_to_string(r.brood[:{place}] || r.brood[{place} + 2:], '') END AS proof "
+                f"FROM {came} p JOIN {name}run{k} r ON {f'r.tree IS NOT DISTINCT FROM p.tree AND ' if tree == 'tree' else ''}r.parent = p.{number} // {16 ** (k + 1)})"
+            )
+        return ", ".join(out)
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE bits(i, k, c) AS (
+    SELECT i::BIGINT, 0, i::BIGINT FROM range(256) t(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+    SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8
+), checked AS (
+    SELECT *, xor(list_reduce(
+        list_concat([4294967295::BIGINT], [ascii(x)::BIGINT for x in regexp_extract_all(doc_id::VARCHAR, '.')]),
+        lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295) % 5 = 0 AS struck
+    FROM documents, crc
+), leaves AS (
+    SELECT doc_id, source AS tree, {leaf("text")} AS hash,
+        CASE WHEN struck THEN {leaf(f"({lower})")} ELSE {leaf("text")} END AS shown,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS number,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM checked
+), {", ".join(climb("s", "leaves", "tree"))}, subroots AS (
+    SELECT tree, hash, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS number, count(*) OVER () AS n FROM s{levels}
+), {", ".join(climb("t", "subroots", "0 AS whole"))}, placed AS (
+    SELECT l.doc_id, l.tree, l.hash AS leaf, s.hash AS subroot, l.number, s.number AS top, l.shown AS folded, '' AS proof
+    FROM leaves l JOIN subroots s ON s.tree IS NOT DISTINCT FROM l.tree
+), {path("s", "tree", "shown", "number")}, {path("t", "", "", "top")}
+SELECT doc_id, leaf, subroot, t{levels}.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+    folded = t{levels}.hash AS verified
+FROM tpath{levels}, t{levels}
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql(6)

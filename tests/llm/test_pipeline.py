@@ -65,7 +65,7 @@ def test_awkward_rows_go_through(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_their_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DIRECTORY}/{table}.parquet'")
     cursor = duck.execute(queries.ORACLES[name])
     columns = [d[0] for d in cursor.description]
