@@ -6,8 +6,9 @@ order of source, give the root in the same way. Every built level is stored as n
 name their parent and their place in it, and hold the digests of their own children.
 
 A recursive query climbs from every leaf to the root: at each step it appends the siblings to
-the proof and puts the folded digest in its place among them. Leaves of one run have all
-siblings above the run in common, so the at most sixteen of them climb as one row.
+the proof and puts the folded digest in its place among them. Leaves below one node of the second
+level have all siblings above it in common, so those at most 256 climb as one row: an array of
+their folded digests beside one proof. Their siblings below that node are put before it at the end.
 
 * A source without a name is a tree of its own and the first one. A lone leaf is its subroot.
 * Repeated doc_ids, and documents without one (first in their source), follow the order of
@@ -15,9 +16,9 @@ siblings above the run in common, so the at most sixteen of them climb as one ro
 * Null values have a mark of their own (``-``), an empty text has length 0. Whole texts are hashed.
 * Further columns are ignored. An empty table has no root and no proofs.
 
-Digests are kept as 32 bytes and hashed as lower-case hex text. No step gathers more than sixteen
-nodes. A node below which many runs climb is stored in as many copies as it takes to meet at
-most RUNS_PER_COPY of them each, so neither a large source nor the root becomes one hot key.
+Digests are kept as 32 bytes and hashed as lower-case hex text. No step gathers more than 256 leaves
+or sixteen nodes. A node below which many groups climb is stored in as many copies as it takes to
+meet at most GROUPS_PER_COPY of them each, so neither a large source nor the root becomes a hot key.
 """
 
 from __future__ import annotations
@@ -25,15 +26,17 @@ from __future__ import annotations
 import string
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.once import evaluated_once
 from tallyline.workspace import stored
 
 FAN = 16
 BYTES = 32
-RUNS_PER_COPY = 1024
+GROUPS_PER_COPY = 1024
 UNNAMED, NAMED, TOP = "-", "=", ""
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
@@ -110,23 +113,19 @@ def _numbered(rows: DataFrame, *order: str) -> DataFrame:
     return placed.drop("spot", "task", "first", "skipped")
 
 
-def _groups(*aggregates: Column) -> list[Column]:
-    return [F.ceil(F.max("n") / FAN).alias("n"), *aggregates]
-
-
 def _levels(nodes: DataFrame, level: int) -> list[DataFrame]:
-    """Stored levels above ``nodes`` (tree, number, n, hash, runs); trees of one node are done."""
+    """Stored levels above ``nodes`` (tree, number, n, hash, groups); trees of one node are done."""
     built = []
     below = nodes.filter("n > 1")
     while not below.isEmpty():
         level += 1
         kids = F.array_sort(F.collect_list(F.struct("number", "hash")))
         parents = below.groupBy("tree", F.expr(f"number div {FAN}").alias("parent")).agg(
-            *_groups(kids.alias("kids"), F.sum("runs").alias("runs"))
+            F.ceil(F.max("n") / FAN).alias("n"), kids.alias("kids"), F.sum("groups").alias("groups")
         )
         parents = parents.select(
             "tree", F.lit(level).alias("level"), F.col("parent").alias("number"), "n",
-            _joined(F.col("kids.hash")).alias("brood"), "runs",
+            _joined(F.col("kids.hash")).alias("brood"), "groups",
         )
         built.append(stored(parents.withColumn("hash", _digest(F.col("brood"))), "merkle-level"))
         below = built[-1].filter("n > 1")
@@ -135,32 +134,47 @@ def _levels(nodes: DataFrame, level: int) -> list[DataFrame]:
 
 @dataclass(frozen=True)
 class Manifest:
-    """Stored node rows, and the runs of leaves from which a climb begins.
+    """Stored node rows, and the groups of leaves from which a climb begins.
 
-    ``nodes``: node, copy, parent, parent_copies, place, brood, hash, subroot (null above the trees).
-    ``runs``: run, parent, parent_copies, place, brood, leaves (doc_id, folded), hash, subroot.
+    ``nodes``: node, copy, parent, parent_copies, place, brood, hash, subroot (null but for subroots).
+    ``groups``: node, parent, parent_copies, place, doc_ids, folded, broods of its runs, brood, hash, subroot.
     """
 
     nodes: DataFrame
-    runs: DataFrame
+    groups: DataFrame
+
 
+def _grouped(leaves: DataFrame) -> DataFrame:
+    """Two levels at once: leaves to runs, and sixteen runs to a node, with every leaf folded up to it.
 
-def _runs(leaves: DataFrame) -> DataFrame:
+    A lone leaf is not hashed again, nor is a lone run; the node is then the subroot.
+    """
     kids = F.array_sort(F.collect_list(F.struct("number", "hash", "shown", "doc_id")))
-    runs = leaves.groupBy("tree", F.expr(f"number div {FAN}").alias("run")).agg(
-        *_groups(kids.alias("kids"), (F.max("n") == 1).alias("lone"))
+    rows = leaves.groupBy("tree", F.expr(f"number div {FAN * FAN}").alias("group")).agg(
+        kids.alias("kids"), F.max("n").alias("leaves")
+    )
+    one_leaf, one_run = F.col("leaves") == 1, F.col("leaves") <= FAN
+    last_run = F.floor((F.size("kids") - 1) / FAN).cast("int")
+    run = F.transform(
+        F.sequence(F.lit(0), last_run), lambda r: _joined(F.slice(F.col("kids.hash"), r * FAN + 1, F.lit(FAN)))
+    )
+    rows = evaluated_once(rows, broods=run)
+    rows = evaluated_once(
+        rows, brood=_joined(F.transform("broods", lambda b: F.when(one_leaf, b).otherwise(_digest(b))))
     )
-    runs = runs.withColumn("brood", _joined(F.col("kids.hash")))
-    lone = F.col("lone")  # a lone leaf is not hashed again
 
-    def climber(kid: Column, place: Column) -> Column:
-        folded = F.when(lone, kid["shown"]).otherwise(_folded(F.col("brood"), place, kid["shown"]))
-        return F.struct(kid["doc_id"].alias("doc_id"), folded.alias("folded"))
+    def climber(kid: Column, i: Column) -> Column:
+        run_no, place = F.floor(i / FAN).cast("int"), i % FAN
+        in_run = F.when(one_leaf, kid["shown"]).otherwise(
+            _folded(F.element_at("broods", run_no + 1), place, kid["shown"])
+        )
+        return F.when(one_run, in_run).otherwise(_folded(F.col("brood"), run_no, in_run))
 
-    return runs.select(
-        "tree", F.lit(1).alias("level"), F.col("run").alias("number"), "n", "brood",
-        F.lit(1).cast("long").alias("runs"), F.transform("kids", climber).alias("leaves"),
-        F.when(lone, F.col("brood")).otherwise(_digest(F.col("brood"))).alias("hash"),
+    return rows.select(
+        "tree", F.lit(2).alias("level"), F.col("group").alias("number"), F.ceil(F.col("leaves") / (FAN * FAN)).alias("n"),
+        "brood", F.lit(1).cast("long").alias("groups"), "broods", F.col("kids.doc_id").alias("doc_ids"),
+        F.transform("kids", climber).alias("folded"),
+        F.when(one_run, F.col("brood")).otherwise(_digest(F.col("brood"))).alias("hash"),
     )
 
 
@@ -176,16 +190,13 @@ def manifest(docs: DataFrame, shown: Column | None = None) -> Manifest:
         leaf(text if shown is None else shown).alias("shown"),
     )
     leaves = _numbered(stored(own, "merkle-leaves"), "doc_id", "hash", "shown")
-    runs = stored(_runs(leaves), "merkle-runs")
-
-    narrow = ["tree", "level", "number", "n", "hash", "runs"]
-    inner = _levels(runs.select(*narrow), 1)
-    every = [runs.select(*narrow), *(level.select(*narrow) for level in inner)]
-    subroots = every[0]
-    for level in every[1:]:
-        subroots = subroots.unionByName(level)
+    groups = stored(_grouped(leaves), "merkle-groups")
+
+    narrow = ["tree", "level", "number", "n", "hash", "groups"]
+    inner = _levels(groups.select(*narrow), 2)
+    subroots = reduce(DataFrame.unionByName, [level.select(*narrow) for level in (groups, *inner)])
     subroots = subroots.filter("n = 1").select(
-        F.lit(TOP).alias("tree"), F.col("tree").alias("of"), "hash", "runs"
+        F.lit(TOP).alias("tree"), F.col("tree").alias("of"), "hash", "groups"
     )
     tops = stored(_numbered(subroots, "of"), "merkle-subroots")
     upper = _levels(tops.drop("of"), 0)
@@ -195,21 +206,15 @@ def manifest(docs: DataFrame, shown: Column | None = None) -> Manifest:
         F.when(F.col("n") > 1, _node_id(F.lit(1), F.expr(f"number div {FAN}"), F.lit(TOP))).alias("top_parent"),
         (F.col("number") % FAN).alias("top_place"),
     )
-    nodes = None
-    for level in [*inner, *upper]:
-        nodes = level if nodes is None else nodes.unionByName(level)
-    if nodes is None:
-        nodes = runs.drop("leaves").limit(0)
-    nodes = _linked(nodes, above).withColumn("copies", F.ceil(F.col("runs") / RUNS_PER_COPY))
+    inner_nodes = reduce(DataFrame.unionByName, [*inner, *upper] or [groups.select(*narrow, "brood").limit(0)])
+    nodes = _linked(inner_nodes, above).withColumn("copies", F.ceil(F.col("groups") / GROUPS_PER_COPY))
     copies = nodes.select(F.col("node").alias("parent"), F.col("copies").alias("parent_copies"))
-    nodes = nodes.join(copies, "parent", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    nodes = stored(
-        nodes.select("node", "copy", "parent", "parent_copies", "place", "brood", "hash", "subroot"), "merkle-nodes"
-    )
-    # Above a run inside a tree are at most sixteen runs; only a run that is a subroot meets a larger node.
-    runs = _linked(runs, above).withColumn("run", F.xxhash64("node"))
-    runs = runs.join(copies, "parent", "left")
-    return Manifest(nodes, runs.drop("node", "runs"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    nodes = nodes.join(copies, "parent", "left").withColumn("copy", each)
+    links = ["node", "parent", "parent_copies", "place", "brood", "hash", "subroot"]
+    nodes = stored(nodes.select("copy", *links), "merkle-nodes")
+    groups = _linked(groups, above).join(copies, "parent", "left")
+    return Manifest(nodes, stored(groups.select(*links, "doc_ids", "folded", "broods"), "merkle-climbers"))
 
 
 def _linked(level: DataFrame, above: DataFrame) -> DataFrame:
@@ -232,26 +237,26 @@ def _linked(level: DataFrame, above: DataFrame) -> DataFrame:
 
 
 _CLIMB = f"""
-WITH RECURSIVE climb(run, parent, parent_copies, place, brood, leaves, hash, subroot, proof) AS (
-    SELECT run, parent, parent_copies, place, brood, leaves, hash, subroot, unhex('') FROM {{runs}}
+WITH RECURSIVE climb(node, parent, parent_copies, place, folded, hash, subroot, proof) AS (
+    SELECT node, parent, parent_copies, place, folded, hash, subroot, unhex('') FROM {{groups}}
     UNION ALL
-    SELECT c.run, n.parent, n.parent_copies, n.place, c.brood,
-        transform(c.leaves, x -> named_struct('doc_id', x.doc_id, 'folded', unhex(sha2(lower(hex(concat(
-            substring(n.brood, 1, int(c.place * {BYTES})), x.folded,
-            substring(n.brood, int((c.place + 1) * {BYTES} + 1), {FAN * BYTES})))), 256)))),
+    SELECT c.node, n.parent, n.parent_copies, n.place,
+        transform(c.folded, digest -> unhex(sha2(lower(hex(concat(
+            substring(n.brood, 1, int(c.place * {BYTES})), digest,
+            substring(n.brood, int((c.place + 1) * {BYTES} + 1), {FAN * BYTES})))), 256))),
         n.hash, coalesce(c.subroot, n.subroot),
         concat(c.proof, substring(n.brood, 1, int(c.place * {BYTES})),
             substring(n.brood, int((c.place + 1) * {BYTES} + 1), {FAN * BYTES}))
-    FROM climb c JOIN {{nodes}} n ON n.node = c.parent AND n.copy = pmod(c.run, c.parent_copies)
+    FROM climb c JOIN {{nodes}} n ON n.node = c.parent AND n.copy = pmod(xxhash64(c.node), c.parent_copies)
 )
-SELECT brood, leaves, hash, subroot, proof FROM climb WHERE parent IS NULL
+SELECT node, folded, hash, subroot, proof FROM climb WHERE parent IS NULL
 """
 
 
 def proofs(spark: SparkSession, made: Manifest) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof (digests one after the other), folded_root, verified."""
-    names = {name: f"merkle_{name}_{uuid.uuid4().hex}" for name in ("runs", "nodes")}
-    made.runs.createOrReplaceTempView(names["runs"])
+    names = {name: f"merkle_{name}_{uuid.uuid4().hex}" for name in ("groups", "nodes")}
+    made.groups.createOrReplaceTempView(names["groups"])
     made.nodes.createOrReplaceTempView(names["nodes"])
     limit = spark.conf.get(ROW_LIMIT, None)
     spark.conf.set(ROW_LIMIT, "-1")  # read when the query runs, and it runs inside this call
@@ -261,10 +266,15 @@ def proofs(spark: SparkSession, made: Manifest) -> DataFrame:
         spark.conf.unset(ROW_LIMIT) if limit is None else spark.conf.set(ROW_LIMIT, limit)
         for name in names.values():
             spark.catalog.dropTempView(name)
-    one = arrived.select("*", F.posexplode("leaves").alias("spot", "climber")).drop("leaves")
+    whole = arrived.join(made.groups.select("node", "doc_ids", "broods", F.col("brood").alias("runs")), "node")
+    of_run = [F.slice(c, F.col("run") * FAN + 1, F.lit(FAN)).alias(c) for c in ("doc_ids", "folded")]
+    shared = F.concat(_before(F.col("runs"), F.col("run")), _after(F.col("runs"), F.col("run")), F.col("proof"))
+    runs = whole.select("*", F.posexplode("broods").alias("run", "brood"))
+    runs = runs.select("hash", "subroot", shared.alias("proof"), "brood", F.arrays_zip(*of_run).alias("climbers"))
+    one = runs.select("hash", "subroot", "proof", "brood", F.posexplode("climbers").alias("spot", "climber"))
     siblings = F.concat(_before(F.col("brood"), F.col("spot")), _after(F.col("brood"), F.col("spot")), F.col("proof"))
     return one.select(
-        F.col("climber.doc_id").alias("doc_id"),
+        F.col("climber.doc_ids").alias("doc_id"),
         F.substring("brood", F.col("spot") * BYTES + 1, F.lit(BYTES)).alias("leaf"),
         "subroot", F.col("hash").alias("root"), siblings.alias("proof"),
         F.col("climber.folded").alias("folded_root"), (F.col("climber.folded") == F.col("hash")).alias("verified"),

@@ -77,8 +77,8 @@ def test_sample_equals_brute_force(spark):
 
 def test_deep_tree_nulls_and_many_sources(spark, monkeypatch):
     """One source of three levels, sources of one, sixteen and seventeen rows, none, and an empty name."""
-    monkeypatch.setattr(M, "RUNS_PER_COPY", 3)  # nodes in several copies
-    rows = [(i, f"Text {i}", "en", "big", i) for i in range(700)]
+    monkeypatch.setattr(M, "GROUPS_PER_COPY", 2)  # nodes in several copies
+    rows = [(i, f"Text {i}", "en", "big", i) for i in range(5000)]
     rows += [(1000 + i, prose(i, 5), None, f"s{i:02d}", None) for i in range(20)]
     rows += [(2000 + i, None, "de", "a", 0) for i in range(16)] + [(3000 + i, "", "de", "ä", 0) for i in range(17)]
     rows += [(4000, "nameless", None, None, 8), (4001, "Other", None, None, 5), (4002, "empty", "x", "", 1)]
