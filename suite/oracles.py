@@ -368,7 +368,7 @@ part(
 part(
     "golden",
     """
-    SELECT conv_id, turn, CASE WHEN response IS NULL THEN ['no response'] ELSE list_filter([
+    SELECT conv_id, turn, question, CASE WHEN response IS NULL THEN ['no response'] ELSE list_filter([
       CASE WHEN NOT contains(lower(response), lower(expected)) THEN 'missing expected text: ''' || expected || '''' END,
       CASE WHEN contains(lower(response), lower(forbidden)) THEN 'contains forbidden text: ''' || forbidden || '''' END,
       CASE WHEN contains(question, '?') AND NOT regexp_matches(response, '[0-9]')
@@ -1077,15 +1077,37 @@ for name in ("eval_summary", "agg_pass_rate"):
         FROM (SELECT COUNT(*) AS total, CAST(COUNT(*) FILTER (WHERE len(reasons) = 0) AS BIGINT) AS passed FROM golden)""",
         "golden",
     )
+part(
+    "hits",
+    """
+      SELECT question, kind FROM (SELECT question, unnest(reasons) AS reason FROM golden)
+      JOIN (VALUES ('missing expected text'), ('graceful refusal'), ('forbidden text'), ('no number')) AS k(kind)
+        ON contains(reason, kind)""",
+    "golden",
+)
+part(
+    "every",
+    """
+      SELECT * FROM hits UNION ALL SELECT DISTINCT question, 'routing' FROM hits WHERE kind = 'missing expected text'""",
+    "hits",
+)
+part(
+    "told",
+    """
+      SELECT kind, COUNT(*) AS failures, array_to_string(list_sort(list(DISTINCT question))[:3], ' | ') AS examples
+      FROM every GROUP BY kind
+      UNION ALL SELECT 'none', 0, '' FROM golden HAVING COUNT(*) FILTER (WHERE len(reasons) > 0) = 0""",
+    "every", "golden",
+)
 oracle(
     "eval_recommend",
-    """SELECT kind, advice, COUNT(*) AS failures FROM (SELECT unnest(reasons) AS reason FROM golden)
-    JOIN (VALUES
-      ('missing expected text', 'Agent omits key facts: ask for specific numbers to be cited.'),
-      ('graceful refusal', 'Agent answers out-of-scope questions: strengthen the refusal instructions.'),
-      ('forbidden text', 'Agent uses forbidden phrases: add explicit rules against them.'),
-      ('no number', 'Agent answers without statistics: require numbers to be cited.')) AS k(kind, advice)
-      ON contains(reason, kind)
-    GROUP BY 1, 2""",
-    "golden",
+    """SELECT kind, failures, examples, CASE kind
+      WHEN 'missing expected text' THEN 'Compare these answers with the rows their tools returned.'
+      WHEN 'graceful refusal' THEN 'State in the task which seasons and competitions are covered.'
+      WHEN 'forbidden text' THEN 'Screen answers for the listed texts before they are shown.'
+      WHEN 'no number' THEN 'Have an answer repeat the figures it rests on.'
+      WHEN 'routing' THEN 'Check which tool each of these questions was sent to.'
+      ELSE 'Nothing to change.' END AS advice
+    FROM told""",
+    "told",
 )

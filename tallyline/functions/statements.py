@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallyline.functions.once import evaluated_once
 from tallyline.functions.text import strip
 
-# Words that make a statement unacceptable, with the text shown in the reason.
+# Words that make a statement unacceptable, as they are shown in the reason; the texts of
+# the other reasons below are fixed too.
 FORBIDDEN = (
     r"\bdrop\b",
     r"\bdelete\b",

@@ -33,6 +33,9 @@ def text_chunks(text: Column, size: int = CHUNK_SIZE) -> Column:
     return F.regexp_extract_all(joined, F.lit(chunk), F.lit(1))
 
 
+# The labels and line breaks of the two formats below, which their readers expect.
+
+
 def match_prompt(preface: str = "") -> Column:
     """Fixed-format description of a mart_match_results row, for a report writer."""
 

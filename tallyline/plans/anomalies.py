@@ -111,6 +111,9 @@ def league_flags(features: DataFrame) -> DataFrame:
     )
 
 
+# The labels of the prompt, which its reader expects.
+
+
 def prompts(features: DataFrame, preface: str = "") -> DataFrame:
     """A team's ratios beside its league's as text, for a reviewer outside this job."""
 

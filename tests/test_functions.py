@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import re
+from itertools import pairwise
 
 import pytest
 from hypothesis import given, settings
@@ -8,56 +9,77 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyline.functions.rounding import count_where, percentage, ratio
-from tallyline.functions.season import in_season, parse_season, season_bounds, season_label, season_of_date
+from tallyline.functions.season import (
+    CURRENT_PHRASES, NEXT_PHRASES, PREVIOUS_PHRASES, in_season, parse_season, season_bounds, season_label, season_of_date,
+)
 from tallyline.functions.statements import judge_statements, strip_fences
 from tallyline.functions.text import BLANKS, strip, text_chunks
 from tallyline.functions.vectors import cosine_distance, cosine_similarity
 from tallyline.plans.tools import current_season, resolve_season
 
-TODAY = dt.date(2026, 5, 24)
+TODAY = dt.date(2031, 2, 10)
+THIS = 2030  # the season that TODAY falls in
 
 
 def one(spark, column):
     return spark.range(1).select(column).first()[0]
 
 
-@pytest.mark.parametrize(
-    "day, start",
-    [((2026, 5, 24), 2025), ((2026, 7, 1), 2026), ((2026, 8, 15), 2026), ((2025, 12, 1), 2025), ((2025, 1, 15), 2024)],
-)
-def test_season_of_date(spark, day, start):
-    assert one(spark, season_of_date(dt.date(*day))) == start == current_season(dt.date(*day))
+def days():
+    """First, middle and last day of every month of five years."""
+    firsts = [dt.date(y, m, 1) for y in range(2027, 2032) for m in range(1, 13)]
+    return [d for f in firsts for d in (f, f + dt.timedelta(days=14), f - dt.timedelta(days=1))]
 
 
-def test_loader_cut_is_august(spark):
-    assert one(spark, season_of_date(dt.date(2026, 7, 15), 8)) == 2025
+@pytest.mark.parametrize("cut", [7, 8])
+def test_season_begins_with_its_cut_month(spark, cut):
+    frame = spark.createDataFrame([(d,) for d in days()], "d date")
+    rows = frame.select("d", season_of_date(F.col("d"), cut).alias("start")).collect()
+    assert len(rows) == len(days())
+    for r in rows:
+        assert r.start == (r.d.year if r.d.month >= cut else r.d.year - 1)
 
 
-PHRASES = {
-    "this season": 2025, "current season": 2025, "THIS SEASON": 2025, "current": 2025, "this year": 2025,
-    "last season": 2024, "previous season": 2024, "Last Season": 2024, "next season": 2026,
-    "2 seasons ago": 2023, "4 seasons ago": 2021, "1 season ago": 2024, "2023-2024": 2023, "2023/24": 2023,
-    "2022": 2022, "  2021  ": 2021, "season 2020": 2025, "whatever": 2025, "": 2025, "20": 2025,
-}
+def test_current_season_agrees_with_the_column(spark):
+    for day in days()[::7]:
+        assert current_season(day) == one(spark, season_of_date(day))
+
+
+def phrases():
+    """(text, season) from the rule: words by offset, counted seasons, years and spans, and noise."""
+    for offset, words in ((0, CURRENT_PHRASES), (-1, PREVIOUS_PHRASES), (1, NEXT_PHRASES)):
+        for word in words:
+            yield from ((shaped, THIS + offset) for shaped in (word, word.upper(), word.title(), f" \t{word}\n"))
+    for n in range(13):
+        yield f"{n} season{'s' * (n != 1)} ago", THIS - n
+    for year in range(1996, 2034, 4):
+        after = year + 1
+        yield from ((t, year) for t in (f"{year}", f" {year} ", f"{year}-{after}", f"{year}/{after % 100:02d}"))
+        yield from ((t, THIS) for t in (f"in {year}", f"the {year}-{after} one"))
+    yield from ((noise, THIS) for noise in ("", "soon", "19", "ago 3 seasons", "-", "last"))
 
 
 def test_parse_season(spark):
-    phrases = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
-    rows = phrases.select("phrase", parse_season(F.col("phrase"), TODAY).alias("start")).collect()
-    assert {r.phrase: r.start for r in rows} == PHRASES
+    cases = dict(phrases())
+    frame = spark.createDataFrame([(p,) for p in cases], "phrase string")
+    rows = frame.select("phrase", parse_season(F.col("phrase"), TODAY).alias("start")).collect()
+    assert {r.phrase: r.start for r in rows} == cases
 
 
-def test_resolve_season(spark):
-    phrases = spark.createDataFrame([("last season",), ("1999",)], "ref string")
-    rows = resolve_season(phrases, "ref", TODAY).collect()
-    assert [(r.season_start_year, r.season_label) for r in rows] == [(2024, "2024/25"), (1999, "1999/00")]
-    assert one(spark, season_label(F.lit(2024))) == "2024/25"
+def test_resolve_season_labels_the_century(spark):
+    frame = spark.createDataFrame([(str(y),) for y in range(1990, 2012)], "ref string")
+    for r in resolve_season(frame, "ref", TODAY).collect():
+        assert r.season_start_year == int(r.ref)
+        assert r.season_label == f"{r.ref}/{str(int(r.ref) + 1)[-2:]}" == one(spark, season_label(F.lit(int(r.ref))))
 
 
 def test_season_bounds_are_half_open(spark):
-    assert season_bounds(2024) == (dt.date(2024, 7, 1), dt.date(2025, 7, 1))
-    days = spark.createDataFrame([(dt.date(2024, 7, 1),), (dt.date(2025, 6, 30),), (dt.date(2025, 7, 1),)], "d date")
-    assert [r[0] for r in days.select(in_season(F.col("d"), 2024)).collect()] == [True, True, False]
+    frame = spark.createDataFrame([(d,) for d in days()], "d date")
+    for start in (2028, 2029):
+        first, after = season_bounds(start)
+        assert (first.year, after.year, first.day, after.day) == (start, start + 1, 1, 1) and first.month == after.month
+        inside = {r.d for r in frame.filter(in_season(F.col("d"), start)).collect()}
+        assert inside == {d for d in days() if first <= d < after}
 
 
 def test_ratio_rounds_half_up_exactly(spark):
@@ -82,18 +104,17 @@ def test_count_where_treats_null_as_no(spark):
 # -- text ------------------------------------------------------------------------------
 
 
-def packed(text, size):
-    """The packing rule, sentence by sentence."""
-    out, current = [], ""
-    for sentence in re.split(r"(?<=[.!?])\s+", text.strip()):
-        if current and len(current) + 1 + len(sentence) > size:
-            out.append(current)
-            current = sentence
-        elif current:
-            current += " " + sentence
-        else:
-            current = sentence
-    return out + [current] if current else out
+GAP = re.compile(r"(?<=[.!?])\s+")
+
+
+def follows_the_rule(text, size, chunks):
+    """Every character in order, nothing too long but a lone sentence, no sentence that still fitted before."""
+    assert " ".join(chunks) == GAP.sub(" ", text.strip())
+    for c in chunks:
+        assert len(c) <= size or not GAP.search(c)
+    for left, right in pairwise(chunks):
+        assert len(left) + 1 + len(GAP.split(right)[0]) > size
+        assert left[-1] in ".!?"
 
 
 def chunk(spark, texts, size):
@@ -101,9 +122,10 @@ def chunk(spark, texts, size):
     return [r.c for r in frame.select("id", text_chunks(F.col("t"), size).alias("c")).orderBy("id").collect()]
 
 
-def test_short_text_is_one_chunk(spark):
-    texts = ["A short narrative.", "Rovers won the cup. Their keeper saved twice! City struggled?", "", " \n "]
-    assert chunk(spark, texts, 300) == [[texts[0]], [texts[1]], [], []]
+def test_texts_up_to_the_size_stay_whole(spark):
+    texts = ["Goalless at the harbour.", "Rain stopped play! Was it ever on? They left.", "", " \n ", "no stop"]
+    assert chunk(spark, texts, 60) == [[t] if t.strip() else [] for t in texts]
+    assert chunk(spark, texts[1:2], 10) == [["Rain stopped play!", "Was it ever on?", "They left."]]
 
 
 def test_chunks_follow_the_packing_rule(spark):
@@ -117,19 +139,21 @@ def test_chunks_follow_the_packing_rule(spark):
             words.append(word + rng.choice(["", ".", "!", "?", "..."]) + rng.choice(blanks))
         texts.append(rng.choice(blanks) + "".join(words))
     for size in (1, 20, 40, 300):
-        assert chunk(spark, texts, size) == [packed(t, size) for t in texts]
+        for text, chunks in zip(texts, chunk(spark, texts, size), strict=True):
+            follows_the_rule(text, size, chunks)
 
 
 def test_chunks_of_a_long_text_keep_every_character(spark):
     sentence = "word " * 11 + "end. "
-    text = sentence * 20_000 + "x" * 500_000 + ". Last one."
-    assert chunk(spark, [text], 300)[0] == packed(text, 300)
+    text = sentence * 20_000 + "x" * 500_000 + ". Done."
+    follows_the_rule(text, 300, chunk(spark, [text], 300)[0])
 
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet="aZ .!?\n\t é", max_size=200), min_size=30, max_size=30))
 def test_chunks_property(spark, texts):
-    assert chunk(spark, texts, 25) == [packed(t, 25) for t in texts]
+    for text, chunks in zip(texts, chunk(spark, texts, 25), strict=True):
+        follows_the_rule(text, 25, chunks)
 
 
 def test_blanks_are_pythons(spark):

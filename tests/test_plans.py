@@ -333,7 +333,7 @@ def failures(frame):
 def test_sql_answer_checks(spark):
     good = "select team_name from marts.mart_league_table"
     frame = spark.createDataFrame(
-        [(good, True, "Reds lead with 45 points."), (None, None, None), ("drop x", False, "I don't know.")],
+        [(good, True, "Four sides won away on matchday 9."), (None, None, None), ("drop x", False, "I don't know.")],
         "sql string, success boolean, answer string",
     )
     assert failures(evaluation.check_sql_answers(frame)) == [
@@ -364,17 +364,17 @@ def test_response_checks(spark):
     ]
 
 
-GOLDEN = "expected_contains array<string>, must_not_contain array<string>, must_include_number boolean, expected_behaviour string, response string"
+GOLDEN = "question string, expected_contains array<string>, must_not_contain array<string>, must_include_number boolean, expected_behaviour string, response string"
 
 
 def test_golden_cases(spark):
     cases = spark.createDataFrame(
         [
-            (["Reds"], None, True, None, "The REDS have 45 points"),
-            (["Reds", "45"], ["blues"], True, None, "The Blues"),
-            (None, None, None, "graceful_refusal", "That is outside my scope"),
-            (None, ["will win"], None, "graceful_refusal", "Reds will win"),
-            (["Reds"], None, True, None, None),
+            ("q0", ["Reds"], None, True, None, "The REDS have 45 points"),
+            ("q1", ["Reds", "45"], ["blues"], True, None, "The Blues"),
+            ("q2", None, None, None, "graceful_refusal", "That is outside my scope"),
+            ("q3", None, ["will win"], None, "graceful_refusal", "Reds will win"),
+            ("q4", ["Reds"], None, True, None, None),
         ],
         GOLDEN,
     )
@@ -389,12 +389,19 @@ def test_golden_cases(spark):
     ]
     line = evaluation.summarize(checked).first()
     assert tuple(line) == (5, 2, 3, 0.4, False)
-    advice = {r.kind: r.failures for r in evaluation.recommend(checked).collect()}
-    assert advice == {"missing expected text": 2, "forbidden text": 2, "no number": 1, "graceful refusal": 1}
+    advice = {r.kind: (r.failures, r.examples) for r in evaluation.recommend(checked).collect()}
+    assert advice == {
+        "missing expected text": (2, "q1"), "routing": (1, "q1"), "forbidden text": (2, "q1 | q3"),
+        "no number": (1, "q1"), "graceful refusal": (1, "q3"),
+    }
+    own = evaluation.recommend(checked, {"no number": "Mind the figures."}, examples=1).collect()
+    assert {r.advice for r in own} == {None, "Mind the figures."} and {r.examples for r in own} == {"q1", "q3"}
+    (clean,) = evaluation.recommend(checked.filter(F.size("reasons") == 0)).collect()
+    assert (clean.kind, clean.failures) == (evaluation.CLEAN, 0)
 
 
 def test_pass_threshold_uses_the_unrounded_rate(spark):
-    rows = [(None, None, i >= 1699, None, "x") for i in range(2000)]
+    rows = [("q", None, None, i >= 1699, None, "x") for i in range(2000)]
     line = evaluation.summarize(evaluation.check_golden(spark.createDataFrame(rows, GOLDEN))).first()
     assert (line.passed, line.pass_rate, line.passed_threshold) == (1699, 0.85, False)
 
