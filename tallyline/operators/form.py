@@ -1,106 +1,86 @@
-"""Rolling form and recency over a team's history.
-
-A team plays for decades and one team may hold a large share of all rows, so a window per
-team is only used up to a row count. Longer histories are range-partitioned on team and
-date, which spreads one team over many blocks; each block is handled alone, and the few
-rows a frame needs from earlier blocks travel as a short array.
+"""Rolling form and recency over a team's history, out of summaries that compose.
+
+A history is cut into calendar blocks of one team in one competition. A block is worked off alone
+and leaves a summary: how many matches it has, and the points of its last four. Summaries of
+neighbouring blocks compose to that of both, so what a block needs from all that came before
+is a running composition over a few dozen small rows a decade. One plan serves every size:
+a team with a large share of all rows is spread over its blocks, nothing is counted beforehand and no
+step runs before the caller's sink does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.ranking import join_on
-from tallyline.workspace import pinned
-
 FRAME = 5
 TEAM_KEYS = ("team_id", "competition_id")
 ORDER = ("match_date", "match_id")
-ROWS_PER_WINDOW = 4_000_000
+GRAIN = "month"
 
 FORM, RECENCY = "form_points_last5", "match_recency_rank"
+#: Columns of a block's rows: position in the block, points of the last five inside it.
+NTH, OWN = "nth_in_block", "own_points"
+#: Columns of a block's summary.
+LENGTH, TAIL = "length", "tail"
+
 
+def block_of(day: Column, grain: str = GRAIN) -> Column:
+    """First day of the calendar block a day falls in."""
+    return F.trunc(day, grain)
 
-def with_form(
-    sides: DataFrame,
-    keys: Sequence[str] = TEAM_KEYS,
-    rows_per_window: int = ROWS_PER_WINDOW,
-    blocks: int | None = None,
-) -> DataFrame:
+
+def with_form(sides: DataFrame, keys: Sequence[str] = TEAM_KEYS, grain: str = GRAIN) -> DataFrame:
     """Add the points of the last five matches and the rank counted from the newest match."""
-    sizes = sides.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    long = sizes.filter(F.col("_rows") > rows_per_window).select(*keys)
-    if long.isEmpty():
-        return _windowed(sides, keys)
-    short_rows = join_on(sides, long, keys, "left_anti")
-    long_rows = join_on(sides, long, keys, "left_semi")
-    return _windowed(short_rows, keys).unionByName(_in_blocks(long_rows, keys, blocks))
-
-
-def _windowed(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Both columns from one sort: the recency is the history's length less the rows before."""
-    oldest_first = Window.partitionBy(*keys).orderBy(*ORDER)
-    whole = oldest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    later = F.count("*").over(whole) - F.row_number().over(oldest_first)
-    return sides.withColumns(
+    # Structs compare nulls as equal, and the join below finds the rows dealt out as the window left them.
+    block = block_of(F.col("match_date"), grain)
+    keyed = sides.withColumns({"_team": F.struct(*keys), "_key": F.struct(*keys, block.alias("block"))})
+    local = in_blocks(keyed, ["_key"])
+    summary = local.filter("_last").select("_team", "_key", F.col(NTH).alias(LENGTH), F.col("_points").alias(TAIL))
+    placed = carried(summary, ["_team"], F.col("_key")).drop("_team")
+    return composed(local.drop("_team", "_last", "_points").join(placed, "_key"), sides.columns)
+
+
+def in_blocks(rows: DataFrame, block: Sequence[str]) -> DataFrame:
+    """Each row's place in its block and what the block alone knows; ``_last`` marks the row that holds ``_points``."""
+    oldest_first = Window.partitionBy(*block).orderBy(*ORDER)
+    return rows.withColumns(
         {
-            FORM: F.sum("points_earned").over(oldest_first.rowsBetween(1 - FRAME, 0)),
-            RECENCY: later.cast("bigint") + 1,
+            NTH: F.row_number().over(oldest_first).cast("bigint"),
+            OWN: F.sum("points_earned").over(oldest_first.rowsBetween(1 - FRAME, 0)),
+            "_points": F.collect_list("points_earned").over(oldest_first.rowsBetween(2 - FRAME, 0)),
+            "_last": F.lead(F.lit(True)).over(oldest_first).isNull(),
         }
     )
 
 
-def _in_blocks(sides: DataFrame, keys: Sequence[str], blocks: int | None) -> DataFrame:
-    blocks = blocks or int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = sides.repartitionByRange(blocks, *keys, *ORDER)
-    rows = pinned(spread.withColumn("_block", F.spark_partition_id()))
+def carried(summaries: DataFrame, team: Sequence[str], order: Column) -> DataFrame:
+    """Beside each summary the composition of all before it: its last points, and matches before and in all.
 
-    block = [*keys, "_block"]
-    oldest_first = Window.partitionBy(*block).orderBy(*ORDER)
-    newest_first = Window.partitionBy(*block).orderBy(*[F.desc(c) for c in ORDER])
-
-    # The last rows of each block, oldest first, and the block's length.
-    last = rows.select(*block, "points_earned", F.row_number().over(newest_first).alias("_back"))
-    tails = (
-        last.filter(F.col("_back") < FRAME)
-        .groupBy(*block)
-        .agg(F.sort_array(F.collect_list(F.struct("_back", "points_earned")), asc=False).alias("_tail"))
-        .select(*block, F.col("_tail.points_earned").alias("_tail"))
-    )
-    lengths = rows.groupBy(*block).agg(F.count("*").alias("_length"))
-    summary = join_on(lengths, tails, block)
-
-    # Every block has a row, so four earlier blocks always hold the four earlier rows.
-    by_block = Window.partitionBy(*keys).orderBy("_block")
+    No block is empty, so the four points before a block lie in the four blocks before it.
+    """
+    by_block = Window.partitionBy(*team).orderBy(order)
     earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
     whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = summary.select(
-        *block,
-        F.flatten(F.collect_list("_tail").over(by_block.rowsBetween(1 - FRAME, -1))).alias("_carry"),
-        F.coalesce(F.sum("_length").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_length").over(whole).alias("_total"),
-    )
-
-    local = rows.withColumns(
+    return summaries.withColumns(
         {
-            "_nth": F.row_number().over(oldest_first),
-            "_own": F.sum("points_earned").over(oldest_first.rowsBetween(1 - FRAME, 0)),
+            "_carry": F.flatten(F.collect_list(TAIL).over(by_block.rowsBetween(1 - FRAME, -1))),
+            "_before": F.coalesce(F.sum(LENGTH).over(earlier), F.lit(0)),
+            "_total": F.sum(LENGTH).over(whole),
         }
-    )
-    joined = join_on(local, carried, block)
-    missing = F.greatest(F.lit(0), F.least(F.lit(FRAME) - F.col("_nth"), F.size("_carry")))
-    from_carry = F.aggregate(
-        F.when(missing > 0, F.slice("_carry", F.size("_carry") - missing + 1, missing)).otherwise(
-            F.array().cast("array<int>")
+    ).drop(LENGTH, TAIL)
+
+
+def composed(placed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Form and recency of rows that stand beside what came before their block."""
+    missing = F.greatest(F.lit(0), F.least(F.lit(FRAME) - F.col(NTH), F.size("_carry"))).cast("int")
+    borrowed = F.when(
+        missing > 0,
+        F.aggregate(
+            F.slice("_carry", F.size("_carry") - missing + 1, missing), F.lit(0).cast("bigint"), lambda a, b: a + b
         ),
-        F.lit(0).cast("bigint"),
-        lambda total, points: total + points,
-    )
-    return joined.select(
-        *sides.columns,
-        (F.col("_own") + from_carry).alias(FORM),
-        (F.col("_total") - F.col("_before") - F.col("_nth") + 1).cast("bigint").alias(RECENCY),
-    )
+    ).otherwise(0)
+    recency = F.col("_total") - F.col("_before") - F.col(NTH) + 1
+    return placed.select(*columns, (F.col(OWN) + borrowed).alias(FORM), recency.cast("bigint").alias(RECENCY))

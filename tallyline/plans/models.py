@@ -106,11 +106,15 @@ def int_match_results(matches: DataFrame, competitions: DataFrame) -> DataFrame:
     return derived.select(*MATCH_COLUMNS)
 
 
-def int_team_form(matches: DataFrame, **sizing: int) -> DataFrame:
-    """Per team and match: result, points, rolling form and recency."""
+def team_sides(matches: DataFrame) -> DataFrame:
+    """Per team and match: result and points."""
     sides = sides_unpivot(matches, keep=("match_id", "match_date", "competition_id", "season_id"))
-    own = sides.drop("venue", "opponent_id", "opponent_name")
-    return with_form(own, **sizing)
+    return sides.drop("venue", "opponent_id", "opponent_name")
+
+
+def int_team_form(matches: DataFrame) -> DataFrame:
+    """Per team and match: result, points, rolling form and recency."""
+    return with_form(team_sides(matches))
 
 
 # -- marts -----------------------------------------------------------------------------

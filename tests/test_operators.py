@@ -2,10 +2,11 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline.operators import filters as on
-from tallyline.operators.form import with_form
+from tallyline.operators.form import block_of, with_form
 from tallyline.operators.latest import latest_by_key, upsert
 from tallyline.operators.ranking import rank_within, with_group_values
 from tallyline.operators.sides import sides_unpivot
@@ -41,28 +42,45 @@ def expected_form():
     return out
 
 
-@pytest.mark.parametrize("rows_per_window, blocks", [(10**6, None), (0, 1), (0, 3), (0, 40), (25, 7)])
-def test_form_is_the_same_for_any_split(matches, rows_per_window, blocks):
+@pytest.mark.parametrize("grain", ["week", "month", "quarter", "year"])
+def test_form_is_the_same_for_any_block(matches, grain):
     sides = sides_unpivot(matches, keep=("match_id", "match_date", "competition_id"))
-    rows = with_form(sides, rows_per_window=rows_per_window, blocks=blocks).collect()
+    rows = with_form(sides, grain=grain).collect()
     got = {(r.match_id, r.team_id): (r.form_points_last5, r.match_recency_rank) for r in rows}
     assert len(rows) == len(got) and got == expected_form()
 
 
-def test_one_long_history_is_spread_over_tasks(spark):
-    """A team with a third of all rows, many of them on one day, never fills one task."""
-    n = 9000
-    sides = spark.range(n).select(
+def long_history(spark, n):
+    """A team with a third of all rows over twenty years, many matches of a day."""
+    return spark.range(n).select(
         F.col("id").alias("match_id"),
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("long").alias("team_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("long").alias("team_id"),
         F.lit(1).cast("long").alias("competition_id"),
-        F.expr("date_add(date'2020-01-01', cast(if(id % 2 = 0, 0, id % 50) as int))").alias("match_date"),
+        F.expr("date_add(date'2020-01-01', cast(id * 37 % 7300 div 4 * 4 as int))").alias("match_date"),
         (F.col("id") % 4).cast("int").alias("points_earned"),
     )
-    plain = with_form(sides)
-    split = with_form(sides, rows_per_window=500, blocks=8)
-    assert plain.exceptAll(split.select(plain.columns)).count() == 0
-    assert plain.count() == split.count() == n
+
+
+def test_one_long_history_is_spread_over_tasks(spark):
+    n = 9000
+    sides = long_history(spark, n)
+    spark.sparkContext.setJobGroup("form-plan", "no job before the sink")
+    try:
+        formed = with_form(sides)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("form-plan")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    w = Window.partitionBy("team_id", "competition_id").orderBy("match_date", "match_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    plain = sides.withColumns(
+        {
+            "form_points_last5": F.sum("points_earned").over(w.rowsBetween(-4, 0)),
+            "match_recency_rank": F.count("*").over(whole) - F.row_number().over(w) + 1,
+        }
+    )
+    assert plain.exceptAll(formed.select(plain.columns)).count() == 0 and formed.count() == n
+    blocks = sides.groupBy("team_id", block_of(F.col("match_date"))).count()
+    assert blocks.agg(F.max("count")).first()[0] < n / 100
 
 
 def test_form_with_missing_competition(spark):
@@ -70,7 +88,7 @@ def test_form_with_missing_competition(spark):
         [(i, 1, None, None, 3) for i in range(8)],
         "match_id long, team_id long, competition_id long, match_date date, points_earned int",
     )
-    rows = with_form(sides, rows_per_window=0, blocks=3).collect()
+    rows = with_form(sides).collect()
     assert sorted((r.match_id, r.form_points_last5, r.match_recency_rank) for r in rows) == [
         (i, 3 * min(i + 1, 5), 8 - i) for i in range(8)
     ]
