@@ -168,6 +168,28 @@ class Inputs:
             _document(F.col("c_nationkey").alias("id"), F.array(entry).alias("squad"))
         )
 
+    def feeds(self) -> dict[str, DataFrame]:
+        """The documents of every feed."""
+        return {
+            "competitions": self.competition_docs(), "teams": self.team_docs(), "matches": self.match_docs(),
+            "standings": self.standing_docs(), "players": self.squad_docs(),
+        }
+
+    def unusable(self, feed: str) -> DataFrame:
+        """Documents that hold nothing a table could take, one per supplier: each level of fault in turn."""
+        n = F.col("s_suppkey").cast("string")
+        array = {"players": "squad"}.get(feed, feed)
+        entry = F.concat(F.lit('{"note":"'), n, F.lit('"}'))
+        broken = F.concat(F.lit(f"{feed} "), n, F.lit(" {"))
+        if feed == "standings":
+            table = F.concat(F.lit('{"type":"HOME","table":['), entry, F.lit("]}"))
+            tables = F.concat(F.lit('{"standings":['), table, F.lit(","), F.concat(F.lit('{"type":"'), n, F.lit('"}')), F.lit("]}"))
+            value = F.when(F.col("s_suppkey") % 2 == 0, broken).otherwise(tables)
+        else:
+            entries = F.concat(F.lit(f'{{"{array}":['), entry, F.lit("]}"))
+            value = F.when(F.col("s_suppkey") % 2 == 0, broken).otherwise(entries)
+        return self.raw.table("supplier").select(value.alias("value"))
+
     # -- texts to judge, one per event -------------------------------------------------
 
     def statements(self) -> DataFrame:

@@ -505,12 +505,35 @@ def standing_at(matchdays: str) -> str:
             WHERE matchday {matchdays} GROUP BY 1, 2, 3)"""
 
 
+FULL, EARLY = standing_at("IS NOT NULL"), standing_at("<= 26")
 oracle(
     "upsert_standings",
-    f"""SELECT * FROM ({standing_at("> 26")}) UNION ALL
-    SELECT e.* FROM ({standing_at("<= 26")}) e ANTI JOIN ({standing_at("> 26")}) l USING (competition_id, season_id, team_id)""",
+    f"""SELECT * FROM ({FULL}) UNION ALL
+    SELECT e.* FROM ({EARLY}) e ANTI JOIN ({FULL}) l USING (competition_id, season_id, team_id) UNION ALL
+    SELECT e.* REPLACE (competition_id + 100 AS competition_id) FROM ({EARLY}) e""",
     "legs",
 )
+oracle(
+    "sink_feeds",
+    """SELECT 'competitions' AS feed, COUNT(*) AS rows, CAST(SUM(competition_id) AS BIGINT) AS keys,
+      CAST(SUM(length(competition_name)) AS BIGINT) AS letters, 0::BIGINT AS goals FROM comps
+    UNION ALL SELECT 'teams', COUNT(*), SUM(id), SUM(length(name)), 0 FROM raw_teams
+    UNION ALL SELECT 'matches', COUNT(*), SUM(id), SUM(length(home_team_name)),
+      SUM(home_score_full_time) FILTER (WHERE status <> 'SCHEDULED') FROM raw_matches
+    UNION ALL SELECT 'standings', COUNT(*), SUM(n.id), SUM(length(team_name)), 0
+      FROM league JOIN raw_teams n ON n.name = team_name
+    UNION ALL SELECT 'players', COUNT(*), SUM(c_custkey), SUM(length(c_name)), 0 FROM customer""",
+    "comps", "raw_teams", "raw_matches", "league",
+)
+oracle("sink_one_season", f"{landed()} WHERE season_id = 11996", "raw_matches")
+oracle(
+    "src_rejects",
+    """WITH feeds AS (SELECT unnest(['competitions', 'teams', 'matches', 'standings', 'players']) AS feed)
+    SELECT feed, 'document' AS level, feed || ' ' || s_suppkey || ' {' AS record, 3::BIGINT AS version
+    FROM supplier, feeds WHERE s_suppkey % 2 = 0
+    UNION ALL SELECT feed, 'entry', '{"note":"' || s_suppkey || '"}', 3 FROM supplier, feeds WHERE s_suppkey % 2 = 1
+    UNION ALL SELECT 'standings', 'table', '{"type":"' || s_suppkey || '"}', 3 FROM supplier WHERE s_suppkey % 2 = 1""",
+)
 oracle(
     "upsert_players",
     """SELECT c_custkey AS id, CASE WHEN s.k IS NULL THEN c_name ELSE 'P' || c_custkey END AS name,
@@ -541,7 +564,8 @@ oracle(
 )
 oracle(
     "ingestion_log",
-    """SELECT entity_type, records_ingested, COALESCE(n, records_ingested) AS keys_ingested, 'success' AS status
+    """SELECT entity_type, records_ingested, COALESCE(n, records_ingested) AS keys_ingested, 'success' AS status,
+      (SELECT COUNT(*) + COUNT(*) FILTER (WHERE s_suppkey % 2 = 1 AND entity_type = 'standings') FROM supplier) AS records_rejected
     FROM (SELECT 'competitions' AS entity_type, COUNT(*) AS records_ingested, NULL AS n FROM comps
       UNION ALL SELECT 'teams', COUNT(*), NULL FROM raw_teams
       UNION ALL SELECT 'matches', COUNT(*), NULL FROM raw_matches

@@ -37,6 +37,7 @@ TEAM = "nation_1"
 TEAM_ID = 7
 LOW_SIMILARITY = 0.1
 QUERY_IDS = (0, 1, 2, 3, 4)
+GUESTS = 100
 
 QUERIES: dict[str, Query] = {}
 
@@ -123,6 +124,16 @@ def src_partial_failure(i: Inputs) -> DataFrame:
     return read.groupBy("level").agg(F.count("*").alias("records"))
 
 
+@query
+def src_rejects(i: Inputs) -> DataFrame:
+    """What an ingestion run keeps of the records it could not use, for every feed."""
+    root = fresh_dir(i.spark, "rejects")
+    docs = {feed: frame.select("value").unionByName(i.unusable(feed)) for feed, frame in i.feeds().items()}
+    ingest.ingest(docs, root, 3)
+    kept = [ingest.rejected(i.spark, root, feed).withColumn("feed", F.lit(feed)) for feed in docs]
+    return reduce(DataFrame.unionByName, kept).select("feed", "level", "record", "version")
+
+
 # -- sinks -----------------------------------------------------------------------------
 
 
@@ -162,14 +173,59 @@ def upsert_matches(i: Inputs) -> DataFrame:
 
 @query
 def upsert_standings(i: Inputs) -> DataFrame:
-    """The table of the first half-season, then of the second: who only played in the first keeps that row."""
+    """The table after 26 matchdays, of away sides under their own competitions too, then that of the full seasons.
+
+    The full table has no rows for a team as a guest of another competition, so those keep the early ones.
+    """
     keys = ["competition_id", "season_id", "team_id"]
     columns = [*keys, "position", "played_games", "points", "goal_difference"]
-    early = models.standings_from_matches(i.stg_matches.filter(F.col("matchday") <= 26))
-    late = models.standings_from_matches(i.stg_matches.filter(F.col("matchday") > 26))
+    first = i.stg_matches.filter(F.col("matchday") <= 26)
+    guests = first.withColumn("competition_id", F.col("competition_id") + GUESTS)
+    early = models.standings_from_matches(first.unionByName(guests))
+    late = models.standings_from_matches(i.stg_matches)
     return upsert(early.select(*columns), late.select(*columns, "ingested_at"), keys, ["ingested_at"])
 
 
+@query
+def sink_feeds(i: Inputs) -> DataFrame:
+    """All five feeds through their keyed tables: two batches, a fold, a third batch; rows and sums of what is stored."""
+    root = fresh_dir(i.spark, "feeds")
+    feeds = {feed: frame.select("value") for feed, frame in i.feeds().items()}
+    early = {feed: frame.filter(F.length("value") % 2 == 0) for feed, frame in feeds.items()}
+    early["matches"] = i.match_docs(scored=False).select("value")
+    ingest.ingest(early, root, 1)
+    ingest.ingest(feeds, root, 4)
+    stored = ingest.tables(i.spark, root)
+    for table in stored.values():
+        table.compact()
+    ingest.ingest({feed: frame.filter(F.length("value") % 3 == 0) for feed, frame in feeds.items()}, root, 5)
+    counts = []
+    for feed, table in stored.items():
+        key = F.col(table.spec.keys[-1])
+        name = "team_name" if feed == "standings" else "home_team_name" if feed == "matches" else "name"
+        played = F.sum("home_score_full_time") if feed == "matches" else F.lit(0).cast("bigint")
+        counts.append(
+            table.current().agg(
+                F.lit(feed).alias("feed"), F.count("*").alias("rows"), F.sum(key).alias("keys"),
+                F.sum(F.length(name)).alias("letters"), played.alias("goals"),
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def sink_one_season(i: Inputs) -> DataFrame:
+    """One season of the stored matches: fixtures folded into the base, then the results from a stream of its own."""
+    root = fresh_dir(i.spark, "season")
+    table = stream.matches_table(i.spark, f"{root}/matches")
+    for scored in (False, True):
+        _land(i.match_docs(scored), f"{root}/landing-{scored}")
+        docs = stream.landing_stream(i.spark, f"{root}/landing-{scored}")
+        stream.ingest_matches(docs, table, f"{root}/checkpoint-{scored}").awaitTermination()
+        table.compact()
+    return table.current(1 * 10000 + SEASON).drop(*VOLATILE)
+
+
 @query
 def upsert_players(i: Inputs) -> DataFrame:
     target = i.raw.table("customer").select(
@@ -209,13 +265,10 @@ def upsert_chunks(i: Inputs) -> DataFrame:
 
 @query
 def ingestion_log(i: Inputs) -> DataFrame:
-    """All five feeds through their keyed tables, one log line each."""
-    docs = {
-        "competitions": i.competition_docs(), "teams": i.team_docs(), "matches": i.match_docs(),
-        "standings": i.standing_docs(), "players": i.squad_docs(),
-    }
+    """All five feeds through their keyed tables, with records that no table can take; one log line each."""
+    docs = {feed: frame.select("value").unionByName(i.unusable(feed)) for feed, frame in i.feeds().items()}
     log = ingest.ingest(docs, fresh_dir(i.spark, "ingest"), 1)
-    return log.entries().select("entity_type", "records_ingested", "keys_ingested", "status")
+    return log.entries().select("entity_type", "records_ingested", "keys_ingested", "records_rejected", "status")
 
 
 # -- models ----------------------------------------------------------------------------

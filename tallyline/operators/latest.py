@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.operators.ranking import join_on
@@ -62,9 +63,28 @@ def upsert(
     order: Sequence[str],
     update_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``target`` after ``batch``; of several batch rows with one key the last by ``order`` wins."""
-    columns = target.columns
-    rows = batch.select(*columns, F.struct(*order).alias("_arrival"))
-    replaced = None if update_cols is None else [*update_cols, "_arrival"]
-    newest = latest_by_key(rows, keys, [F.col("_arrival")], replaced).drop("_arrival")
-    return merged(target, newest, keys, update_cols)
+    """``target`` after ``batch``; of several batch rows with one key the last by ``order`` wins.
+
+    The batch is derived and reduced once: each task keeps one row of a key (window group limit)
+    before the shuffle, and the full outer join reuses that shuffle.
+    """
+    columns, keys = target.columns, list(keys)
+    if update_cols is None:
+        last_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+        nth = F.row_number().over(last_first)
+        newest = batch.withColumn("_nth", nth).filter(F.col("_nth") == 1).select(*columns)
+        replaced = set(columns)
+    else:
+        rows = batch.select(*columns, F.struct(*order).alias("_arrival"))
+        newest = latest_by_key(rows, keys, [F.col("_arrival")], [*update_cols, "_arrival"]).drop("_arrival")
+        replaced = set(update_cols)
+    old = target.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_old_{k}") for k in keys])
+    new = newest.select(F.struct(*columns).alias("_new"), *[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+
+    def pick(name: str) -> Column:
+        from_new = has_new if name in replaced or name in keys else ~has_old
+        return F.when(from_new, F.col("_new")[name]).otherwise(F.col("_old")[name]).alias(name)
+
+    return old.join(new, same, "full").select(*[pick(c) for c in columns])

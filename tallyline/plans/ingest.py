@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline import schemas as S
-from tallyline.sinks.keyed_table import KeyedTable
-from tallyline.sinks.run_log import RunLog
+from tallyline.sinks.keyed_table import BATCH, KeyedTable
+from tallyline.sinks.run_log import Counts, RunLog
 from tallyline.sources import documents
 from tallyline.sources.landing import Window, scan_window
 
@@ -17,17 +17,16 @@ from tallyline.sources.landing import Window, scan_window
 @dataclass(frozen=True)
 class Feed:
     spec: S.TableSpec
-    flatten: Callable[[DataFrame], DataFrame]
     order: tuple[str, ...]  # which row of a key counts as the last one
 
 
 # In the order of a run.
 FEEDS = {
-    "competitions": Feed(S.COMPETITIONS, documents.competitions, ("id", "raw_payload")),
-    "teams": Feed(S.TEAMS, documents.teams, ("competition_id", "raw_payload")),
-    "matches": Feed(S.MATCHES, documents.matches, ("utc_date", "raw_payload")),
-    "standings": Feed(S.STANDINGS, documents.standings, ("table_no", "row_no", "raw_payload")),
-    "players": Feed(S.PLAYERS, documents.players, ("team_id", "raw_payload")),
+    "competitions": Feed(S.COMPETITIONS, ("id", "raw_payload")),
+    "teams": Feed(S.TEAMS, ("competition_id", "raw_payload")),
+    "matches": Feed(S.MATCHES, ("utc_date", "raw_payload")),
+    "standings": Feed(S.STANDINGS, ("table_no", "row_no", "raw_payload")),
+    "players": Feed(S.PLAYERS, ("team_id", "raw_payload")),
 }
 
 
@@ -41,19 +40,42 @@ def tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
 
 
 def ingest(docs: dict[str, DataFrame], root: str, batch_id: int, window: Window | None = None) -> RunLog:
-    """Upsert the given feeds as one batch. ``window`` limits which matches are taken."""
+    """Upsert the given feeds as one batch. ``window`` limits which matches are taken.
+
+    Every feed is read once: unusable records are counted on the way to the table, and only if there
+    are any, they are read again and kept below ``rejected/<feed>``.
+    """
     spark = next(iter(docs.values())).sparkSession
-    log = RunLog(spark, f"{root.rstrip('/')}/ingestion_log")
+    root = root.rstrip("/")
+    log = RunLog(spark, f"{root}/ingestion_log")
     stored = tables(spark, root)
     for entity, feed in FEEDS.items():
         if entity not in docs:
             continue
 
-        def step(entity: str = entity, feed: Feed = feed) -> tuple[int, int]:
-            rows = feed.flatten(docs[entity])
+        def step(entity: str = entity, feed: Feed = feed) -> Counts:
+            read = documents.classified_feed(entity, docs[entity])
+            counted, rejects = documents.counting_rejects(read)
+            rows = documents.rows_of_feed(entity, counted)
             if entity == "matches" and window is not None:
                 rows = scan_window(rows, window)
-            return stored[entity].upsert(rows, batch_id, feed.order)
+            n_rows, n_keys = stored[entity].upsert(rows, batch_id, feed.order)
+            n_rejected = rejects.get["rejected"]
+            if n_rejected:
+                path = f"{root}/rejected/{entity}/{BATCH}={int(batch_id)}"
+                documents.rejected_records(read).write.mode("overwrite").parquet(path)
+            return Counts(n_rows, n_keys, n_rejected)
 
         log.run(f"ingest_{entity}", entity, step)
     return log
+
+
+def rejected(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """The records of a feed that no batch could use: level, record, version."""
+    schema = "level string, record string, version long"
+    try:
+        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/rejected/{entity}")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise

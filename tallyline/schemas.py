@@ -18,8 +18,9 @@ TEAMS_ENVELOPE = "struct<competition: struct<id: bigint>, teams: array<string>>"
 MATCHES_ENVELOPE = "struct<matches: array<string>>"
 STANDINGS_ENVELOPE = (
     "struct<competition: struct<id: bigint>, season: struct<id: bigint>,"
-    " standings: array<struct<stage: string, type: string, `table`: array<string>>>>"
+    " standings: array<string>>"
 )
+STANDING_TABLE = "struct<stage: string, type: string, `table`: array<string>>"
 SQUAD_ENVELOPE = "struct<id: bigint, squad: array<string>>"
 
 COMPETITION_ENTRY = (
@@ -92,7 +93,7 @@ RAW_PLAYERS = _struct(
 )
 RUN_LOG = _struct(
     "job string, task string, entity_type string, records_ingested bigint, keys_ingested bigint,"
-    " status string, error_message string, started_at timestamp_ntz, finished_at timestamp_ntz"
+    " records_rejected bigint, status string, error_message string, started_at timestamp_ntz, finished_at timestamp_ntz"
 )
 MATCH_REPORTS = _struct(
     "id bigint, match_id bigint, competition_code string, home_team string, away_team string,"
@@ -112,6 +113,7 @@ class TableSpec:
     schema: T.StructType
     keys: tuple[str, ...]
     update_cols: tuple[str, ...] | None = None  # None: every column outside the key
+    partition: str | None = None  # the column by which the stored base is split
 
     @property
     def replaced(self) -> tuple[str, ...]:
@@ -122,8 +124,8 @@ class TableSpec:
 
 COMPETITIONS = TableSpec("competitions", RAW_COMPETITIONS, ("id",))
 TEAMS = TableSpec("teams", RAW_TEAMS, ("id",))
-MATCHES = TableSpec("matches", RAW_MATCHES, ("id",))
-STANDINGS = TableSpec("standings", RAW_STANDINGS, ("competition_id", "season_id", "team_id"))
+MATCHES = TableSpec("matches", RAW_MATCHES, ("id",), partition="season_id")
+STANDINGS = TableSpec("standings", RAW_STANDINGS, ("competition_id", "season_id", "team_id"), partition="season_id")
 PLAYERS = TableSpec("players", RAW_PLAYERS, ("id",))
 REPORTS = TableSpec("match_reports", MATCH_REPORTS, ("match_id",), ("narrative", "generated_at"))
 CHUNKS = TableSpec("report_embeddings", REPORT_CHUNKS, ("report_id", "chunk_index"))

@@ -6,13 +6,14 @@ Every function takes a DataFrame with a string column ``value`` (one document pe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions.once import evaluated_once
 
-OK, BAD_DOCUMENT, BAD_ENTRY, NO_ENTRY = "ok", "document", "entry", "empty"
+OK, BAD_DOCUMENT, BAD_TABLE, BAD_ENTRY, NO_ENTRY = "ok", "document", "table", "entry", "empty"
+REJECTED = (BAD_DOCUMENT, BAD_TABLE, BAD_ENTRY)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +32,8 @@ def classified(
 ) -> DataFrame:
     """Every entry of every document in one pass, with a ``level`` that says if it is usable.
 
-    A bad document or entry costs only itself; the rest of the feed goes on.
+    A bad document or entry costs only itself; the rest of the feed goes on. ``record`` is the text
+    at the level of the fault.
     """
     opened = _parsed(docs, "value", envelope, "doc")
     entries = opened.select("value", "doc", *parents, F.explode_outer(array).alias("raw_payload"))
@@ -42,100 +44,140 @@ def classified(
         .when(F.col(key).isNull(), BAD_ENTRY)
         .otherwise(OK)
     )
-    return read.withColumn("level", level).drop("doc")
+    return read.withColumns({"level": level, "record": F.coalesce("raw_payload", "value")}).drop("doc")
 
 
-def quarantine(docs: DataFrame, envelope: str, array: str, entry: str) -> DataFrame:
-    """Documents that are not JSON of the envelope, and entries without a readable id."""
-    bad = classified(docs, envelope, array, entry).filter(F.col("level").isin(BAD_DOCUMENT, BAD_ENTRY))
-    return bad.select("level", F.coalesce("raw_payload", "value").alias("record"))
+def classified_standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:
+    """Lines of the tables of every document in one pass; ``table_no`` and ``row_no`` keep the document's order.
 
+    Three levels can be at fault: a document that is no JSON or whose tables are no list, a table
+    without a list of lines, a line without a team. Each becomes one row with its own text.
+    """
+    opened = _parsed(docs, "value", S.STANDINGS_ENVELOPE, "doc")
+    tables = opened.select(
+        "value", F.col("doc._corrupt").isNotNull().alias("_broken"),
+        F.col("doc.competition.id").alias("competition_id"), F.col("doc.season.id").alias("season_id"),
+        F.posexplode_outer("doc.standings").alias("table_no", "_table"),
+    )
+    read = _parsed(tables, "_table", S.STANDING_TABLE, "t")
+    if only_type is not None:
+        read = read.filter((F.col("t.type") == only_type) | F.col("t.type").isNull())
+    lines = read.select(
+        "value", "_broken", "competition_id", "season_id", "table_no", "_table",
+        F.col("t.stage").alias("stage"), F.col("t.type").alias("type"),
+        F.col("t.table").isNull().alias("_no_lines"),
+        F.posexplode_outer("t.table").alias("row_no", "raw_payload"),
+    )
+    entries = _parsed(lines, "raw_payload", S.STANDING_ENTRY, "e")
+    level = (
+        F.when(F.col("_table").isNull() & F.col("_broken"), BAD_DOCUMENT)
+        .when(F.col("_table").isNull(), NO_ENTRY)
+        .when(F.col("_no_lines"), BAD_TABLE)
+        .when(F.col("raw_payload").isNull(), NO_ENTRY)
+        .when(F.col("e.team.id").isNull(), BAD_ENTRY)
+        .otherwise(OK)
+    )
+    record = F.coalesce("raw_payload", "_table", "value")
+    return entries.withColumns({"level": level, "record": record}).drop("_table", "_broken", "_no_lines")
+
+
+#: What each feed consists of: envelope, its list, an entry, and what entries take from the document.
+_FEEDS = {
+    "competitions": (S.COMPETITIONS_ENVELOPE, "doc.competitions", S.COMPETITION_ENTRY, ()),
+    "teams": (S.TEAMS_ENVELOPE, "doc.teams", S.TEAM_ENTRY, (("doc.competition.id", "competition_id"),)),
+    "matches": (S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY, ()),
+    "players": (S.SQUAD_ENVELOPE, "doc.squad", S.PLAYER_ENTRY, (("doc.id", "team_id"),)),
+}
+
+
+def classified_feed(feed: str, docs: DataFrame, *carry: str) -> DataFrame:
+    """All records of a feed with ``level`` and ``record``, usable or not."""
+    if feed == "standings":
+        return classified_standings(docs)
+    envelope, array, entry, parents = _FEEDS[feed]
+    above = [F.col(place).alias(name) for place, name in parents]
+    return classified(docs, envelope, array, entry, *above, *[F.col(c) for c in carry])
+
+
+def counting_rejects(read: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows; whichever job reads them leaves the count of the unusable ones in the observation."""
+    seen = Observation()
+    return read.observe(seen, F.count_if(F.col("level").isin(*REJECTED)).alias("rejected")), seen
 
-def _usable(docs: DataFrame, envelope: str, array: str, entry: str, *parents: Column) -> DataFrame:
-    return classified(docs, envelope, array, entry, *parents).filter(F.col("level") == OK)
 
+def rejected_records(read: DataFrame) -> DataFrame:
+    """The records at fault and at which level."""
+    return read.filter(F.col("level").isin(*REJECTED)).select("level", "record")
 
-def _stamped(frame: DataFrame, *columns: Column) -> DataFrame:
+
+def rows_of_feed(feed: str, read: DataFrame, *carry: str) -> DataFrame:
+    """Typed rows of the usable records."""
+    usable = read.filter(F.col("level") == OK)
     now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp())
-    return frame.select(*columns, "raw_payload", now.alias("ingested_at"))
+    columns = [F.col(path).alias(name) for name, path in _COLUMNS[feed].items()]
+    if feed == "matches":
+        columns = [c for name, c in zip(_COLUMNS[feed], columns, strict=True) if name != "utc_date"]
+        columns.insert(3, utc_timestamp(F.col("e.utcDate")).alias("utc_date"))
+    if feed == "players":
+        columns.insert(4, F.try_to_date("e.dateOfBirth", "yyyy-M-d").alias("date_of_birth"))
+    return usable.select(*[F.col(c) for c in carry], *columns, "raw_payload", now.alias("ingested_at"))
+
+
+_COLUMNS = {
+    "competitions": {
+        "id": "e.id", "name": "e.name", "code": "e.code", "type": "e.type", "area_name": "e.area.name", "plan": "e.plan",
+    },
+    "teams": {
+        "id": "e.id", "name": "e.name", "short_name": "e.shortName", "tla": "e.tla",
+        "competition_id": "competition_id", "area_name": "e.area.name",
+    },
+    "matches": {
+        "id": "e.id", "competition_id": "e.competition.id", "season_id": "e.season.id",
+        "status": "e.status", "matchday": "e.matchday",
+        "home_team_id": "e.homeTeam.id", "home_team_name": "e.homeTeam.name",
+        "away_team_id": "e.awayTeam.id", "away_team_name": "e.awayTeam.name",
+        "home_score_full_time": "e.score.fullTime.home", "away_score_full_time": "e.score.fullTime.away",
+        "home_score_half_time": "e.score.halfTime.home", "away_score_half_time": "e.score.halfTime.away",
+        "winner": "e.score.winner",
+    },
+    "standings": {
+        "competition_id": "competition_id", "season_id": "season_id", "stage": "stage", "type": "type",
+        "team_id": "e.team.id", "team_name": "e.team.name", "position": "e.position", "played_games": "e.playedGames",
+        "won": "e.won", "draw": "e.draw", "lost": "e.lost", "points": "e.points", "goals_for": "e.goalsFor",
+        "goals_against": "e.goalsAgainst", "goal_difference": "e.goalDifference",
+        "table_no": "table_no", "row_no": "row_no",
+    },
+    "players": {
+        "id": "e.id", "name": "e.name", "first_name": "e.firstName", "last_name": "e.lastName",
+        "nationality": "e.nationality", "position": "e.position", "shirt_number": "e.shirtNumber", "team_id": "team_id",
+    },
+}
 
 
 def competitions(docs: DataFrame) -> DataFrame:
-    rows = _usable(docs, S.COMPETITIONS_ENVELOPE, "doc.competitions", S.COMPETITION_ENTRY)
-    return _stamped(
-        rows,
-        F.col("e.id"), F.col("e.name"), F.col("e.code"), F.col("e.type"),
-        F.col("e.area.name").alias("area_name"), F.col("e.plan"),
-    )
+    return rows_of_feed("competitions", classified_feed("competitions", docs))
 
 
 def teams(docs: DataFrame) -> DataFrame:
-    parent = F.col("doc.competition.id").alias("competition_id")
-    rows = _usable(docs, S.TEAMS_ENVELOPE, "doc.teams", S.TEAM_ENTRY, parent)
-    return _stamped(
-        rows,
-        F.col("e.id"), F.col("e.name"), F.col("e.shortName").alias("short_name"), F.col("e.tla"),
-        F.col("competition_id"), F.col("e.area.name").alias("area_name"),
-    )
+    return rows_of_feed("teams", classified_feed("teams", docs))
 
 
 def matches(docs: DataFrame, *carry: str) -> DataFrame:
-    rows = _usable(docs, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY, *[F.col(c) for c in carry])
-    return _stamped(
-        rows,
-        *[F.col(c) for c in carry],
-        F.col("e.id"),
-        F.col("e.competition.id").alias("competition_id"),
-        F.col("e.season.id").alias("season_id"),
-        utc_timestamp(F.col("e.utcDate")).alias("utc_date"),
-        F.col("e.status"), F.col("e.matchday"),
-        F.col("e.homeTeam.id").alias("home_team_id"), F.col("e.homeTeam.name").alias("home_team_name"),
-        F.col("e.awayTeam.id").alias("away_team_id"), F.col("e.awayTeam.name").alias("away_team_name"),
-        F.col("e.score.fullTime.home").alias("home_score_full_time"),
-        F.col("e.score.fullTime.away").alias("away_score_full_time"),
-        F.col("e.score.halfTime.home").alias("home_score_half_time"),
-        F.col("e.score.halfTime.away").alias("away_score_half_time"),
-        F.col("e.score.winner"),
-    )
+    return rows_of_feed("matches", classified_feed("matches", docs, *carry), *carry)
 
 
 def standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:
-    """Both levels flattened; ``table_no`` and ``row_no`` keep the document's order."""
-    opened = _parsed(docs, "value", S.STANDINGS_ENVELOPE, "doc")
-    tables = opened.select(
-        F.col("doc.competition.id").alias("competition_id"),
-        F.col("doc.season.id").alias("season_id"),
-        F.posexplode("doc.standings").alias("table_no", "t"),
-    )
-    if only_type is not None:
-        tables = tables.filter(F.col("t.type") == only_type)
-    lines = tables.select(
-        "competition_id", "season_id", "table_no",
-        F.col("t.stage").alias("stage"), F.col("t.type").alias("type"),
-        F.posexplode("t.table").alias("row_no", "raw_payload"),
-    )
-    rows = _parsed(lines, "raw_payload", S.STANDING_ENTRY, "e").filter(F.col("e.team.id").isNotNull())
-    return _stamped(
-        rows,
-        F.col("competition_id"), F.col("season_id"), F.col("stage"), F.col("type"),
-        F.col("e.team.id").alias("team_id"), F.col("e.team.name").alias("team_name"),
-        F.col("e.position"), F.col("e.playedGames").alias("played_games"),
-        F.col("e.won"), F.col("e.draw"), F.col("e.lost"), F.col("e.points"),
-        F.col("e.goalsFor").alias("goals_for"), F.col("e.goalsAgainst").alias("goals_against"),
-        F.col("e.goalDifference").alias("goal_difference"), F.col("table_no"), F.col("row_no"),
-    )
+    """Lines of all tables, or of those of one type."""
+    return rows_of_feed("standings", classified_standings(docs, only_type))
 
 
 def players(docs: DataFrame) -> DataFrame:
-    rows = _usable(docs, S.SQUAD_ENVELOPE, "doc.squad", S.PLAYER_ENTRY, F.col("doc.id").alias("team_id"))
-    return _stamped(
-        rows,
-        F.col("e.id"), F.col("e.name"), F.col("e.firstName").alias("first_name"),
-        F.col("e.lastName").alias("last_name"),
-        F.try_to_date("e.dateOfBirth", "yyyy-M-d").alias("date_of_birth"),
-        F.col("e.nationality"), F.col("e.position"), F.col("e.shirtNumber").alias("shirt_number"),
-        F.col("team_id"),
-    )
+    return rows_of_feed("players", classified_feed("players", docs))
+
+
+def rejected(feed: str, docs: DataFrame) -> DataFrame:
+    """(level, record) of what a feed holds and cannot be used: documents, tables, entries."""
+    return rejected_records(classified_feed(feed, docs))
 
 
 def utc_timestamp(text: Column) -> Column:

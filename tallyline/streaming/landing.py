@@ -7,6 +7,9 @@ differs goes to the keyed table, where the later version replaces the earlier on
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,22 +32,38 @@ def landing_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES_PE
                         F.col("_metadata.file_name").alias("landed_file"))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint; a new checkpoint is a new stream."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"]
+
+
 def ingest_matches(
-    docs: DataFrame, table: KeyedTable, checkpoint: str, quarantine: str | None = None
+    docs: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    quarantine: str | None = None,
+    after: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Start the upsert of a stream of match documents; the caller awaits the query.
 
-    ``foreachBatch`` may replay a batch after a failure; its id names the folders it writes,
+    ``foreachBatch`` may replay a batch after a failure; its version names the folders it writes,
     so a replay leaves the table as it was. Records that cannot be read go to the
-    ``quarantine`` folder, if one is given.
+    ``quarantine`` folder, if one is given; they are counted while the rows are written, and a batch
+    without any is not read again. ``after`` is called with each written batch and its version.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = documents.matches(batch, "landed_at", "landed_file")
-        table.upsert(rows, batch_id, ("landed_at", "landed_file", "utc_date", "raw_payload"))
-        if quarantine is not None:
-            bad = documents.quarantine(batch, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY)
-            bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}")
+        version = table.stream_version(stream_id(batch.sparkSession, checkpoint), batch_id)
+        read = documents.classified_feed("matches", batch, "landed_at", "landed_file")
+        counted, rejected = documents.counting_rejects(read)
+        rows = documents.rows_of_feed("matches", counted, "landed_at", "landed_file")
+        table.upsert(rows, version, ("landed_at", "landed_file", "utc_date", "raw_payload"))
+        if quarantine is not None and rejected.get["rejected"]:
+            bad = documents.rejected_records(read)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={version}")
+        if after is not None:
+            after(rows, version)
 
     return (
         docs.writeStream.foreachBatch(write)

@@ -3,11 +3,12 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline import schemas as S
 from tallyline.plans import ingest
 from tallyline.sinks.keyed_table import KeyedTable
-from tallyline.sinks.run_log import RunLog
+from tallyline.sinks.run_log import Counts, RunLog
 from tallyline.sources import documents
 from tallyline.sources.landing import Window, loader_season, scan_window
 from tallyline.sources.tables import jdbc_options, read_table
@@ -50,7 +51,7 @@ def test_time_zone_of_the_session_does_not_matter(spark):
 def test_bad_records_are_kept_apart(spark):
     docs = lines(spark, {"matches": [match(1), {"id": "x"}, {"status": "FINISHED"}]}, '{"matches": [', "not json")
     assert [r.id for r in documents.matches(docs).collect()] == [1]
-    bad = documents.quarantine(docs, S.MATCHES_ENVELOPE, "doc.matches", S.MATCH_ENTRY).collect()
+    bad = documents.rejected("matches", docs).collect()
     assert sorted((r.level, r.record) for r in bad) == [
         ("document", "not json"), ("document", '{"matches": ['),
         ("entry", '{"id":"x"}'), ("entry", '{"status":"FINISHED"}'),
@@ -90,6 +91,32 @@ def test_standings_keep_the_order_of_both_levels(spark):
     assert documents.standings(lines(spark, doc), "TOTAL").count() == 2
 
 
+def test_standings_faults_at_every_level(spark):
+    good = {"team": {"id": 4, "name": "T"}, "position": 2}
+    docs = lines(
+        spark, "no json", {"standings": "none"}, {"season": {"id": 5}}, {"standings": []},
+        {"standings": [{"type": "A"}, {"type": "B", "table": []}, {"type": "C", "table": [good, {"position": 1}, "x", good]}]},
+        {"standings": [{"type": "D", "table": 7}, {"type": "E", "table": [good]}]},
+    )
+    read = documents.classified_standings(docs)
+    assert sorted((r.level, r.record) for r in documents.rejected_records(read).collect()) == [
+        ("document", "no json"), ("document", '{"standings": "none"}'), ("entry", "x"), ("entry", '{"position":1}'),
+        ("table", '{"type":"A"}'), ("table", '{"type":"D","table":7}'),
+    ]
+    assert sorted(r.type for r in documents.standings(docs).collect()) == ["C", "C", "E"]
+    assert documents.standings(docs, "C").count() == 2
+
+
+def test_run_keeps_rejected_records(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    docs = {"teams": lines(spark, "broken", {"competition": {"id": 1}, "teams": [{"id": 1, "name": "A"}, {"name": "B"}]})}
+    (entry,) = ingest.ingest(docs, root, 7).entries().collect()
+    assert (entry.records_ingested, entry.records_rejected) == (1, 2)
+    kept = sorted((r.level, r.record, r.version) for r in ingest.rejected(spark, root, "teams").collect())
+    assert kept == [("document", "broken", 7), ("entry", '{"name":"B"}', 7)]
+    assert ingest.rejected(spark, root, "matches").count() == 0
+
+
 def test_players_tolerate_bad_birthdays(spark):
     squad = [
         {"id": 1, "name": "P", "dateOfBirth": "1999-02-03", "shirtNumber": 7},
@@ -158,10 +185,15 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     before = sorted(map(tuple, table.current().collect()))
     table.upsert(second, 2, ["generated_at"])
     assert sorted(map(tuple, table.current().collect())) == before
-    folded = table.compacted(str(tmp_path / "folded"))
-    assert sorted(map(tuple, folded.current().collect())) == before
-    folded.upsert(report_rows(spark, (9, 5, "n")), 3, ["generated_at"])
-    assert folded.current().count() == 3
+    table.compact()
+    assert sorted(map(tuple, table.current().collect())) == before
+    table.upsert(report_rows(spark, (9, 5, "n")), 3, ["generated_at"])
+    assert table.current().count() == 3
+    table.compact()
+    table.compact()
+    assert table.current().count() == 3
+    with pytest.raises(ValueError):
+        table.upsert(second, -1, ["generated_at"])
 
 
 def test_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
@@ -171,6 +203,7 @@ def test_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
         "cast(null as timestamp_ntz) as created_at",
     )
     table.upsert(many, 0, ["chunk_text"])
+    table.compact()
     table.upsert(many.limit(5), 1, ["chunk_text"])
     current = table.current()
     assert current.count() == 50_000
@@ -182,6 +215,7 @@ def test_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
 def test_update_columns_over_a_base(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), S.REPORTS)
     table.upsert(report_rows(spark, (1, 1, "a"), (2, 1, "b")), 0, ["generated_at"])
+    table.compact()
     table.upsert(report_rows(spark, (2, 2, "c"), (3, 2, "e")), 7, ["generated_at"])
     table.upsert(report_rows(spark, (3, 4, "f")), 12, ["generated_at"])
     rows = {r.match_id: (r.narrative, r.competition_code, r.generated_at.day) for r in table.current().collect()}
@@ -202,17 +236,63 @@ def test_stale_chunks_stay_unless_pruned(spark, tmp_path):
     assert sorted((r.report_id, r.chunk_text) for r in pruned.collect()) == [(1, "c"), (2, "x")]
 
 
+def season_rows(spark, *rows):
+    """(id, season, status) as stored matches."""
+    null = [None] * (len(S.RAW_MATCHES.names) - 3)
+    named = [(i, season, status, *null) for i, season, status in rows]
+    rest = [n for n in S.RAW_MATCHES.names if n not in ("id", "season_id", "status")]
+    schema = [S.RAW_MATCHES["id"], S.RAW_MATCHES["season_id"], S.RAW_MATCHES["status"], *(S.RAW_MATCHES[n] for n in rest)]
+    return spark.createDataFrame(named, T.StructType(schema))
+
+
+def test_base_is_split_by_season_and_only_touched_seasons_are_written(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "m"), S.MATCHES)
+
+    def seen(frame):
+        return sorted((r.id, r.season_id, r.status) for r in frame.collect())
+
+    table.upsert(season_rows(spark, (1, 10, "a"), (2, 10, "a"), (3, 11, "a"), (4, 12, "a"), (5, None, "a")), 1, ["id"])
+    table.compact()
+    # 2 changes, 3 moves to another season, 6 is new; season 12 and the rows without a season stay.
+    table.upsert(season_rows(spark, (2, 10, "b"), (3, 13, "b"), (6, 13, "b")), 2, ["id"])
+    want = [(1, 10, "a"), (2, 10, "b"), (3, 13, "b"), (4, 12, "a"), (6, 13, "b")]
+    for _ in range(2):
+        assert seen(table.current().filter("season_id IS NOT NULL")) == want
+        assert table.current().count() == 6
+        for season in (10, 11, 12, 13):
+            assert seen(table.current(season)) == [r for r in want if r[1] == season]
+        table.compact()
+    folds = {p.parent.name: sorted(f.name for f in p.parent.iterdir() if f.is_dir()) for p in (tmp_path / "m" / "base").glob("*/fold=*")}
+    assert folds["season_id=12"] == ["fold=1"] and folds["season_id=13"] == ["fold=2"]
+    assert folds["season_id=10"] == ["fold=1", "fold=2"]
+    files = table.current(12).inputFiles()
+    assert files and all("season_id=12" in f for f in files)
+
+
+def test_stream_on_a_new_checkpoint_leaves_the_base(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    table = stream.matches_table(spark, str(tmp_path / "table"))
+    for number, docs in enumerate(([match(1), match(2, (0, 0))], [match(2, (4, 0)), match(3)])):
+        land(spark, f"{landing}{number}", {"matches": docs})
+        feed = stream.landing_stream(spark, f"{landing}{number}")
+        stream.ingest_matches(feed, table, str(tmp_path / f"checkpoint{number}")).awaitTermination()
+        table.compact()
+    got = {r.id: r.home_score_full_time for r in table.current().collect()}
+    assert got == {1: 2, 2: 4, 3: 2}
+    assert table.stream_version("x", 0) == table.stream_version("x", 0) == 2
+
+
 def test_run_log_keeps_failures(spark, tmp_path):
     log = RunLog(spark, str(tmp_path / "log"))
-    log.run("ingest_teams", "teams", lambda: (5, 4))
+    log.run("ingest_teams", "teams", lambda: Counts(5, 4, 1))
 
     def broken():
         raise ValueError("no feed")
 
     with pytest.raises(ValueError):
         log.run("ingest_matches", "matches", broken)
-    rows = {r.entity_type: (r.records_ingested, r.keys_ingested, r.status, r.error_message) for r in log.entries().collect()}
-    assert rows == {"teams": (5, 4, "success", None), "matches": (0, 0, "failure", "no feed")}
+    rows = {r.entity_type: (r.records_ingested, r.keys_ingested, r.records_rejected, r.status, r.error_message) for r in log.entries().collect()}
+    assert rows == {"teams": (5, 4, 1, "success", None), "matches": (0, 0, 0, "failure", "no feed")}
 
 
 def test_ingestion_run(spark, tmp_path):
@@ -282,7 +362,7 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == {1: ("FINISHED", 3, 1), 2: ("FINISHED", 0, 1), 3: ("FINISHED", 2, 1)}
     assert table.history().count() == 5
     bad = spark.read.parquet(str(tmp_path / "bad")).collect()
-    assert [(r.level, r.record, r.batch_id) for r in bad] == [("document", "broken", 1)]
+    assert [(r.level, r.record, r.version) for r in bad] == [("document", "broken", 1)]
     every = documents.matches(documents.read_landing(spark, landing))
     assert every.select("id").distinct().count() == 3 and every.count() == 5
 
