@@ -594,6 +594,11 @@ oracle("mart_match_results", "SELECT * FROM mart", "mart")
 oracle("mart_league_table", "SELECT * FROM league", "league")
 oracle("mart_bottler_index", "SELECT * FROM bottlers", "bottlers")
 oracle("team_form_all", "SELECT * FROM form", "form")
+oracle("stream_form", "SELECT * FROM form", "form")
+oracle(
+    "stream_late_corrections",
+    "SELECT id, status, CAST('1' || matchday AS INTEGER) AS matchday FROM raw_matches WHERE id % 5 = 0", "raw_matches",
+)
 
 oracle(
     "build_models",

@@ -26,6 +26,7 @@ from tallyline.sinks.layers import publish
 from tallyline.sources import documents
 from tallyline.sources.landing import Window, scan_window
 from tallyline.streaming import landing as stream
+from tallyline.streaming.form import FormTable
 from tallyline.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -489,6 +490,51 @@ def stream_dedup_late(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(f"{root}/out").select("id", "status")
 
 
+@query
+def stream_late_corrections(i: Inputs) -> DataFrame:
+    """Fixtures, results a month later, then both again as of a day behind the horizon, some of them corrected."""
+    root = fresh_dir(i.spark, "late")
+    again = i.match_docs().withColumn(
+        "value", F.when(F.col("id") % 5 == 0, F.replace("value", F.lit('"matchday":'), F.lit('"matchday":1'))).otherwise(F.col("value"))
+    )
+    days = ((i.match_docs(False), "2001-01-01"), (i.match_docs(), "2001-02-01"), (i.match_docs(False).unionByName(again), "2001-01-11"))
+    late = []
+    for docs, day in days:
+        _land(docs.withColumn("value", F.concat(F.lit(day), F.lit(" "), "value")), f"{root}/landing")
+        feed = stream.landing_stream(i.spark, f"{root}/landing").select(
+            F.expr("substring(value, 12)").alias("value"), F.expr("cast(left(value, 10) as timestamp)").alias("landed_at")
+        )
+        rows = documents.matches(feed, "landed_at")
+        unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
+        stream.run_to_table(unique.select("id", "payload_hash", "landed_at"), f"{root}/out", f"{root}/checkpoint")
+        stream.keep_late(
+            rows, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late"
+        ).awaitTermination()
+    return i.spark.read.parquet(f"{root}/late").select("id", "status", "matchday")
+
+
+@query
+def stream_form(i: Inputs) -> DataFrame:
+    """Form after three batches: even matches, some with swapped scores or a wrong day, then odd ones, then the corrections."""
+    root = fresh_dir(i.spark, "form")
+    table, form = stream.matches_table(i.spark, f"{root}/matches"), FormTable(i.spark, f"{root}/form")
+    docs, k = i.match_docs(), F.col("id")
+    swapped = F.replace(F.replace(F.replace("value", F.lit('"home":'), F.lit('"x":')), F.lit('"away":'), F.lit('"home":')), F.lit('"x":'), F.lit('"away":'))
+    moved = F.regexp_replace("value", r'"utcDate":"(\d{4})-\d\d', r'"utcDate":"$1-03')
+    wrong = F.when(k % 7 == 0, swapped).when(k % 11 == 0, moved).otherwise(F.col("value"))
+    batches = (
+        docs.filter(k % 2 == 0).withColumn("value", wrong), docs.filter(k % 2 == 1),
+        docs.filter((k % 7 == 0) | (k % 11 == 0)),
+    )
+    for batch in batches:
+        _land(batch, f"{root}/landing")
+        feed = stream.landing_stream(i.spark, f"{root}/landing")
+        stream.ingest_matches(
+            feed, table, f"{root}/checkpoint", after=lambda rows, version: form.update(rows, table.current(), version)
+        ).awaitTermination()
+    return form.current()
+
+
 # -- per-row functions -----------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +64,7 @@ def ingest_matches(
             bad = documents.rejected_records(read)
             bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={version}")
         if after is not None:
-            after(rows, version)
+            after(documents.rows_of_feed("matches", read), version)
 
     return (
         docs.writeStream.foreachBatch(write)
@@ -76,12 +77,59 @@ def ingest_matches(
 def drop_repeats(rows: DataFrame, event_time: str, key: str, payload: str) -> DataFrame:
     """Without identical repeats that arrive within the horizon; corrections pass.
 
-    State holds one hash per version for fifteen days, not the payloads themselves.
+    State holds one hash per version for fifteen days, not the payloads themselves. Rows that
+    arrive further behind are not in this stream; ``keep_late`` finds what they bring.
     """
     hashed = rows.withColumn("payload_hash", F.sha2(F.col(payload), 256))
     return hashed.withWatermark(event_time, HORIZON).dropDuplicatesWithinWatermark([key, "payload_hash"])
 
 
+def keep_late(
+    rows: DataFrame, event_time: str, key: str, payload: str, seen: str, late: str, checkpoint: str
+) -> StreamingQuery:
+    """Start the second sink of ``drop_repeats``: versions that came too late for its state.
+
+    ``seen`` is the table that ``drop_repeats`` fills, with the columns ``key`` and ``payload_hash``.
+    Rows further back than the horizon are compared by (key, hash) with it and with ``late``, so repeats
+    go and corrections are kept, each once. Run it after the stream that fills ``seen``: what that
+    one took is found there, so it does not matter where exactly its watermark stood.
+    """
+    schema = T.StructType([rows.schema[key], T.StructField("payload_hash", T.StringType())])
+    moment = rows.schema[event_time].dataType
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = spark.read.schema(T.StructType([*schema.fields, rows.schema[event_time]])).parquet(seen)
+        newest = stored.agg(F.max(event_time)).first()[0]
+        if newest is None:
+            return
+        bound = F.lit(newest).cast(moment) - F.expr(f"INTERVAL {HORIZON}")
+        behind = batch.withColumn("payload_hash", F.sha2(F.col(payload), 256)).filter(F.col(event_time) < bound)
+        known = stored.select(*schema.names)
+        for earlier in _batches(spark, late, schema, batch_id):
+            known = known.unionByName(earlier)
+        fresh = behind.dropDuplicates([key, "payload_hash"]).join(known, [key, "payload_hash"], "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _batches(spark: SparkSession, path: str, schema: T.StructType, before: int) -> list[DataFrame]:
+    """What earlier batches wrote: one frame, or none."""
+    with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    try:
+        return [spark.read.schema(with_batch).parquet(path).filter(F.col(BATCH) < before).drop(BATCH)]
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Write everything that is available to Parquet and stop."""
     query = (
