@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +20,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from tallyline.llm.arrowtext import slices
+
 END_ID = 1
 BLOCK_IDS = 1 << 16
 REMEMBERED = 600_000
 JOINED = 1000
 #: Text of these characters is left alone by composition, lower-cases letter by letter, and is
-#: parted by white space; then each word has its ids whatever stands beside it.
-_plain = re.compile("[\t\n\r\x20-\x7e\xa1-Ġı-ɏ]*").fullmatch
+#: parted by white space; then each piece has its ids whatever stands beside it.
+PLAIN = "^[\t\n\r\x20-\x7e\xa1-Ġı-ɏ]*$"
+TEXT_BYTES = 4 << 20
+LETTERS = r"[\p{L}]+"
 
 RECORD = (
     "part long, block long, first_id long, n_ids long, plane_bits int, plane_sizes array<int>, planes binary, "
@@ -48,34 +51,48 @@ def _tokenizer(content: str) -> Tokenizer:
     return Tokenizer.from_str(content)
 
 
-def _spelled_pieces(content: str) -> tuple[regex.Pattern, str] | None:
-    """Pattern of the pieces and mark of their last ids, of a tokenizer that encodes matches one by one."""
+def _piece_rule(content: str) -> tuple[str, str] | None:
+    """For a tokenizer that encodes matches of a pattern one by one: the pieces that are not runs of
+    letters, as a pattern, and the mark of a piece's last id.
+
+    Runs of letters must be pieces whole, so what comes before them in the pattern begins with a quote.
+    """
     spec = json.loads(content)
     split = next(iter((spec.get("pre_tokenizer") or {}).get("pretokenizers", [])), {})
     mark = spec["model"].get("end_of_word_suffix")
     if not mark or (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True):
         return None
-    return regex.compile(split["pattern"]["Regex"]), mark
+    ways = split["pattern"]["Regex"].split("|")
+    if LETTERS not in ways or not all(w.startswith("'") for w in ways[: ways.index(LETTERS)]):
+        return None
+    return "(" + "|".join(w for w in ways if w != LETTERS) + ")", mark
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes; remembers the ids of words between texts.
+    """Ids of texts as little-endian 32-bit numbers; remembers the ids of pieces between texts.
 
-    A word is a run of other than white space. Of words not remembered, the pieces that were not
-    met either are encoded many in one text, and the ids parted behind those that end a piece.
+    Arrow lowers a batch, puts blanks around its pieces and numbers the different ones; only those are
+    looked up, and the ids of all are gathered by number. Pieces not met before are encoded many in
+    one text, and the ids parted behind those that end a piece. Texts beyond PLAIN, and all texts of
+    tokenizers that split otherwise, go to the tokenizer as they are.
     """
 
     def __init__(self, content: str):
         self.tokenizer = _tokenizer(content)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        found = _spelled_pieces(content)
-        self.pattern = found and found[0].findall
-        if found:
+        self._forget()
+        rule = _piece_rule(content)
+        self.pieces = rule and rule[0]
+        if rule:
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.ends[[i for token, i in vocabulary.items() if token.endswith(found[1])]] = True
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(rule[1])]] = True
+
+    def _forget(self) -> None:
+        """``known`` numbers the pieces met; piece k has the ids ``ids[starts[k] : starts[k + 1]]``."""
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, "<u4")
+        self.starts = np.zeros(1, np.int64)
 
     def _listed(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,29 +107,45 @@ class Encoder:
             else:
                 yield from (data[a:b] for a, b in pairwise([0, *stops.tolist()]))
 
-    def _of_words(self, words: list[str]) -> list[bytes]:
-        if not self.pattern:
-            return self._listed(words)
-        # Plain words have no composition to lose, so they may be lower-cased before they are split.
-        split = [self.pattern(w.lower()) for w in words]
-        new = list(set().union(*split).difference(self.pieces))
-        if len(self.pieces) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            new = list(set().union(*split))
-        self.pieces.update(zip(new, self._of_pieces(new), strict=True))
-        pieces = self.pieces
-        return [pieces[s[0]] if len(s) == 1 else b"".join([pieces[x] for x in s]) for s in split]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.split() if _plain(t) and not any(s in t for s in self.special) else None for t in texts]
-        every = set().union(*(w for w in words if w))
-        new = list(every.difference(self.known))
+    def _numbered(self, pieces: list[str]) -> np.ndarray:
+        """The number of each of different pieces, after those not met yet are encoded."""
+        new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(every)
-        self.known.update(zip(new, self._of_words(new), strict=True))
-        known = self.known
-        return [self._listed([t])[0] if w is None else b"".join([known[x] for x in w]) for t, w in zip(texts, words, strict=True)]
+            self._forget()
+            new = pieces
+        if new:
+            coded = list(self._of_pieces(new))
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _gathered(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of plain texts."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), self.pieces, r" \1 ")
+        split = pc.ascii_split_whitespace(spaced)
+        numbered = split.flatten().dictionary_encode()
+        number = self._numbered(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
+        sizes = np.diff(self.starts)[number]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        step = np.int32 if max(len(self.ids), stops[-1]) < 2**31 else np.int64
+        places = np.repeat((self.starts[number] - stops[:-1]).astype(step), sizes)
+        places += np.arange(stops[-1], dtype=step)
+        flat = self.ids[places]
+        bounds = stops[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        return (flat[a:b] for a, b in pairwise(bounds.tolist()))
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        if self.pieces is None:
+            return [np.frombuffer(ids, "<u4") for ids in self._listed(texts.to_pylist())]
+        plain = pc.match_substring_regex(texts, PLAIN)
+        for special in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, special))
+        rows = self._gathered(texts.filter(plain))
+        others = iter(self._listed(texts.filter(pc.invert(plain)).to_pylist()))
+        return [next(rows) if p else np.frombuffer(next(others), "<u4") for p in plain.to_pylist()]
 
 
 def transposed(ids: np.ndarray, plane_bits: int) -> list[bytes]:
@@ -150,11 +183,11 @@ def _packed(content, end_id: int, block_ids: int, plane_bits: int, level: int):
 
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                coded = encode([t or "" for t in some.column("text").to_pylist()])
+            for at, _, offsets in slices(batch.column("text"), TEXT_BYTES):
+                some = batch.slice(at, len(offsets) - 1)
+                coded = encode(some.column("text"))
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), coded, strict=True):
-                    ids = np.concatenate([np.frombuffer(ids, "<u4"), end])
+                    ids = np.concatenate([ids, end])
                     listed.append((doc_id, first + held, len(ids)))
                     open_.append(ids)
                     held += len(ids)

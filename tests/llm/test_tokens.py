@@ -1,3 +1,6 @@
+import pyarrow as pa
+from pathlib import Path
+import re
 import base64
 import hashlib
 import zlib
@@ -98,3 +101,18 @@ def test_files_of_nothing_and_of_repeats(spark, tmp_path):
 def test_planes_round_trip(bits):
     ids = np.random.default_rng(1).integers(0, 2**32, 1003, dtype=np.uint32)
     assert (P.restored(P.transposed(ids, bits), bits, len(ids)) == ids).all()
+
+
+def test_pieces_are_those_of_the_library():
+    """Every plain character beside letters, quotes, digits and itself, and the contractions."""
+    content = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    whole = Tokenizer.from_str(content)
+    encode = P.Encoder(content)
+    assert encode.pieces
+    plain = [chr(c) for c in range(0x250) if re.search(P.PLAIN, chr(c))]
+    texts = [f"a{c}b {c}{c} 7{c}'s{c} x'{c} Don't{c}THEY'RE {c}" for c in plain]
+    texts += [f"{a}{b}" for a in ("'", ".'", "s'", "9", "é", "Ž") for b in ("s", "t", "re", "ve", "m", "ll", "d", "S", "really", "1", "!")]
+    texts += ["", None, " \n ", "İstanbul ĳ ŉ", "a b", "é", "\x00x", "<|endoftext|> a", "東京 tower", "ab" * 5000]
+    got = encode(pa.array(texts))
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
