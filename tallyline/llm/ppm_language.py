@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -76,6 +77,18 @@ class Model:
         return total
 
 
+@dataclass(frozen=True)
+class Trees:
+    """The frozen counts (lang, length, gram, n), small enough to send; every worker lays them out once."""
+
+    grams: pd.DataFrame
+    order: int
+
+    @cached_property
+    def model(self) -> Model:
+        return built(self.grams, self.order)
+
+
 def _least(sample: int):
     """The ``sample`` smallest different draws of each language in one task."""
 
@@ -139,15 +152,15 @@ def _grams(order: int):
     return count
 
 
-def trained(training: DataFrame, order: int = 3, sample: int = 1500, max_contexts: int = 60_000) -> Model:
-    """Count the sample's grams with Spark and lay out the frozen model."""
+def trained(training: DataFrame, order: int = 3, sample: int = 1500, max_contexts: int = 60_000) -> Trees:
+    """Count the sample's grams with Spark."""
     counted = sampled(training, sample).mapInArrow(_grams(order), "lang string, length long, gram long, n long")
     counts = counted.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n"))
     # A gram takes part if its context is one of the most frequent over all languages.
     context = counts.groupBy("length", (F.col("gram") / 256).cast("long").alias("context")).agg(F.sum("n").alias("seen"))
     kept = context.orderBy(F.desc("seen"), "length", "context").limit(max_contexts).drop("seen")
     grams = counts.withColumn("context", F.shiftright("gram", 8)).join(kept, ["length", "context"], "left_semi")
-    return built(grams.select("lang", "length", "gram", "n").toPandas(), order)
+    return Trees(grams.select("lang", "length", "gram", "n").toPandas(), order)
 
 
 def built(grams: pd.DataFrame, order: int) -> Model:
@@ -212,7 +225,7 @@ def _rows_by_code(contexts: list, row: dict, column_of: np.ndarray, columns: int
     return row_of
 
 
-def detected(docs: DataFrame, model: Model) -> DataFrame:
+def detected(docs: DataFrame, trees: Trees) -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``bits_per_byte`` to ``docs`` by their column ``text``.
 
     The score is the share of the winner when every language's code length is taken as a
@@ -220,13 +233,13 @@ def detected(docs: DataFrame, model: Model) -> DataFrame:
     letter is ``und`` with score 0, and so is everything if no language was learned. Columns of
     those three names are replaced; rows, repeated ones too, are kept as they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
     docs = docs.drop("lang_pred", "score", "bits_per_byte")
     found = [T.StructField("lang_pred", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("score", "bits_per_byte"))]
     schema = T.StructType([*docs.schema.fields, *found])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.value.model
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
             text = batch.column("text")
@@ -248,6 +261,17 @@ def detected(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(score, schema)
 
 
+def rate_limits(found: DataFrame, share: float = 0.99, margin: float = 2.0) -> DataFrame:
+    """(lang_pred, limit): bits a byte beyond which a text is in no learned language.
+
+    For each language, ``margin`` times what all but the rest of ``share`` of its own texts that were not
+    learned from need. ``found`` is the output of ``detected`` with lang and doc_id.
+    """
+    own = found.filter(held_out() & (F.col("lang") == F.col("lang_pred")))
+    rate = F.percentile_approx("bits_per_byte", share, 10_000) * margin
+    return own.groupBy("lang_pred").agg(rate.alias("limit"))
+
+
 def held_out() -> F.Column:
     """The fifth of the documents that is never learned from, by a checksum of the id."""
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -259,7 +283,7 @@ def language_of(docs: DataFrame, **settings: int) -> DataFrame:
     ``docs`` has doc_id, text and lang. A null doc_id is learned from never and counts as held out.
     """
     kept_out = F.coalesce(held_out(), F.lit(True))
-    model = trained(docs.filter(~kept_out).select("text", "lang"), **settings)
-    return detected(docs.select("doc_id", "text"), model).select(
+    trees = trained(docs.filter(~kept_out).select("text", "lang"), **settings)
+    return detected(docs.select("doc_id", "text"), trees).select(
         "doc_id", kept_out.alias("held_out"), "lang_pred", "score", "bits_per_byte"
     )
