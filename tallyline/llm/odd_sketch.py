@@ -80,6 +80,9 @@ def most_bits(similarity: float) -> int:
     return int(expected + 6 * sqrt(expected * (1 - expected / SKETCH_BITS)))
 
 
+#: Bytes of text that are signed at once: the 64-bit arrays of a task stay at some twenty megabytes.
+SIGNED_BYTES = 1 << 18
+
 SIGNATURE = (
     "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, "
     + ", ".join(f"{w} long" for w in SKETCH)
@@ -90,7 +93,7 @@ def _signed(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for row, data, offsets in slices(batch.column("text")):
+            for row, data, offsets in slices(batch.column("text"), SIGNED_BYTES):
                 rows = len(offsets) - 1
                 sets = list(shingle_sets(data, offsets, width))
                 sizes = np.array([len(found) for found in sets], np.int64)

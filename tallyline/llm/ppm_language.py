@@ -19,7 +19,7 @@ Spark aggregation; only the counts, bounded by those two, come to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -36,6 +36,7 @@ from tallyline.llm.arrowtext import slices
 
 UNDETERMINED = "und"
 SALTS = 64
+SCORED_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -164,7 +165,7 @@ def trained(training: DataFrame, order: int = 3, sample: int = 1500, max_context
 
 
 def built(grams: pd.DataFrame, order: int) -> Model:
-    """The cost table out of the counts (lang, length, gram, n), by contexts from short to long."""
+    """The cost table out of the counts (lang, length, gram, n), some contexts at a time."""
     languages = tuple(sorted(grams["lang"].unique()))
     gram = grams["gram"].to_numpy(np.int64)
     byte, context, length = gram & 255, gram >> 8, grams["length"].to_numpy(np.int64) - 1
@@ -175,53 +176,79 @@ def built(grams: pd.DataFrame, order: int) -> Model:
     alike = np.ones(columns)
     alike[-1] = 256 - len(used)
     who = np.searchsorted(languages, grams["lang"].to_numpy(str)) if len(grams) else byte
-    n = grams["n"].to_numpy(float)
-
-    contexts = sorted(set(zip(length.tolist(), context.tolist(), strict=True)) | {(0, 0)})
-    row = {c: i for i, c in enumerate(contexts)}
-    rows = np.array([row[c] for c in zip(length.tolist(), context.tolist(), strict=True)], dtype=np.int64)
-    counts = np.zeros((len(contexts), columns, len(languages)), dtype=np.float32)
-    if len(grams):
-        counts[rows, column_of[byte], who] = n
-    cost = np.zeros_like(counts)
-    for (size, code), i in row.items():
-        chain = [i]
-        for shorter in range(size - 1, -1, -1):
-            tail = (shorter, code & ((1 << (8 * shorter)) - 1))
-            if tail in row:
-                chain.append(row[tail])
-        cost[i] = _bits(counts[chain], alike)
-    row_of = _rows_by_code(contexts, row, column_of, columns, order)
+
+    contexts = np.unique(np.append(_named(length, context), 0))
+    row = np.searchsorted(contexts, _named(length, context))
+    by_row = np.argsort(row, kind="stable")
+    cell = (column_of[byte].astype(np.int64) * len(languages) + who)[by_row]
+    n, starts = grams["n"].to_numpy(float)[by_row], np.searchsorted(row[by_row], np.arange(len(contexts) + 1))
+
+    def counts(rows: np.ndarray) -> np.ndarray:
+        """Counts of some rows by byte and language; row -1 has none."""
+        known = np.maximum(rows, 0)
+        sizes = np.where(rows >= 0, starts[known + 1] - starts[known], 0)
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes - starts[known], sizes)
+        out = np.zeros((len(rows), columns * len(languages)))
+        out[owner, cell[place]] = n[place]
+        return out.reshape(len(rows), columns, len(languages))
+
+    cost = np.zeros((len(contexts), columns, len(languages)), dtype=np.float32)
+    size, code = contexts >> CODE_BITS, contexts & ((1 << CODE_BITS) - 1)
+    for at in range(0, len(contexts), TOGETHER):
+        some = slice(at, at + TOGETHER)
+        longest = int(size[some].max())
+        # A context that no language knows has no counts, which leaves the code as it is.
+        chain = (np.where(size[some] >= k, _found(contexts, k, code[some]), -1) for k in range(longest, -1, -1))
+        cost[some] = _bits((counts(rows) for rows in chain), cost[some].shape, alike)
+    row_of = _rows_by_code(size, code, column_of, columns, order)
     return Model(languages, order, column_of, row_of, cost.reshape(len(contexts) * columns, len(languages)))
 
 
-def _bits(chain: np.ndarray, alike: np.ndarray) -> np.ndarray:
-    """Bits of each byte (column) and language, given its counts from the longest context down."""
-    bits = np.zeros(chain.shape[1:])
-    open_ = np.ones(chain.shape[1:], dtype=bool)
-    escape = np.zeros(chain.shape[2])
-    for seen in chain.astype(float):
+CODE_BITS = 48
+TOGETHER = 256
+
+
+def _named(size: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """One number for a context: short ones come first."""
+    return (size << CODE_BITS) | code
+
+
+def _found(contexts: np.ndarray, size: int, code: np.ndarray) -> np.ndarray:
+    """The rows of the last ``size`` bytes of contexts; -1 where they are no context."""
+    wanted = _named(np.full_like(code, size), code & ((1 << (8 * size)) - 1))
+    at = np.minimum(np.searchsorted(contexts, wanted), len(contexts) - 1)
+    return np.where(contexts[at] == wanted, at, -1)
+
+
+def _bits(chain: Iterable[np.ndarray], shape: tuple[int, ...], alike: np.ndarray) -> np.ndarray:
+    """Bits of each byte and language in some contexts, given their counts from the longest suffix down."""
+    bits, open_ = np.zeros(shape), np.ones(shape, dtype=bool)
+    escape = np.zeros((shape[0], 1, shape[2]))
+    for seen in chain:
         counted = np.where(open_, seen, 0)
-        total, kinds = counted.sum(axis=0), (counted > 0).sum(axis=0)
+        hit = counted > 0
+        total, kinds = counted.sum(axis=1, keepdims=True), hit.sum(axis=1, keepdims=True)
         # A context with all that is left is never left again.
-        left = (open_ & (counted == 0)).any(axis=0)
+        left = (open_ & ~hit).any(axis=1, keepdims=True)
         whole = np.where(total > 0, total + np.where(left, kinds, 0), 1)
-        hit = counted > 0
         bits = np.where(hit, escape - np.log2(np.where(hit, counted, 1) / whole), bits)
         escape = escape + np.where((total > 0) & left, -np.log2(np.maximum(kinds, 1) / whole), 0)
         open_ &= ~hit
-    remaining = (alike[:, None] * open_).sum(axis=0)
+    remaining = (alike[:, None] * open_).sum(axis=1, keepdims=True)
     return np.where(open_, escape + np.log2(np.maximum(remaining, 1)), bits)
 
 
-def _rows_by_code(contexts: list, row: dict, column_of: np.ndarray, columns: int, order: int) -> np.ndarray:
+def _rows_by_code(size: np.ndarray, code: np.ndarray, column_of: np.ndarray, columns: int, order: int) -> np.ndarray:
     """The row of the longest known suffix for every code of ``order`` columns, newest last."""
     row_of = np.zeros(columns**order, dtype=np.int32)
-    for size, code in contexts:  # short ones first; longer ones overwrite their part
-        short = 0
-        for k in range(size - 1, -1, -1):
-            short = short * columns + int(column_of[(code >> (8 * k)) & 255])
-        row_of[short :: columns**size] = row[(size, code)]
+    for k in range(order + 1):  # short ones first; longer ones overwrite their part
+        rows = np.flatnonzero(size == k)
+        short = np.zeros(len(rows), np.int64)
+        for back in range(k - 1, -1, -1):
+            short = short * columns + column_of[(code[rows] >> (8 * back)) & 255]
+        part = row_of.reshape(-1, columns**k)
+        part[:, short] = rows
     return row_of
 
 
@@ -247,7 +274,7 @@ def detected(docs: DataFrame, trees: Trees) -> DataFrame:
             n = len(text)
             best, share, rate = np.full(n, len(names) - 1), np.zeros(n), np.zeros(n)
             if model.languages:
-                for row, data, offsets in slices(text):
+                for row, data, offsets in slices(text, SCORED_BYTES):
                     bits = model.code_lengths(data, offsets)
                     short = bits.min(axis=1)
                     to = slice(row, row + len(bits))
