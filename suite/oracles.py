@@ -595,6 +595,16 @@ oracle("mart_league_table", "SELECT * FROM league", "league")
 oracle("mart_bottler_index", "SELECT * FROM bottlers", "bottlers")
 oracle("team_form_all", "SELECT * FROM form", "form")
 oracle("stream_form", "SELECT * FROM form", "form")
+oracle(
+    "guarded_refusals",
+    """SELECT 'comma join of marts' AS attempt, '' AS refusal, COUNT(*) AS rows FROM mart m
+      JOIN bottlers b ON b.team_id = m.home_team_id AND b.season_id = m.season_id
+    UNION ALL SELECT 'named query', '', COUNT(*) FROM mart WHERE home_goals = (SELECT MAX(home_goals) FROM mart)
+    UNION ALL SELECT 'reflection', 'Query may not call methods by name', 0
+    UNION ALL SELECT unnest(['comma join', 'file', 'comma file', 'function', 'other relation']),
+      'Query may only read the known marts', 0""",
+    "mart", "bottlers",
+)
 oracle(
     "stream_late_corrections",
     "SELECT id, status, CAST('1' || matchday AS INTEGER) AS matchday FROM raw_matches WHERE id % 5 = 0", "raw_matches",

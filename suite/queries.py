@@ -666,6 +666,32 @@ def guarded_sql(i: Inputs) -> DataFrame:
     return answer.rows
 
 
+MART = "marts.mart_match_results"
+ATTEMPTS = {
+    "comma join of marts": f"select m.match_id from {MART} m, marts.mart_bottler_index b"
+    " where b.team_id = m.home_team_id and b.season_id = m.season_id",
+    "named query": f"with t as (select * from {MART}) select t.match_id from t where t.home_goals in (select max(home_goals) from {MART})",
+    "comma join": f"select m.match_id from {MART} m, raw.matches r",
+    "file": f"select match_id from {MART} where match_id in (select id from parquet.`/data`)",
+    "comma file": f"select match_id from {MART}, parquet.`/data`",
+    "reflection": f"select match_id from {MART} where java_method('java.lang.System', 'getProperty', 'user.home') = result",
+    "function": f"select match_id from {MART}, range(3)",
+    "other relation": f"select match_id from {MART} union all select id from staging_secret",
+}
+
+
+@query
+def guarded_refusals(i: Inputs) -> DataFrame:
+    """Statements that read beyond the marts are refused; rows of those that do not."""
+    publish(i.spark, {"mart_match_results": i.matches, "mart_bottler_index": i.bottlers}, fresh_dir(i.spark, "guarded"))
+    found = []
+    for name, text in ATTEMPTS.items():
+        answer = tools.guarded_sql(i.spark, text)
+        rows = answer.rows if answer.ok else i.spark.range(0)
+        found.append(rows.agg(F.lit(name).alias("attempt"), F.lit(answer.error).alias("refusal"), F.count("*").alias("rows")))
+    return reduce(DataFrame.unionByName, found)
+
+
 register("league_anomaly_features", lambda i: anomalies.league_features(i.league_table))
 register("league_anomaly_flags", lambda i: anomalies.league_flags(anomalies.league_features(i.league_table)))
 register("anomaly_prompt", lambda i: anomalies.prompts(anomalies.league_features(i.league_table)))
