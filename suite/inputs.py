@@ -7,7 +7,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.vector_search import Query
 from tallyline.plans import models, reports
 from tallyline.sources.contest import ContestTables
 
@@ -79,17 +78,10 @@ class Inputs:
     def vectors(self) -> DataFrame:
         return self.raw.vectors()
 
-    @cached_property
-    def embedded_chunks(self) -> DataFrame:
-        """Stored vectors with the text of the chunk they stand for."""
-        embedded = self.vectors.select(F.col("report_id").alias("id"))
-        texts = reports.chunk_reports(self.stored.join(embedded, "id", "left_semi"))
-        return self.vectors.join(texts, ["report_id", "chunk_index"], "left")
-
-    def query_vectors(self, *ids: int) -> list[Query]:
+    def query_vectors(self, *ids: int) -> DataFrame:
         """The caller's query vectors: as many rows as ids."""
-        rows = self.vectors.filter(F.col("report_id").isin(*ids)).select("report_id", "embedding")
-        return sorted((r["report_id"], r["embedding"]) for r in rows.collect())
+        asked = self.vectors.filter(F.col("report_id").isin(*ids))
+        return asked.select(F.col("report_id").alias("query_id"), "embedding")
 
     # -- feeds, one small document per source row ------------------------------------
 

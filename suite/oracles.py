@@ -288,7 +288,7 @@ part(
       round(list_inner_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[])
         / (sqrt(list_inner_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[]))
          * sqrt(list_inner_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]))), 6) AS similarity
-    FROM embeddings e, embeddings q WHERE q.vec_id IN (0, 1, 2, 3, 4)""",
+    FROM embeddings e, embeddings q WHERE q.vec_id BETWEEN 0 AND 99""",
 )
 
 

@@ -37,7 +37,7 @@ LEAGUE = "R1"
 TEAM = "nation_1"
 TEAM_ID = 7
 LOW_SIMILARITY = 0.1
-QUERY_IDS = (0, 1, 2, 3, 4)
+QUERY_IDS = tuple(range(100))
 GUESTS = 100
 
 QUERIES: dict[str, Query] = {}
@@ -347,8 +347,10 @@ register("join_anti_notexists", lambda i: reports.embedding_backlog(i.stored, i.
 
 @query
 def join_vector_topk(i: Inputs) -> DataFrame:
-    found = top_chunks(i.vectors, i.reports, i.query_vectors(*QUERY_IDS), 5, LOW_SIMILARITY)
-    return found.select("query_id", "report_id", "chunk_index", "match_id", "similarity")
+    known = reports.known_chunks(i.vectors, i.stored)
+    found = top_chunks(known, i.query_vectors(*QUERY_IDS), 5, LOW_SIMILARITY)
+    matches = i.stored.select(F.col("id").alias("report_id"), "match_id")
+    return found.join(matches, "report_id").select("query_id", "report_id", "chunk_index", "match_id", "similarity")
 
 
 # -- aggregations ----------------------------------------------------------------------
@@ -637,13 +639,13 @@ register("season_highlights", lambda i: tools.season_highlights(i.matches))
 
 def _search(i: Inputs) -> DataFrame:
     return reports.report_search(
-        i.embedded_chunks, i.reports, i.query_vectors(*QUERY_IDS), 5, LOW_SIMILARITY
+        i.vectors, i.reports, i.query_vectors(*QUERY_IDS), 5, LOW_SIMILARITY
     )
 
 
 @query
 def report_search(i: Inputs) -> DataFrame:
-    return reports.report_search(i.embedded_chunks, i.reports, i.query_vectors(*QUERY_IDS))
+    return reports.report_search(i.vectors, i.reports, i.query_vectors(*QUERY_IDS))
 
 
 register("report_search_low", _search)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import CHUNK_SIZE, CONTEXT_HEADING, context_entry, match_prompt, text_chunks
 from tallyline.operators import filters as on
-from tallyline.operators.vector_search import LIMIT, MIN_SIMILARITY, Query, top_chunks
+from tallyline.operators.vector_search import LIMIT, MIN_SIMILARITY, top_chunks
 
 TOKENS_PER_REPORT = 500
 USD_PER_MILLION_TOKENS = 0.80 + 4.00
@@ -69,23 +69,33 @@ def prompts(matches: DataFrame, preface: str = "") -> DataFrame:
     return matches.select("match_id", match_prompt(preface).alias("prompt"))
 
 
+def known_chunks(chunks: DataFrame, reports: DataFrame) -> DataFrame:
+    """Chunks whose report exists. Only ids are read, and the facts joined to the reports are not."""
+    ids = reports.select(F.col("id").alias("report_id")).distinct()
+    return chunks.join(ids, "report_id", "left_semi")
+
+
 def report_search(
     chunks: DataFrame,
     reports: DataFrame,
-    queries: Sequence[Query],
+    queries: DataFrame,
     limit: int = LIMIT,
     min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
-    """Best chunks for each query vector with the facts of their match.
+    """Best chunks of existing reports for each query vector, with the facts of their match.
 
-    The search reads only keys and vectors; the texts of the few chunks found are joined last.
+    The search reads only keys and vectors; facts and texts are joined to the hits. The text is
+    ``chunk_text`` if the chunks carry it, else it is cut out of the narrative of the hit again,
+    NULL where the report has no such chunk.
     """
-    facts = reports.select(
-        "id", "home_team", "away_team", "match_date", "competition_code", "matchday"
-    )
-    found = top_chunks(chunks, facts, queries, limit, min_similarity)
-    texts = chunks.select("report_id", "chunk_index", "chunk_text")
-    return found.join(texts, ["report_id", "chunk_index"], "left").select(
+    found = top_chunks(known_chunks(chunks, reports), queries, limit, min_similarity)
+    facts = reports.withColumnRenamed("id", "report_id")
+    found = found.join(facts, "report_id")
+    if "chunk_text" in chunks.columns:
+        found = found.join(chunks.select("report_id", "chunk_index", "chunk_text"), ["report_id", "chunk_index"], "left")
+    else:
+        found = found.withColumn("chunk_text", F.get(text_chunks(F.col("narrative")), F.col("chunk_index")))
+    return found.select(
         "query_id", "report_id", "chunk_index", "chunk_text", "home_team", "away_team",
         "match_date", "competition_code", "matchday", "similarity",
     )

@@ -6,12 +6,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline.operators import filters as on
+from tallyline.operators import vector_search
 from tallyline.operators.form import block_of, with_form
 from tallyline.operators.latest import latest_by_key, upsert
 from tallyline.operators.ranking import rank_within, with_group_values
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top_per_group
-from tallyline.operators.vector_search import MAX_QUERIES, similar_chunks, top_chunks
+from tallyline.operators.vector_search import similar_chunks, top_chunks
+from tallyline.plans.reports import known_chunks, report_search
 from tests.data import MATCH_DICTS, legs
 
 
@@ -172,38 +174,70 @@ def test_filters(matches):
     assert {r.season_id for r in on.latest_season(matches).collect()} == newest
 
 
-def test_vector_search_against_brute_force(spark):
-    rng = random.Random(2)
-    vectors = [(i, 0, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(200)]
-    chunks = spark.createDataFrame(vectors, "report_id long, chunk_index int, embedding array<double>")
-    reports = spark.createDataFrame([(i,) for i in range(0, 200, 2)], "id long")
-    queries = [(q, vectors[q][2]) for q in (0, 1, 5)]
+CHUNK = "report_id long, chunk_index int, embedding array<double>"
+ASKED = "query_id long, embedding array<double>"
+
 
-    def cosine(a, b):
-        dot = sum(x * y for x, y in zip(a, b))
-        return round(dot / (sum(x * x for x in a) ** 0.5 * sum(y * y for y in b) ** 0.5), 6)
+def cosine(a, b):
+    dot = sum(x * y for x, y in zip(a, b, strict=True))
+    return round(dot / (sum(x * x for x in a) ** 0.5 * sum(y * y for y in b) ** 0.5), 6)
 
-    want = set()
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("held", [200_000, 50])
+def test_vector_search_against_brute_force(spark, monkeypatch, threshold, held):
+    """More queries than a pack holds, many equal vectors, with and without broadcasting."""
+    monkeypatch.setattr(vector_search, "PACK_BYTES", 8 * 8 * 16)
+    monkeypatch.setattr(vector_search, "HELD_HITS", held)
+    rng = random.Random(2)
+    vectors = [(i, 0, [rng.choice((-1.0, 0.5, 1.0)) for _ in range(8)]) for i in range(300)]
+    chunks = spark.createDataFrame(vectors, CHUNK).repartition(3)
+    reports = spark.createDataFrame([(i,) for i in range(0, 300, 2)], "id long")
+    queries = [(q, [rng.choice((-1.0, 0.5, 1.0)) for _ in range(8)]) for q in range(150)]
+    asked = spark.createDataFrame(queries, ASKED)
+
+    every, best = set(), set()
     for q, v in queries:
-        scored = [(-cosine(e, v), i) for i, _, e in vectors if i % 2 == 0 and cosine(e, v) >= 0.3]
-        want |= {(q, i, -s) for s, i in sorted(scored)[:4]}
-    rows = top_chunks(chunks, reports, queries, 4, 0.3).collect()
-    assert {(r.query_id, r.report_id, r.similarity) for r in rows} == want
-    assert "Cartesian" not in similar_chunks(chunks, queries)._jdf.queryExecution().executedPlan().toString()
+        scored = sorted((-cosine(e, v), i) for i, _, e in vectors if i % 2 == 0 and cosine(e, v) >= 0.3)
+        every |= {(q, i, -s) for s, i in scored}
+        best |= {(q, i, -s) for s, i in scored[:4]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        known = known_chunks(chunks, reports)
+        rows = top_chunks(known, asked, 4, 0.3).collect()
+        assert len(rows) == len(best)
+        assert {(r.query_id, r.report_id, r.similarity) for r in rows} == best
+        rows = similar_chunks(known, asked, 0.3).collect()
+        assert {(r.query_id, r.report_id, r.similarity) for r in rows} == every
+        plan = top_chunks(chunks, asked)._jdf.queryExecution().executedPlan().toString()
+        assert ("CartesianProduct" in plan) == (threshold == "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_vector_search_bounds_its_queries(spark):
-    chunks = spark.createDataFrame([(1, 0, [1.0])], "report_id long, chunk_index int, embedding array<double>")
-    with pytest.raises(ValueError):
-        similar_chunks(chunks, [(i, [1.0]) for i in range(MAX_QUERIES + 1)])
-    with pytest.raises(ValueError):
-        similar_chunks(chunks, [])
+def test_report_search_joins_facts_and_texts_to_hits(spark):
+    facts = "id long, match_id long, competition_code string, home_team string, away_team string, match_date date, matchday int, narrative string"
+    told = "One sentence. " * 30 + "The end."
+    reports = spark.createDataFrame([(1, 1, "L1", "A", "B", None, 2, told), (2, None, None, None, None, None, None, None)], facts)
+    vectors = [(1, 0, [1.0, 0.0]), (1, 1, [1.0, 0.1]), (1, 9, [1.0, 0.2]), (2, 0, [1.0, 0.3]), (3, 0, [1.0, 0.0])]
+    chunks = spark.createDataFrame(vectors, CHUNK)
+    asked = spark.createDataFrame([(7, [2.0, 0.0]), (8, None), (None, [1.0, 0.0])], ASKED)
+    found = sorted(report_search(chunks, reports, asked).collect(), key=lambda r: -r.similarity)
+    assert [(r.query_id, r.report_id, r.chunk_index) for r in found] == [(7, 1, 0), (7, 1, 1), (7, 1, 9), (7, 2, 0)]
+    assert found[0].chunk_text.startswith("One sentence. One") and found[1].chunk_text.endswith("The end.")
+    assert [r.chunk_text for r in found[2:]] == [None, None] and found[0].home_team == "A"
+    carried = chunks.withColumn("chunk_text", F.concat(F.lit("t"), F.col("chunk_index")))
+    texts = {(r.report_id, r.chunk_index): r.chunk_text for r in report_search(carried, reports, asked).collect()}
+    assert texts == {(1, 0): "t0", (1, 1): "t1", (1, 9): "t9", (2, 0): "t0"}
 
 
 def test_vector_search_edges(spark):
     rows = [(1, 0, [3.0, 4.0]), (2, 0, [0.0, 0.0]), (3, 0, None), (4, 0, [-3.0, -4.0])]
     chunks = spark.createDataFrame(rows, "report_id long, chunk_index int, embedding array<float>")
-    got = similar_chunks(chunks, [(0, [6.0, 8.0]), (9, [0.0, 0.0])], -1.0).collect()
+    asked = spark.createDataFrame([(0, [6.0, 8.0]), (9, [0.0, 0.0])], ASKED)
+    got = similar_chunks(chunks, asked, -1.0).collect()
     assert sorted((r.query_id, r.report_id, r.similarity) for r in got) == [(0, 1, 1.0), (0, 4, -1.0)]
     with pytest.raises(Exception, match="must have 3 elements"):
-        similar_chunks(chunks, [(0, [1.0, 2.0, 3.0])]).collect()
+        similar_chunks(chunks, spark.createDataFrame([(0, [1.0, 2.0, 3.0])], ASKED)).collect()
+    assert top_chunks(chunks, asked.limit(0)).collect() == [] == top_chunks(chunks.limit(0), asked).collect()
