@@ -9,11 +9,10 @@ POINTS_WIN = 3
 POINTS_DRAW = 1
 
 
-def _leg(side: str, other: str, kept: tuple[str, ...]) -> Column:
+def _leg(side: str, other: str) -> Column:
     won, lost = F.col("result") == side, F.col("result") == other
     drawn = F.col("result") == "draw"
     return F.struct(
-        *[F.col(c) for c in kept],
         F.lit(side).alias("venue"),
         F.col(f"{side}_team_id").alias("team_id"),
         F.col(f"{side}_team_name").alias("team_name"),
@@ -29,8 +28,9 @@ def _leg(side: str, other: str, kept: tuple[str, ...]) -> Column:
 def sides_unpivot(matches: DataFrame, keep: tuple[str, ...] = ("match_id", "match_date")) -> DataFrame:
     """A home row and an away row for every match.
 
-    ``keep`` names the match columns to carry over. Rows without a result have a NULL
+    ``keep`` names the match columns to carry over; they stay out of the generator, so that filters
+    on them reach the matches. Rows without a result have a NULL
     ``team_result`` and no points on both sides.
     """
-    legs = F.array(_leg("home", "away", keep), _leg("away", "home", keep))
-    return matches.select(F.inline(legs))
+    legs = F.array(_leg("home", "away"), _leg("away", "home"))
+    return matches.select(*keep, F.inline(legs))

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.rounding import count_where, percentage, ratio
-from tallyline.operators.ranking import rank_within
+from tallyline.operators.ranking import kept_whole, rank_within
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top, top_per_group
 from tallyline.plans.models import BEST_FIRST, combined, table_lines, tallies
 from tallyline.plans.tools import season_lines
-from tallyline.workspace import pinned
 
 SEASON = ("competition_code", "season_id")
 
@@ -109,11 +108,12 @@ def record_vs_top_n(matches: DataFrame, n: int = 6) -> DataFrame:
     """Every team's record against opponents ranked n or better in that season's table.
 
     The matches are tallied once per pair of teams; the table and the records both follow
-    from those tallies.
+    from those tallies, out of one exchange.
     """
     per_pair = (*SEASON, "team_name", "opponent_name")
     per_team = (*SEASON, "team_name")
-    pairs = pinned(tallies(sides_unpivot(matches, keep=SEASON), per_pair))
+    known = matches.dropna(subset=list(SEASON))  # others are in no table; said here, it holds for both uses
+    pairs = kept_whole(tallies(sides_unpivot(known, keep=SEASON), per_pair), SEASON)
     table = rank_within(table_lines(combined(pairs, per_team)), SEASON, BEST_FIRST)
     best = table.filter(F.col("position") <= n).select(*SEASON, F.col("team_name").alias("opponent_name"))
     against = combined(pairs.join(best, [*SEASON, "opponent_name"], "left_semi"), per_team)

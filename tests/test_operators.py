@@ -13,6 +13,7 @@ from tallyline.operators.ranking import rank_within, with_group_values
 from tallyline.operators.sides import sides_unpivot
 from tallyline.operators.topk import top_per_group
 from tallyline.operators.vector_search import similar_chunks, top_chunks
+from tallyline.plans import adhoc, tools
 from tallyline.plans.reports import known_chunks, report_search
 from tests.data import MATCH_DICTS, legs
 
@@ -174,6 +175,33 @@ def test_filters(matches):
     assert {r.season_id for r in on.latest_season(matches).collect()} == newest
 
 
+def scans(frame):
+    """Scans of files and reused exchanges of the plan as it ran, with the text of the plan."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    return final.count("FileScan parquet"), final.count("ReusedExchange"), final
+
+
+def test_ranks_start_no_job_and_read_the_facts_once(spark, matches, tmp_path):
+    matches.write.parquet(str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "ranks")
+    try:
+        made = [tools.league_tables(stored), adhoc.record_vs_top_n(stored, 2)]
+        assert not list(tracker.getJobIdsForGroup("ranks"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for frame in made:
+        read, reused, plan = scans(frame)
+        assert read == 1 and reused >= 1, plan
+        chosen = frame.filter("season_id = 12023")
+        read, reused, plan = scans(chosen)
+        assert read == 1 and "EqualTo(season_id,12023)" in plan, plan
+        assert sorted(map(str, chosen.collect())) == sorted(str(r) for r in frame.collect() if r.season_id == 12023)
+
+
 CHUNK = "report_id long, chunk_index int, embedding array<double>"
 ASKED = "query_id long, embedding array<double>"
 
