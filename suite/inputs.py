@@ -34,7 +34,7 @@ class Inputs:
 
     @cached_property
     def stg_matches(self) -> DataFrame:
-        return models.stg_matches(self.raw_matches)
+        return models.stg_matches(self.raw.matches(models.FINISHED))
 
     @cached_property
     def raw_standings(self) -> DataFrame:
@@ -52,6 +52,11 @@ class Inputs:
     def matches(self) -> DataFrame:
         return models.mart_match_results(self.results)
 
+    def season_matches(self, season: int) -> DataFrame:
+        """The matches of one season, chosen before any line of an order is counted."""
+        chosen = models.stg_matches(self.raw.matches(models.FINISHED, season))
+        return models.mart_match_results(models.int_match_results(chosen, self.stg_competitions))
+
     @cached_property
     def league_table(self) -> DataFrame:
         return models.mart_league_table(self.stg_standings, self.stg_competitions)

@@ -309,7 +309,7 @@ def _lines(condition: Callable[[], Column]) -> Callable[[Inputs], DataFrame]:
     return lambda i: i.matches.filter(condition()).select(*LINE)
 
 
-register("flt_status", lambda i: i.raw_matches.filter(on.equals("status", "FINISHED")).select("id", "status"))
+register("flt_status", lambda i: i.raw.matches("FINISHED").filter(on.equals("status", "FINISHED")).select("id", "status"))
 register("flt_name_pattern", _lines(lambda: on.involves(TEAM)))
 register("flt_pair_pattern", _lines(lambda: on.pairing("NATION_2", "nation_7")))
 register("flt_season_range", _lines(lambda: on.season_range(SEASON)))
@@ -623,17 +623,17 @@ def judge_parse(i: Inputs) -> DataFrame:
 
 # -- question-level operators ----------------------------------------------------------
 
-register("league_table", lambda i: tools.league_table(i.matches, LEAGUE, SEASON))
+register("league_table", lambda i: tools.league_table(i.season_matches(SEASON), LEAGUE, SEASON))
 register("league_table_current", lambda i: tools.league_table(i.matches, LEAGUE, today=TODAY))
 register("league_tables", lambda i: tools.league_tables(i.matches))
 register("bottler_index", lambda i: tools.bottler_index(i.bottlers, i.matches, LEAGUE, 4, SEASON))
 register("bottler_index_latest", lambda i: tools.bottler_index(i.bottlers, i.matches, LEAGUE))
-register("team_season_stats", lambda i: tools.team_season_stats(i.matches, TEAM, LEAGUE, SEASON).splits)
-register("team_season_matches", lambda i: tools.team_season_stats(i.matches, TEAM, LEAGUE, SEASON).matches)
+register("team_season_stats", lambda i: tools.team_season_stats(i.season_matches(SEASON), TEAM, LEAGUE, SEASON).splits)
+register("team_season_matches", lambda i: tools.team_season_stats(i.season_matches(SEASON), TEAM, LEAGUE, SEASON).matches)
 register("team_form", lambda i: tools.team_form(i.matches, TEAM_ID, 7))
 register("head_to_head", lambda i: tools.head_to_head(i.matches, "NATION_2", "NATION_7"))
-register("high_scoring_matches", lambda i: tools.high_scoring_matches(i.matches, LEAGUE, 4, 10, SEASON))
-register("season_summary", lambda i: tools.season_summary(i.matches, LEAGUE, SEASON))
+register("high_scoring_matches", lambda i: tools.high_scoring_matches(i.season_matches(SEASON), LEAGUE, 4, 10, SEASON))
+register("season_summary", lambda i: tools.season_summary(i.season_matches(SEASON), LEAGUE, SEASON))
 register("season_highlights", lambda i: tools.season_highlights(i.matches))
 
 

@@ -8,19 +8,35 @@ only when its own size estimate or the runtime statistics allow it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyline.functions.rounding import count_where
-from tallyline.functions.season import season_of_date
+from tallyline.functions.season import in_season, season_of_date
 
 HALF_TIME_LINE = 3
+# Order status codes by match status; every other code stands for a match in play.
+STATUS_CODES = {"FINISHED": "F", "SCHEDULED": "O"}
+IN_PLAY = "IN_PLAY"
 LOADED_AT = "2001-09-01 00:00:00"  # the dimension tables carry no load time of their own
 
 _schemas: dict[str, StructType] = {}
 
 
+def has_status(status: str) -> Column:
+    """Orders of a match status, said in source codes, so that Parquet can test it."""
+    code = F.col("o_orderstatus")
+    if status == IN_PLAY:
+        return code.isNull() | ~code.isin(*STATUS_CODES.values())
+    return code == STATUS_CODES[status] if status in STATUS_CODES else F.lit(False)
+
+
+def match_status() -> Column:
+    code = F.col("o_orderstatus")
+    return F.coalesce(*[F.when(code == c, status) for status, c in STATUS_CODES.items()], F.lit(IN_PLAY))
+
+
 class ContestTables:
     """Raw contest tables over one directory of Parquet files."""
 
@@ -58,10 +74,24 @@ class ContestTables:
             F.lit(LOADED_AT).cast("timestamp_ntz").alias("ingested_at"),
         )
 
-    def matches(self) -> DataFrame:
+    def matches(self, status: str | None = None, season: int | None = None) -> DataFrame:
+        """All matches, or those of a status or of the season that starts in a year.
+
+        Both are tested on the orders as they are read. A season is a small part of all matches,
+        so its order keys also go before the aggregate of the lines: lines of other seasons are
+        neither counted nor, where Spark broadcasts the keys, shuffled. For a status alone the
+        lines are counted first, since half of them would stay and a task counts most orders whole.
+        """
+        orders, lines = self.table("orders"), self.table("lineitem")
+        if status is not None:
+            orders = orders.filter(has_status(status))
+        if season is not None:
+            orders = orders.filter(in_season(F.col("o_orderdate"), season))
+            keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+            lines = lines.join(keys, "l_orderkey", "left_semi")
         returned, accepted = F.col("l_returnflag") == "R", F.col("l_returnflag") == "A"
         first_half = F.col("l_linenumber") <= HALF_TIME_LINE
-        scores = self.table("lineitem").groupBy("l_orderkey").agg(
+        scores = lines.groupBy("l_orderkey").agg(
             F.min("l_suppkey").alias("away_key"),
             count_where(returned).cast("int").alias("home_full"),
             count_where(accepted).cast("int").alias("away_full"),
@@ -84,8 +114,7 @@ class ContestTables:
             F.col("n_name").alias("away_team_name"),
         )
         played = (
-            self.table("orders")
-            .join(scores, F.col("o_orderkey") == F.col("l_orderkey"))
+            orders.join(scores, F.col("o_orderkey") == F.col("l_orderkey"))
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("supplier"), F.col("away_key") == F.col("s_suppkey"))
             .filter(F.col("c_nationkey") != F.col("s_nationkey"))
@@ -99,10 +128,7 @@ class ContestTables:
             "competition_id",
             (F.col("competition_id") * 10000 + start).alias("season_id"),
             F.col("o_orderdate").alias("utc_date"),
-            F.when(F.col("o_orderstatus") == "F", "FINISHED")
-            .when(F.col("o_orderstatus") == "O", "SCHEDULED")
-            .otherwise("IN_PLAY")
-            .alias("status"),
+            match_status().alias("status"),
             (F.floor(F.datediff(F.to_date("o_orderdate"), opening) / 7) + 1).cast("int").alias("matchday"),
             "home_team_id", "home_team_name", "away_team_id", "away_team_name",
             F.col("home_full").alias("home_score_full_time"),
