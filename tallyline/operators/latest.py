@@ -37,6 +37,16 @@ def latest_by_key(
     )
 
 
+def last_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The whole last row of each key. Where no column keeps its first value this is ``latest_by_key``.
+
+    Each task keeps one row of a key (window group limit) before the shuffle. A row is carried once,
+    columns of ``order`` included, and columns nobody reads later are not carried at all.
+    """
+    last_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return rows.withColumn("_nth", F.row_number().over(last_first)).filter(F.col("_nth") == 1).drop("_nth")
+
+
 def merged(
     target: DataFrame, newest: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None
 ) -> DataFrame:
@@ -70,9 +80,7 @@ def upsert(
     """
     columns, keys = target.columns, list(keys)
     if update_cols is None:
-        last_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-        nth = F.row_number().over(last_first)
-        newest = batch.withColumn("_nth", nth).filter(F.col("_nth") == 1).select(*columns)
+        newest = last_by_key(batch, keys, order).select(*columns)
         replaced = set(columns)
     else:
         rows = batch.select(*columns, F.struct(*order).alias("_arrival"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.latest import latest_by_key, merged
+from tallyline.operators.latest import last_by_key, latest_by_key, merged
 from tallyline.operators.ranking import join_on
 from tallyline.schemas import TableSpec
 from tallyline.workspace import stored
@@ -83,8 +83,12 @@ class KeyedTable:
         columns = [*self.spec.keys, *replaced, *kept]
         seen, written = Observation(), Observation()
         rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
-        sequenced = rows.select(*columns, F.struct(*order).alias(SEQ))
-        one = latest_by_key(sequenced, self.spec.keys, [F.col(SEQ)], (*replaced, SEQ))
+        if kept:
+            sequenced = rows.select(*columns, F.struct(*order).alias(SEQ))
+            one = latest_by_key(sequenced, self.spec.keys, [F.col(SEQ)], (*replaced, SEQ))
+        else:
+            carried = list(dict.fromkeys([*columns, *order]))
+            one = last_by_key(rows.select(*carried), self.spec.keys, order)
         typed = one.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema])
         # The version is part of the path, not data: a replay replaces exactly this folder.
         counted = typed.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -94,11 +98,12 @@ class KeyedTable:
     def compact(self) -> None:
         """Fold the log into the base: only seasons that gain, change or lose a row are written."""
         folders, folded = self._folds()
-        later = self._log(folded)
-        if later is None:
+        newest = self._newest(folded)
+        if newest is None:
             return
         version = self._versions()[-1]
-        newest = stored(self._newest(later), "keyed-newest")
+        if len(self._later(folded)) > 1:
+            newest = stored(newest, "keyed-newest")
         names, season = self.spec.schema.names, self.spec.partition
         base = self._base(folders.values())
         if season is None:
@@ -137,16 +142,32 @@ class KeyedTable:
         reader = self.spark.read.schema(self.spec.schema).option("basePath", f"{self.path}/base")
         return reader.parquet(*paths).select(*self.spec.schema.names)
 
+    def _later(self, after: int) -> list[int]:
+        return [v for v in self._versions() if v > after]
+
     def _log(self, after: int) -> DataFrame | None:
         """Batches behind a version. Reading just these folders tells Spark their size before it plans a join."""
-        paths = [f"{self.path}/log/{BATCH}={v}" for v in self._versions() if v > after]
+        paths = [f"{self.path}/log/{BATCH}={v}" for v in self._later(after)]
         if not paths:
             return None
         return self.spark.read.schema(self._schema()).option("basePath", f"{self.path}/log").parquet(*paths)
 
-    def _newest(self, later: DataFrame) -> DataFrame:
-        one = latest_by_key(later, self.spec.keys, [F.col(BATCH)], (*self.spec.replaced, BATCH))
-        return one.select(*self.spec.schema.names)
+    def _newest(self, after: int) -> DataFrame | None:
+        """The last row of each key behind a version. One batch alone has each of its keys once."""
+        later = self._log(after)
+        if later is None:
+            return None
+        names = self.spec.schema.names
+        if len(self._later(after)) > 1:
+            if set(names) == {*self.spec.keys, *self.spec.replaced}:
+                later = last_by_key(later, self.spec.keys, [BATCH])
+            else:
+                later = latest_by_key(later, self.spec.keys, [F.col(BATCH)], (*self.spec.replaced, BATCH))
+        return later.select(*names)
+
+    def batch(self, version: int) -> DataFrame:
+        """The rows of one batch as they were written, each key once."""
+        return self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/log/{BATCH}={int(version)}")
 
     def history(self) -> DataFrame:
         """All written versions of the log, with the version of the batch that wrote them."""
@@ -160,10 +181,9 @@ class KeyedTable:
             raise ValueError(f"{self.spec.name} is not split")
         folders, folded = self._folds()
         base = self._base(folders.values() if only is None else [folders.get(str(only), "")])
-        later = self._log(folded)
-        if later is None:
+        newest = self._newest(folded)
+        if newest is None:
             return self.spark.createDataFrame([], self.spec.schema) if base is None else base
-        newest = self._newest(later)
         rows = newest if base is None else merged(base, newest, self.spec.keys, self.spec.replaced)
         return rows if only is None else rows.filter(F.col(season) == only)
 

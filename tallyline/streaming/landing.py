@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline import schemas as S
+from tallyline.operators.latest import last_by_key
 from tallyline.sinks.keyed_table import BATCH, KeyedTable
 from tallyline.sources import documents
 
@@ -51,7 +52,7 @@ def ingest_matches(
     ``foreachBatch`` may replay a batch after a failure; its version names the folders it writes,
     so a replay leaves the table as it was. Records that cannot be read go to the
     ``quarantine`` folder, if one is given; they are counted while the rows are written, and a batch
-    without any is not read again. ``after`` is called with each written batch and its version.
+    without any is not read again. ``after`` is called with each batch as it was written and its version.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -64,7 +65,7 @@ def ingest_matches(
             bad = documents.rejected_records(read)
             bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={version}")
         if after is not None:
-            after(documents.rows_of_feed("matches", read), version)
+            after(table.batch(version), version)
 
     return (
         docs.writeStream.foreachBatch(write)
@@ -85,7 +86,14 @@ def drop_repeats(rows: DataFrame, event_time: str, key: str, payload: str) -> Da
 
 
 def keep_late(
-    rows: DataFrame, event_time: str, key: str, payload: str, seen: str, late: str, checkpoint: str
+    rows: DataFrame,
+    event_time: str,
+    key: str,
+    payload: str,
+    seen: str,
+    late: str,
+    checkpoint: str,
+    read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the second sink of ``drop_repeats``: versions that came too late for its state.
 
@@ -93,8 +101,12 @@ def keep_late(
     Rows further back than the horizon are compared by (key, hash) with it and with ``late``, so repeats
     go and corrections are kept, each once. Run it after the stream that fills ``seen``: what that
     one took is found there, so it does not matter where exactly its watermark stood.
+
+    With ``read``, ``rows`` are documents with ``event_time`` and only those behind the horizon are read
+    into rows by it; a batch without any costs no more than looking at its times.
     """
-    schema = T.StructType([rows.schema[key], T.StructField("payload_hash", T.StringType())])
+    read = read or (lambda documents: documents)
+    schema = T.StructType([read(rows).schema[key], T.StructField("payload_hash", T.StringType())])
     moment = rows.schema[event_time].dataType
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -104,11 +116,12 @@ def keep_late(
         if newest is None:
             return
         bound = F.lit(newest).cast(moment) - F.expr(f"INTERVAL {HORIZON}")
-        behind = batch.withColumn("payload_hash", F.sha2(F.col(payload), 256)).filter(F.col(event_time) < bound)
+        behind = read(batch.filter(F.col(event_time) < bound)).withColumn("payload_hash", F.sha2(F.col(payload), 256))
         known = stored.select(*schema.names)
         for earlier in _batches(spark, late, schema, batch_id):
             known = known.unionByName(earlier)
-        fresh = behind.dropDuplicates([key, "payload_hash"]).join(known, [key, "payload_hash"], "left_anti")
+        version = [key, "payload_hash"]
+        fresh = last_by_key(behind, version, [event_time]).join(known, version, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}")
 
     return (

@@ -376,3 +376,49 @@ def test_identical_repeats_are_dropped_and_corrections_pass(spark, tmp_path):
         unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
         stream.run_to_table(unique.select("id", "away_score_full_time"), out, checkpoint)
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_current_rows_carry_only_what_is_read(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "m"), S.MATCHES)
+    table.upsert(season_rows(spark, (1, 10, "a"), (1, 10, "b"), (2, None, "a")), 1, ["status"])
+    one = table.current()
+    assert sorted((r.id, r.status) for r in one.collect()) == [(1, "b"), (2, "a")]
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    table.upsert(season_rows(spark, (1, 11, None)), 2, ["id"])
+    both = table.current().select("id", "status")
+    assert sorted(map(tuple, both.collect())) == [(1, None), (2, "a")]
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "raw_payload" not in plan
+    assert sorted((r.id, r.status) for r in table.batch(1).collect()) == [(1, "b"), (2, "a")]
+
+
+def test_after_gets_the_batch_as_written(spark, tmp_path):
+    land(spark, str(tmp_path / "landing"), {"matches": [match(1), match(2), match(1)]}, "broken")
+    table, seen = stream.matches_table(spark, str(tmp_path / "table")), []
+    feed = stream.landing_stream(spark, str(tmp_path / "landing"))
+    after = lambda rows, version: seen.append((version, sorted(r.id for r in rows.collect())))
+    stream.ingest_matches(feed, table, str(tmp_path / "checkpoint"), after=after).awaitTermination()
+    assert seen == [(0, [1, 2])]
+
+
+def test_only_late_documents_are_read_for_corrections(spark, tmp_path):
+    root, read_times = str(tmp_path), []
+
+    def read(docs):
+        read_times.append(docs)
+        return documents.matches(docs, "landed_at")
+
+    days = (("2001-02-01", [match(1), match(2)]), ("2001-01-11", [match(1), match(2, (5, 0)), match(2, (5, 0))]))
+    for day, matches in days:
+        lines(spark, {"matches": matches}).select(F.concat(F.lit(f"{day} "), "value")).write.mode("append").text(f"{root}/landing")
+        feed = stream.landing_stream(spark, f"{root}/landing").select(
+            F.expr("substring(value, 12)").alias("value"), F.expr("cast(left(value, 10) as timestamp)").alias("landed_at")
+        )
+        unique = stream.drop_repeats(documents.matches(feed, "landed_at"), "landed_at", "id", "raw_payload")
+        stream.run_to_table(unique.select("id", "payload_hash", "landed_at"), f"{root}/out", f"{root}/checkpoint")
+        stream.keep_late(
+            feed, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late", read=read
+        ).awaitTermination()
+    late = spark.read.parquet(f"{root}/late").collect()
+    assert [(r.id, r.home_score_full_time) for r in late] == [(2, 5)]
+    assert read_times[-1].filter("landed_at >= '2001-01-17'").count() == 0
