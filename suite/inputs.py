@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.plans import models, reports
 from tallyline.sources.contest import ContestTables
+from tallyline.workspace import stored
 
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -18,6 +19,14 @@ class Inputs:
         self.spark = spark
         self.raw = ContestTables(spark, sf_dir)
 
+    def written_once(self, standings: bool = False) -> Inputs:
+        """The same inputs with the matches written, for queries that make several feeds out of them."""
+        self.raw_matches = stored(self.raw.matches(), "matches")
+        self.stg_matches = models.stg_matches(self.raw_matches)
+        if standings:
+            self.raw_standings = stored(models.standings_from_matches(self.stg_matches), "standings")
+        return self
+
     # -- models --------------------------------------------------------------------
 
     @cached_property

@@ -128,6 +128,7 @@ def src_partial_failure(i: Inputs) -> DataFrame:
 @query
 def src_rejects(i: Inputs) -> DataFrame:
     """What an ingestion run keeps of the records it could not use, for every feed."""
+    i = i.written_once(standings=True)
     root = fresh_dir(i.spark, "rejects")
     docs = {feed: frame.select("value").unionByName(i.unusable(feed)) for feed, frame in i.feeds().items()}
     ingest.ingest(docs, root, 3)
@@ -190,6 +191,7 @@ def upsert_standings(i: Inputs) -> DataFrame:
 @query
 def sink_feeds(i: Inputs) -> DataFrame:
     """All five feeds through their keyed tables: two batches, a fold, a third batch; rows and sums of what is stored."""
+    i = i.written_once(standings=True)
     root = fresh_dir(i.spark, "feeds")
     feeds = {feed: frame.select("value") for feed, frame in i.feeds().items()}
     early = {feed: frame.filter(F.length("value") % 2 == 0) for feed, frame in feeds.items()}
@@ -217,6 +219,7 @@ def sink_feeds(i: Inputs) -> DataFrame:
 @query
 def sink_one_season(i: Inputs) -> DataFrame:
     """One season of the stored matches: fixtures folded into the base, then the results from a stream of its own."""
+    i = i.written_once()
     root = fresh_dir(i.spark, "season")
     table = stream.matches_table(i.spark, f"{root}/matches")
     for scored in (False, True):
@@ -267,6 +270,7 @@ def upsert_chunks(i: Inputs) -> DataFrame:
 @query
 def ingestion_log(i: Inputs) -> DataFrame:
     """All five feeds through their keyed tables, with records that no table can take; one log line each."""
+    i = i.written_once(standings=True)
     docs = {feed: frame.select("value").unionByName(i.unusable(feed)) for feed, frame in i.feeds().items()}
     log = ingest.ingest(docs, fresh_dir(i.spark, "ingest"), 1)
     return log.entries().select("entity_type", "records_ingested", "keys_ingested", "records_rejected", "status")
@@ -464,13 +468,19 @@ register(
 # -- streaming -------------------------------------------------------------------------
 
 
+#: Lines of a landed file. Compressed files are not split, so their size bounds what a task reads.
+LANDED_LINES = 50_000
+
+
 def _land(docs: DataFrame, path: str) -> None:
-    docs.select("value").write.mode("append").text(path)
+    writer = docs.select("value").write.mode("append").option("maxRecordsPerFile", LANDED_LINES)
+    writer.option("compression", "lz4").text(path)
 
 
 @query
 def stream_ingest_upsert(i: Inputs) -> DataFrame:
     """Two days of landed files: fixtures first, then the same matches with their results."""
+    i = i.written_once()
     root = fresh_dir(i.spark, "stream")
     table = stream.matches_table(i.spark, f"{root}/matches")
     for scored in (False, True):
@@ -483,6 +493,7 @@ def stream_ingest_upsert(i: Inputs) -> DataFrame:
 @query
 def stream_dedup_late(i: Inputs) -> DataFrame:
     """Fixtures, results and the results once more: the repeat is dropped, the correction stays."""
+    i = i.written_once()
     root = fresh_dir(i.spark, "dedup")
     for scored in (False, True, True):
         _land(i.match_docs(scored), f"{root}/landing")
@@ -495,6 +506,7 @@ def stream_dedup_late(i: Inputs) -> DataFrame:
 @query
 def stream_late_corrections(i: Inputs) -> DataFrame:
     """Fixtures, results a month later, then both again as of a day behind the horizon, some of them corrected."""
+    i = i.written_once()
     root = fresh_dir(i.spark, "late")
     again = i.match_docs().withColumn(
         "value", F.when(F.col("id") % 5 == 0, F.replace("value", F.lit('"matchday":'), F.lit('"matchday":1'))).otherwise(F.col("value"))
@@ -510,7 +522,8 @@ def stream_late_corrections(i: Inputs) -> DataFrame:
         unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
         stream.run_to_table(unique.select("id", "payload_hash", "landed_at"), f"{root}/out", f"{root}/checkpoint")
         stream.keep_late(
-            rows, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late"
+            feed, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late",
+            read=lambda docs: documents.matches(docs, "landed_at"),
         ).awaitTermination()
     return i.spark.read.parquet(f"{root}/late").select("id", "status", "matchday")
 
@@ -518,6 +531,7 @@ def stream_late_corrections(i: Inputs) -> DataFrame:
 @query
 def stream_form(i: Inputs) -> DataFrame:
     """Form after three batches: even matches, some with swapped scores or a wrong day, then odd ones, then the corrections."""
+    i = i.written_once()
     root = fresh_dir(i.spark, "form")
     table, form = stream.matches_table(i.spark, f"{root}/matches"), FormTable(i.spark, f"{root}/form")
     docs, k = i.match_docs(), F.col("id")
