@@ -1,6 +1,6 @@
 """Texts of Arrow batches as byte arrays, and hashes of their words and shingles.
 
-A batch is walked in slices of about a megabyte, so the 64-bit arrays derived from its bytes
+A batch is walked in slices of about 256 KB, so the 64-bit arrays derived from its bytes
 stay small whatever the batch holds. All arithmetic is modulo 2**64.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 _random = np.random.Generator(np.random.PCG64(20240229))
 BYTE_CODE = _random.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -53,7 +53,11 @@ def running_code(data: np.ndarray, code: np.ndarray = BYTE_CODE) -> np.ndarray:
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the offset of each row; null counts as empty."""
+    """All bytes of a string column and the offset of each row; null counts as empty.
+
+    Python workers serve one step after another: what earlier batches left in Arrow's pool goes back first.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):

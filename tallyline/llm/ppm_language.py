@@ -37,6 +37,8 @@ from tallyline.llm.arrowtext import slices
 UNDETERMINED = "und"
 SALTS = 64
 SCORED_BYTES = 1 << 18
+#: Rows that leave a task together. A whole batch of long texts would be held once more here and in the JVM.
+SCORED_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -252,23 +254,13 @@ def _rows_by_code(size: np.ndarray, code: np.ndarray, column_of: np.ndarray, col
     return row_of
 
 
-def detected(docs: DataFrame, trees: Trees) -> DataFrame:
-    """Add ``lang_pred``, ``score`` and ``bits_per_byte`` to ``docs`` by their column ``text``.
-
-    The score is the share of the winner when every language's code length is taken as a
-    probability; ties go to the first language in name order. A null text or one without any
-    letter is ``und`` with score 0, and so is everything if no language was learned. Columns of
-    those three names are replaced; rows, repeated ones too, are kept as they are.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
-    docs = docs.drop("lang_pred", "score", "bits_per_byte")
-    found = [T.StructField("lang_pred", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("score", "bits_per_byte"))]
-    schema = T.StructType([*docs.schema.fields, *found])
+def _scored(shared):
+    """``detected`` in a task, by the trees in a broadcast."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value.model
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
-        for batch in batches:
+        for batch in (whole.slice(at, SCORED_ROWS) for whole in batches for at in range(0, whole.num_rows, SCORED_ROWS)):
             text = batch.column("text")
             letters = np.asarray(pa.compute.match_substring_regex(text, r"\p{L}").fill_null(False))
             n = len(text)
@@ -285,7 +277,23 @@ def detected(docs: DataFrame, trees: Trees) -> DataFrame:
             found = [pa.array(names[best], pa.string()), pa.array(share), pa.array(rate)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "lang_pred", "score", "bits_per_byte"])
 
-    return docs.mapInArrow(score, schema)
+    return score
+
+
+def detected(docs: DataFrame, trees: Trees) -> DataFrame:
+    """Add ``lang_pred``, ``score`` and ``bits_per_byte`` to ``docs`` by their column ``text``.
+
+    The score is the share of the winner when every language's code length is taken as a
+    probability; ties go to the first language in name order. A null text or one without any
+    letter is ``und`` with score 0, and so is everything if no language was learned. Columns of
+    those three names are replaced; rows, repeated ones too, are kept as they are.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    docs = docs.drop("lang_pred", "score", "bits_per_byte")
+    found = [T.StructField("lang_pred", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("score", "bits_per_byte"))]
+    schema = T.StructType([*docs.schema.fields, *found])
+
+    return docs.mapInArrow(_scored(shared), schema)
 
 
 def rate_limits(found: DataFrame, share: float = 0.99, margin: float = 2.0) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -100,3 +101,15 @@ def test_nothing_to_learn(spark):
     docs = documents(spark, [(1, "some text")]).withColumn("lang", M.F.lit(None).cast("string"))
     assert [r["lang_pred"] for r in M.language_of(docs).collect()] == ["und"]
     assert M.language_of(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_large_batch_leaves_in_parts():
+    texts = [f"zebra {i}" if i % 3 else None for i in range(3 * M.SCORED_ROWS + 7)]
+    shared = SimpleNamespace(value=M.Trees(grams(TEXTS, 2), 2))
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    parts = list(M._scored(shared)(iter([whole])))
+    assert max(p.num_rows for p in parts) == M.SCORED_ROWS and len(parts) == 4
+    together = pa.Table.from_batches(parts).to_pydict()
+    assert together["doc_id"] == list(range(len(texts))) and together["text"] == texts
+    alone = [r for i in range(len(texts)) for r in list(M._scored(shared)(iter([whole.slice(i, 1)])))]
+    assert together["bits_per_byte"] == pa.Table.from_batches(alone).to_pydict()["bits_per_byte"]
