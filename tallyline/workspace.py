@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -43,8 +46,22 @@ def pinned(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Whatever is written within leaves no shuffle files behind, instead of keeping them until the driver's next collection."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def stored(frame: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``frame`` below the shared folder and read it back: cut lineage that outlives executors."""
     path = fresh_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -94,3 +94,39 @@ def test_cleaned_text(spark):
     assert cleaned.columns == docs.columns and cleaned.count() == docs.count()
     by_id = {r["doc_id"]: r["text"] for r in cleaned.collect()}
     assert by_id[0] == prose(1, 120) and by_id[4] == "" and by_id[1] is None and by_id[12] == ""
+
+
+def test_query_merges_levels(spark, monkeypatch):
+    """Four batches by default: two levels become one before the third."""
+    scan, seen = S.SuffixLevels.scan, []
+
+    def watched(self, *args, **options):
+        out = scan(self, *args, **options)
+        seen.append(sorted(self.levels))
+        return out
+
+    monkeypatch.setattr(S.SuffixLevels, "scan", watched)
+    rows = [(i, f"{prose(i, 60)} {prose(1000 + i % 7, 40)}") for i in range(60)]
+    docs = documents(spark, rows)
+    assert rows_of(S.removal(docs)) == brute(rows)
+    assert S.without_repeats(docs).count() == len(rows)
+    assert seen == 2 * [[0], [1], [0, 1], [0, 1]]
+
+
+def test_levels_are_in_suffix_order(spark):
+    """A merged level holds the suffixes of both batches, each file sorted by their bytes."""
+    texts = {i: f"{prose(i, 150)} é東 {'ÿ' * (i % 5)} {prose(300 + i % 4, 30)}" for i in range(40)}
+    index = S.SuffixLevels()
+    for half in (range(20), range(20, 40)):
+        index.scan(documents(spark, [(i, texts[i]) for i in half]))
+    assert sorted(index.levels) == [1]
+    level = index.levels[1].selectExpr("*", "input_file_name() as file", f"{S.START} + ({S.LEAD}) as at", "place & 3 as kind")
+    files, held = {}, set()
+    for r in level.collect():
+        spelled = b"".join((r[w] + 2**63).to_bytes(8, "big") for w in S.WORDS)
+        if r["kind"] != S.MARKER:
+            assert texts[r["doc_id"]].encode()[r["at"] : r["at"] + S.KEY] == spelled
+            held.add(r["doc_id"])
+        files.setdefault(r["file"], []).append(spelled)
+    assert held == set(texts)
+    assert all(f == sorted(f) for f in files.values()) and max(map(len, files.values())) > 20
