@@ -65,7 +65,7 @@ def _piece_rule(content: str) -> tuple[str, str] | None:
     ways = split["pattern"]["Regex"].split("|")
     if LETTERS not in ways or not all(w.startswith("'") for w in ways[: ways.index(LETTERS)]):
         return None
-    return "(" + "|".join(w for w in ways if w != LETTERS) + ")", mark
+    return "|".join(w for w in ways if w != LETTERS), mark
 
 
 class Encoder:
@@ -123,7 +123,7 @@ class Encoder:
 
     def _gathered(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of plain texts."""
-        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), self.pieces, r" \1 ")
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), self.pieces, r" \0 ")
         split = pc.ascii_split_whitespace(spaced)
         numbered = split.flatten().dictionary_encode()
         number = self._numbered(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
@@ -148,6 +148,12 @@ class Encoder:
         return [next(rows) if p else np.frombuffer(next(others), "<u4") for p in plain.to_pylist()]
 
 
+@lru_cache(maxsize=1)
+def _encoder(content: str) -> Encoder:
+    """One for all tasks of a worker: pieces met in one task are known to the next."""
+    return Encoder(content)
+
+
 def transposed(ids: np.ndarray, plane_bits: int) -> list[bytes]:
     """The planes of a block of 32-bit ids, lowest first."""
     cells = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
@@ -171,7 +177,7 @@ def _packed(content, end_id: int, block_ids: int, plane_bits: int, level: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One thread a task: Spark has given the other cores to other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, squeeze = Encoder(content.value), zstandard.ZstdCompressor(level)
+        encode, squeeze = _encoder(content.value), zstandard.ZstdCompressor(level)
         part, block, first = TaskContext.get().partitionId(), 0, 0
         open_, held, listed = [], 0, []  # arrays of ids, their number, documents (id, start, size)
 

@@ -116,3 +116,14 @@ def test_pieces_are_those_of_the_library():
     got = encode(pa.array(texts))
     for text, ids in zip(texts, got, strict=True):
         assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_pieces_met_by_one_task_are_known_to_the_next(monkeypatch):
+    content = Path(WORDS).read_text()
+    texts = pa.array([prose(70 + i, 80) for i in range(5)])
+    P._encoder(content)._forget()
+    first = P._encoder(content)(texts)
+    coded = []
+    monkeypatch.setattr(P.Encoder, "_of_pieces", lambda self, pieces: coded.append(pieces) or iter(()))
+    again = P._encoder(content)(texts)
+    assert not coded and [x.tolist() for x in again] == [x.tolist() for x in first]
