@@ -8,7 +8,8 @@ rows to a machine word, a block of queries at a time. From the sum, itself bit-s
 rows are taken from the most significant slice downward: rows with the bit displace those
 without until k are left; rows that are equal to the last slice are decided by the smaller id.
 
-Queries meet every block of rows once, in tiles of (rows, queries); a tile hands on its k best.
+Queries meet every block of rows once, in tiles: a strip of blocks and a part of the queries, dealt
+to each other by key, so that neither side is ever collected. A tile hands on the k best of its strip.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pyspark.sql.window import Window
 
 SCALE = 256.0
 BLOCK_ROWS, QUERY_ROWS, QUERY_BLOCKS = 4096, 64, 64
+# Strips there are at least, if there are as many blocks, and blocks a strip has on average at most.
+STRIPS, STRIP_BLOCKS = 64, 16
+MOST_TASKS = 2048
 U64 = np.uint64
 ALL = U64(2**64 - 1)
 
@@ -63,24 +67,19 @@ def _sliced(table: pa.Table) -> pa.Table:
 INDEX = "dim int, block int, ids binary, least binary, bits int, slices binary"
 
 
-def index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def block_count(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
+    return max(1, ceil(whole(vectors).count() / block_rows))
+
+
+def index(vectors: DataFrame, block_rows: int = BLOCK_ROWS, blocks: int | None = None) -> DataFrame:
     """The bit-sliced index of ``vectors`` (vec_id, embedding, ...): one row per block of about ``block_rows``."""
     rows = whole(vectors)
-    blocks = max(1, ceil(rows.count() / block_rows))
+    blocks = blocks or block_count(vectors, block_rows)
     spread = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
     rows = rows.select("vec_id", "embedding", F.size("embedding").alias("dim"), spread.alias("block"))
     return rows.groupBy("dim", "block").applyInArrow(_sliced, INDEX)
 
 
-def _queried(table: pa.Table) -> pa.Table:
-    values = _numbers(table.column("embedding"))
-    return pa.table({
-        "dim": table.column("dim")[:1], "query_block": table.column("query_block")[:1],
-        "query_ids": pa.array([table.column("vec_id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
-        "numbers": pa.array([values.tobytes()], pa.binary()),
-    })
-
-
 def _added(planes: dict[int, list[np.ndarray]], weight: int, plane: np.ndarray) -> None:
     """Add a plane of 1 << weight; three of one weight become one and a carry."""
     while True:
@@ -153,12 +152,10 @@ def best(total: list[np.ndarray], candidates: np.ndarray, k: int) -> list[list[i
     return found
 
 
-def _tile(block: dict, queries: dict, k: int) -> Iterator[tuple[int, int, int]]:
+def _tile(block: dict, query_ids: np.ndarray, numbers: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
     ids, least = np.frombuffer(block["ids"], np.int64), np.frombuffer(block["least"], np.int64)
     words = -(-len(ids) // 64)
     slices = np.frombuffer(block["slices"], np.uint8).reshape(block["dim"], block["bits"], words * 8).view(U64)
-    query_ids = np.frombuffer(queries["query_ids"], np.int64)
-    numbers = np.frombuffer(queries["numbers"], np.int64).reshape(len(query_ids), -1)
     total = sums(slices, numbers)
     constant = (numbers * np.where(numbers < 0, least + (1 << block["bits"]) - 1, least)).sum(axis=1)
     there = np.zeros(words * 64, np.uint8)
@@ -175,20 +172,34 @@ def _tile(block: dict, queries: dict, k: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _scored(k: int):
-    names = ("dim", "ids", "least", "bits", "slices")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in (*names, "query_ids", "numbers")}
-                found = list(_tile(row, row, k))
-                if found:
-                    columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+    names = ("query_id", "vec_id", "score")
+
+    def score(strip: pa.Table, queries: pa.Table) -> pa.Table:
+        """The ``k`` best of a strip for each query of a part, some queries at a time."""
+        kept = [np.zeros((3, 0), np.int64)]
+        for start in range(0, len(queries) if len(strip) else 0, QUERY_ROWS):
+            some = queries.slice(start, QUERY_ROWS)
+            query_ids, numbers = some.column("vec_id").to_numpy().astype(np.int64), _numbers(some.column("embedding"))
+            found = []
+            for i in range(len(strip)):
+                block = {n: strip.column(n)[i].as_py() for n in ("dim", "ids", "least", "bits", "slices")}
+                found += _tile(block, query_ids, numbers, k)
+            if found:
+                kept.append(_first_of_each(np.array(found, np.int64).T, k))
+        return pa.table(dict(zip(names, np.concatenate(kept, axis=1), strict=True)))
 
     return score
 
 
+def _first_of_each(found: np.ndarray, k: int) -> np.ndarray:
+    """Of columns (query, row, score) the first ``k`` of each query, largest score first, ties to the lower id."""
+    query, row, score = found
+    found = found[:, np.lexsort((row, -score, query))]
+    starts = np.flatnonzero(np.diff(found[0], prepend=found[0][0] - 1))
+    nth = np.arange(found.shape[1]) - np.repeat(starts, np.diff(starts, append=found.shape[1]))
+    return found[:, nth < k]
+
+
 def top_k(vectors: DataFrame, chosen: Column, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of ``vectors`` (vec_id, embedding, ...) for each chosen row.
 
@@ -197,19 +208,20 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = 5, block_rows: int = BLOC
     vectors, those with a null or non-finite component and rows without a vec_id take no part;
     vectors of different length are not compared. Repeated rows are candidates each, but one query.
     """
-    blocks = index(vectors, block_rows)
     queries = whole(vectors.filter(chosen)).dropDuplicates(["vec_id"])
-    groups = max(1, ceil(queries.count() / QUERY_ROWS))
-    own = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")
-    queries = queries.select("vec_id", "embedding", F.size("embedding").alias("dim"), own.alias("query_block"))
-    queries = queries.groupBy("dim", "query_block").applyInArrow(_queried, "dim int, query_block int, query_ids binary, numbers binary")
-    # A tile is a block of rows and a block of queries: queries are few and are dealt to every block.
-    wide = max(1, ceil(vectors.count() / block_rows))
-    dealt = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
-    part = (F.col("query_block") / QUERY_BLOCKS).cast("int").alias("part")
-    parts = F.explode(F.sequence(F.lit(0), F.lit((groups - 1) // QUERY_BLOCKS))).alias("part")
-    tiles = blocks.select("*", parts).join(dealt.select("*", part), ["dim", "block", "part"])
-    scores = tiles.mapInArrow(_scored(k), "query_id long, vec_id long, score long")
+    blocks, parts = block_count(vectors, block_rows), max(1, ceil(queries.count() / (QUERY_ROWS * QUERY_BLOCKS)))
+    strips = min(blocks, max(STRIPS, ceil(blocks / STRIP_BLOCKS)))
+    # A tile is a strip and a part. Each strip is sent to every part and each query to every strip; the
+    # two are cogrouped, not joined: a join may collect one side by an estimate that does not see how
+    # often it is dealt, and would hand on the bytes of a block once for every block of queries.
+    rows = index(vectors, block_rows, blocks).withColumn("strip", F.col("block") % strips)
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
+    dealt = queries.select("vec_id", "embedding", F.size("embedding").alias("dim"), own.alias("part"))
+    dealt = dealt.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    tile, tasks = ("dim", "strip", "part"), min(4 * strips * parts, MOST_TASKS)
+    sides = [side.repartition(tasks, *tile).groupBy(*tile) for side in (rows, dealt)]
+    scores = sides[0].cogroup(sides[1]).applyInArrow(_scored(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

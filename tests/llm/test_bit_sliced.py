@@ -58,6 +58,21 @@ def test_more_queries_than_a_part(spark, monkeypatch):
     check(spark, vectors(120), every=1)
 
 
+def test_several_blocks_a_strip(spark, monkeypatch):
+    monkeypatch.setattr(I, "STRIPS", 2)
+    monkeypatch.setattr(I, "STRIP_BLOCKS", 4)
+    check(spark, vectors(120), every=1, block=8)
+
+
+def test_no_side_of_the_tiles_is_collected(spark):
+    rows = vectors(200)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = I.top_k(frame, F.lit(True), 5, 2)  # queries are dealt to over 100 blocks, and few by any estimate
+    assert rows_of(got) == brute(rows, lambda q: True)
+    got.collect()
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sums_are_inner_products():
     draw = np.random.default_rng(5)
     values, numbers = draw.integers(0, 300, (100, 6)), draw.integers(-200, 200, (3, 6))
