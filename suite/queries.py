@@ -518,12 +518,13 @@ def stream_late_corrections(i: Inputs) -> DataFrame:
         feed = stream.landing_stream(i.spark, f"{root}/landing").select(
             F.expr("substring(value, 12)").alias("value"), F.expr("cast(left(value, 10) as timestamp)").alias("landed_at")
         )
-        rows = documents.matches(feed, "landed_at")
+        rows = documents.matches(feed, "landed_at", columns=("id",))
         unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
         stream.run_to_table(unique.select("id", "payload_hash", "landed_at"), f"{root}/out", f"{root}/checkpoint")
         stream.keep_late(
             feed, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late",
-            read=lambda docs: documents.matches(docs, "landed_at"),
+            read=lambda docs: documents.matches(docs, "landed_at", columns=("id",)),
+            whole=lambda kept: documents.whole_matches(kept, "landed_at", "payload_hash"),
         ).awaitTermination()
     return i.spark.read.parquet(f"{root}/late").select("id", "status", "matchday")
 

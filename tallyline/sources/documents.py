@@ -6,8 +6,11 @@ Every function takes a DataFrame with a string column ``value`` (one document pe
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline import schemas as S
 from tallyline.functions.once import evaluated_once
@@ -90,11 +93,22 @@ _FEEDS = {
 }
 
 
-def classified_feed(feed: str, docs: DataFrame, *carry: str) -> DataFrame:
-    """All records of a feed with ``level`` and ``record``, usable or not."""
+def _entry_of(feed: str, columns: Sequence[str]) -> str:
+    """The schema of a feed's entry without the fields that none of ``columns`` comes from."""
+    entry = T.StructType.fromDDL(_FEEDS[feed][2])
+    used = {_COLUMNS[feed][c].split(".")[1] for c in columns} | {"id"}
+    return T.StructType([field for field in entry.fields if field.name in used]).simpleString()
+
+
+def classified_feed(feed: str, docs: DataFrame, *carry: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """All records of a feed with ``level`` and ``record``, usable or not.
+
+    Of an entry only what ``columns`` need is read, if they are given; which records are usable does not change.
+    """
     if feed == "standings":
         return classified_standings(docs)
     envelope, array, entry, parents = _FEEDS[feed]
+    entry = entry if columns is None else _entry_of(feed, columns)
     above = [F.col(place).alias(name) for place, name in parents]
     return classified(docs, envelope, array, entry, *above, *[F.col(c) for c in carry])
 
@@ -110,9 +124,11 @@ def rejected_records(read: DataFrame) -> DataFrame:
     return read.filter(F.col("level").isin(*REJECTED)).select("level", "record")
 
 
-def rows_of_feed(feed: str, read: DataFrame, *carry: str) -> DataFrame:
-    """Typed rows of the usable records."""
+def rows_of_feed(feed: str, read: DataFrame, *carry: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Typed rows of the usable records; only ``columns``, the carried ones and the record, if they are given."""
     usable = read.filter(F.col("level") == OK)
+    if columns is not None:
+        return usable.select(*[F.col(c) for c in carry], *[F.col(_COLUMNS[feed][c]).alias(c) for c in columns], "raw_payload")
     now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp())
     columns = [F.col(path).alias(name) for name, path in _COLUMNS[feed].items()]
     if feed == "matches":
@@ -162,8 +178,14 @@ def teams(docs: DataFrame) -> DataFrame:
     return rows_of_feed("teams", classified_feed("teams", docs))
 
 
-def matches(docs: DataFrame, *carry: str) -> DataFrame:
-    return rows_of_feed("matches", classified_feed("matches", docs, *carry), *carry)
+def matches(docs: DataFrame, *carry: str, columns: Sequence[str] | None = None) -> DataFrame:
+    return rows_of_feed("matches", classified_feed("matches", docs, *carry, columns=columns), *carry, columns=columns)
+
+
+def whole_matches(rows: DataFrame, *carry: str) -> DataFrame:
+    """All columns of rows that ``matches`` has read some ``columns`` of, out of their records."""
+    read = _parsed(rows.select(*carry, "raw_payload"), "raw_payload", S.MATCH_ENTRY, "e")
+    return rows_of_feed("matches", read.withColumn("level", F.lit(OK)), *carry)
 
 
 def standings(docs: DataFrame, only_type: str | None = None) -> DataFrame:

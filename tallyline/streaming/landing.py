@@ -8,7 +8,8 @@ differs goes to the keyed table, where the later version replaces the earlier on
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,7 @@ def keep_late(
     late: str,
     checkpoint: str,
     read: Callable[[DataFrame], DataFrame] | None = None,
+    whole: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the second sink of ``drop_repeats``: versions that came too late for its state.
 
@@ -103,9 +105,10 @@ def keep_late(
     one took is found there, so it does not matter where exactly its watermark stood.
 
     With ``read``, ``rows`` are documents with ``event_time`` and only those behind the horizon are read
-    into rows by it; a batch without any costs no more than looking at its times.
+    into rows by it; a batch without any costs no more than looking at its times. ``read`` may leave out columns
+    that ``whole`` fills in for the rows that are kept, so that repeats are neither read further nor shuffled whole.
     """
-    read = read or (lambda documents: documents)
+    read, whole = read or (lambda documents: documents), whole or (lambda kept: kept)
     schema = T.StructType([read(rows).schema[key], T.StructField("payload_hash", T.StringType())])
     moment = rows.schema[event_time].dataType
 
@@ -116,12 +119,17 @@ def keep_late(
         if newest is None:
             return
         bound = F.lit(newest).cast(moment) - F.expr(f"INTERVAL {HORIZON}")
-        behind = read(batch.filter(F.col(event_time) < bound)).withColumn("payload_hash", F.sha2(F.col(payload), 256))
+        late_rows = batch.filter(F.col(event_time) < bound)
+        behind = read(late_rows).withColumn("payload_hash", F.sha2(F.col(payload), 256))
         known = stored.select(*schema.names)
         for earlier in _batches(spark, late, schema, batch_id):
             known = known.unionByName(earlier)
         version = [key, "payload_hash"]
-        fresh = last_by_key(behind, version, [event_time]).join(known, version, "left_anti")
+        if late_rows.isEmpty():  # nothing to compare: what is stored is not read
+            fresh = whole(behind).limit(0)
+        else:
+            fresh = whole(last_by_key(behind, version, [event_time]).join(known, version, "left_anti"))
+        fresh = fresh.select(*[c for c in fresh.columns if c != "payload_hash"], "payload_hash")
         fresh.write.mode("overwrite").parquet(f"{late}/{BATCH}={batch_id}")
 
     return (
@@ -144,17 +152,39 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType, before: int)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Write everything that is available to Parquet and stop."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Write everything that is available to Parquet and stop.
+
+    State is kept in RocksDB, so it need not fit the heap, unless the session names another store; a checkpoint
+    that exists keeps the store it was begun with.
+    """
+    with _state_on_disk(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB. A stream takes its settings when it is started."""
+    if spark.conf.get(STATE_STORE, None) is not None:
+        yield
+        return
+    spark.conf.set(STATE_STORE, ON_DISK)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE)
+
+
 def matches_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, S.MATCHES)

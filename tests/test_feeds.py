@@ -65,6 +65,21 @@ def test_bad_score_does_not_lose_the_match(spark):
     assert row.id == 5 and row.home_score_full_time is None and row.status == "FINISHED"
 
 
+def test_matches_read_for_some_columns_are_the_same(spark):
+    broken = match(5)
+    broken["score"]["fullTime"]["home"] = "two"
+    docs = lines(
+        spark, {"matches": [match(1), broken, {"id": "x"}, {"status": "FINISHED"}, match(1), match(7, matchday="z"), "{", 3, None]},
+        {"matches": []}, '{"matches": [', "not json", {"matches": "none"}, {"matches": [match(8, None, 4)]},
+    )
+    all_columns = documents.matches(docs, "value").drop("ingested_at")
+    some = documents.matches(docs, "value", columns=("id", "status", "away_score_half_time"))
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, all_columns.select(*some.columns).collect()))
+    again = documents.whole_matches(documents.matches(docs, "value", columns=("id",)), "value").drop("ingested_at")
+    assert again.schema == all_columns.schema
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, all_columns.collect()))
+
+
 def test_competitions_and_teams(spark):
     docs = lines(spark, {"competitions": [{"id": 1, "name": "N", "code": "C", "area": {"name": "Here"}}, {"id": 2}]})
     rows = {r.id: r for r in documents.competitions(docs).collect()}
@@ -422,3 +437,37 @@ def test_only_late_documents_are_read_for_corrections(spark, tmp_path):
     late = spark.read.parquet(f"{root}/late").collect()
     assert [(r.id, r.home_score_full_time) for r in late] == [(2, 5)]
     assert read_times[-1].filter("landed_at >= '2001-01-17'").count() == 0
+
+
+def test_state_of_repeats_is_not_on_the_heap(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", {"matches": [match(1), match(2)]})
+    rows = documents.matches(stream.landing_stream(spark, f"{tmp_path}/landing"), "landed_at")
+    unique = stream.drop_repeats(rows, "landed_at", "id", "raw_payload")
+    stream.run_to_table(unique.select("id"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    files = [p.suffix for p in (tmp_path / "checkpoint" / "state" / "0").rglob("*") if p.is_file()]
+    assert ".zip" in files and ".delta" not in files
+    assert spark.conf.get(stream.STATE_STORE, None) is None
+
+
+def test_late_repeats_are_not_read_whole(spark, tmp_path):
+    root, kept = str(tmp_path), []
+
+    def whole(rows):
+        kept.append(rows)
+        return documents.whole_matches(rows, "landed_at", "payload_hash")
+
+    for day, matches in (("2001-02-01", [match(1), match(2)]), ("2001-01-11", [match(1), match(2, (5, 0)), match(2, (5, 0))])):
+        lines(spark, {"matches": matches}).select(F.concat(F.lit(f"{day} "), "value")).write.mode("append").text(f"{root}/landing")
+        feed = stream.landing_stream(spark, f"{root}/landing").select(
+            F.expr("substring(value, 12)").alias("value"), F.expr("cast(left(value, 10) as timestamp)").alias("landed_at")
+        )
+        unique = stream.drop_repeats(documents.matches(feed, "landed_at", columns=("id",)), "landed_at", "id", "raw_payload")
+        stream.run_to_table(unique.select("id", "payload_hash", "landed_at"), f"{root}/out", f"{root}/checkpoint")
+        stream.keep_late(
+            feed, "landed_at", "id", "raw_payload", f"{root}/out", f"{root}/late", f"{root}/checkpoint-late",
+            read=lambda docs: documents.matches(docs, "landed_at", columns=("id",)), whole=whole,
+        ).awaitTermination()
+        late = spark.read.parquet(f"{root}/late").collect()
+        assert [(r.id, r.home_score_full_time, r.home_team_name) for r in late] == ([(2, 5, "A")] if day < "2001-02" else [])
+    assert set(kept[-1].columns) == {"landed_at", "id", "raw_payload", "payload_hash"}
